@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import plans
+from .plans import activity, music, signals, timeline  # noqa: F401  each registers its queries
+
 FLAGSHIP = "mus06_quantize"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(plans.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(plans.ORACLES)
