@@ -66,7 +66,7 @@ def evd07(spark: SparkSession, sf: str) -> DataFrame:
     return r(ev.dense_schedule(events(spark, sf), 50.0, 600.0), "t")
 
 
-@query("evd08_sheet_schedule", "v_cuts", "WITH_MARK, s AS (SELECT job_id, min(source_in) AS a, max(source_out) AS b FROM v_cuts GROUP BY 1), n AS (SELECT *, ceil((b - a - 1e-9) / 10)::INTEGER AS n FROM s), x AS (SELECT *, unnest(range(0, (n - 1) // 30 + 1))::INTEGER AS sheet FROM n WHERE n > 0) SELECT job_id, sheet, least(30, n - sheet * 30) AS frames, 30 - least(30, n - sheet * 30) AS padding, round(a + sheet * 300, 6) AS from_s, round(a + (sheet * 30 + least(30, n - sheet * 30) - 1) * 10, 6) AS to_s FROM x".replace("WITH_MARK", ""))
+@query("evd08_sheet_schedule", "v_cuts", ", s AS (SELECT job_id, min(source_in) AS a, max(source_out) AS b FROM v_cuts GROUP BY 1), n AS (SELECT *, ceil((b - a - 1e-9) / 10)::INTEGER AS n FROM s), x AS (SELECT *, unnest(range(0, (n - 1) // 30 + 1))::INTEGER AS sheet FROM n WHERE n > 0) SELECT job_id, sheet, least(30, n - sheet * 30) AS frames, 30 - least(30, n - sheet * 30) AS padding, round(a + sheet * 300, 6) AS from_s, round(a + (sheet * 30 + least(30, n - sheet * 30) - 1) * 10, 6) AS to_s FROM x")
 def evd08(spark: SparkSession, sf: str) -> DataFrame:
     s = v.v_cuts(spark, sf).groupBy("job_id").agg(F.min("source_in").alias("a"), F.max("source_out").alias("b"))
     return r(ev.sheet_schedule(s), "from_s", "to_s")
