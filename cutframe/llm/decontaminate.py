@@ -4,9 +4,9 @@
 2. Passages of 64 words are rows of a TF-IDF matrix A. One pass sums A'A.Omega for a fixed random Omega:
    each task multiplies its passages, Spark adds the products. From these the Nystrom form of a
    randomised SVD gives the leading right singular vectors and values; the latent space is whitened by the values.
-3. Each benchmark item is folded into the space. Windows of the item's length, an eighth of it apart, slide over
-   every document; a window's vector is a difference of prefix sums. Cosines above `cosine` are candidates.
-4. A candidate is checked on words: longest common subsequence of item and window, over the item's length, and
+3. Each benchmark item is folded into the space. Windows of the power of two nearest to the item's length, a quarter
+   of it apart, slide over every document; a window's vector is a difference of prefix sums. Cosines above `cosine` are candidates.
+4. A candidate that shares at least the `weak` part of the item's word ids is checked on words: longest common subsequence of item and window, over the item's length, and
    whether the item's answer (its last sentence, or last quarter where it is one sentence) stands there in order. A document leaks an
    item if the ratio is at least `strong`, or at least `weak` with the answer there.
 
@@ -27,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach
+from .common import written
 
 STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "¿¡«»“”„’…"
-DIMENSIONS, RANK, PASSAGE, BLOCK_ROWS = 2048, 48, 64, 256
+DIMENSIONS, RANK, PASSAGE, BLOCK_ROWS = 2048, 64, 64, 256
 
 
 class WordIds(dict):
@@ -60,17 +60,38 @@ def plain_words(text: str | None) -> list[str]:
     return [p for p in map(plain, text.split()) if p] if text else []
 
 
-def _ids(texts: list[str | None], ids: WordIds) -> Iterator[np.ndarray]:
-    for text in texts:
-        found = ids.of(text.split()) if text else np.zeros(0, np.int64)
-        yield found[found >= 0] if len(found) and found.min() < 0 else found
+def _tokenise(dimensions: int, keep: int):
+    """Adds the hashed ids of a text's words, two bytes each; words without a letter or digit left have none."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = WordIds(dimensions)
+        for batch in batches:
+            raw = []
+            for text in batch.column(keep).to_pylist():
+                found = ids.of(text.split()) if text else np.zeros(0, np.int64)
+                raw.append(found[found >= 0].astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], names=[*batch.schema.names, "_ids"])
+
+    return work
+
+
+def tokenised(docs: DataFrame, columns: list[str], *, text: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
+    """The columns, _text and _ids of docs as a written table: every later pass reads ids instead of splitting texts again."""
+    rows = docs.select(*columns, F.col(text).alias("_text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", _ids binary"
+    return written(rows.mapInArrow(_tokenise(dimensions, len(columns)), schema), "tokenised")
+
+
+def _ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for raw in batch.column(batch.schema.get_field_index("_ids")).to_pylist():
+        yield np.frombuffer(raw, "<u2").astype(np.int64)
 
 
 def _frequencies(dimensions: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, total, n = WordIds(dimensions), np.zeros(dimensions, np.int64), 0
+        total, n = np.zeros(dimensions, np.int64), 0
         for batch in batches:
-            for found in _ids(batch.column(0).to_pylist(), ids):
+            for found in _ids(batch):
                 seen = np.zeros(dimensions, bool)
                 seen[found] = True
                 total += seen
@@ -85,7 +106,7 @@ def _sketch(idf: np.ndarray, omega: np.ndarray):
     d = len(idf)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, total = WordIds(d), np.zeros(omega.shape)
+        total = np.zeros(omega.shape)
         waiting: list[np.ndarray] = []
 
         def add() -> None:
@@ -98,7 +119,7 @@ def _sketch(idf: np.ndarray, omega: np.ndarray):
             waiting.clear()
 
         for batch in batches:
-            for found in _ids(batch.column(0).to_pylist(), ids):
+            for found in _ids(batch):
                 for at in range(0, len(found), PASSAGE):
                     waiting.append(found[at : at + PASSAGE])
                     if len(waiting) == BLOCK_ROWS:
@@ -121,9 +142,9 @@ class LatentSpace:
         return len(self.words)
 
 
-def latent_space(docs: DataFrame, *, text: str = "text", dimensions: int = DIMENSIONS, rank: int = RANK, seed: int = 7) -> LatentSpace:
-    """Fitted on every passage of docs; sums of dimensions x rank numbers are all that reaches the driver."""
-    texts = docs.select(F.col(text).alias("text")).filter(F.col("text").isNotNull())
+def latent_space(table: DataFrame, *, dimensions: int = DIMENSIONS, rank: int = RANK, seed: int = 7) -> LatentSpace:
+    """Fitted on every passage of a tokenised table; sums of dimensions x rank numbers are all that reaches the driver."""
+    texts = table.select("_ids")
     counts = np.zeros(dimensions + 1)
     for r in texts.mapInArrow(_frequencies(dimensions), "word int, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect():
         counts[r.word] = r.n  # the last cell, -1, is the number of documents
@@ -174,60 +195,82 @@ def common_subsequence(a: list[str], b: list[str]) -> int:
 
 @dataclass
 class Rules:
-    cosine: float = 0.5
+    cosine: float = 0.55
     strong: float = 0.7
     weak: float = 0.5
     least_words: int = 8
 
 
 class _Search:
-    """Searches documents for a block of items."""
+    """Searches documents for a block of items. Window sizes are powers of two, each item has the nearest."""
+
+    step, slab_words = 4, 1 << 15
 
     def __init__(self, space: LatentSpace, items: list[Item], rules: Rules) -> None:
-        self.space, self.items, self.rules, self.ids = space, items, rules, WordIds(space.dimensions)
+        self.items, self.rules, self.ids = items, rules, WordIds(space.dimensions)
+        self.words = np.vstack([space.words, np.zeros((1, space.words.shape[1]), np.float32)])  # the last row pads documents
         by_size: dict[int, list[int]] = {}
+        own = [self.ids.of(i.words) for i in items]
         for k, item in enumerate(items):
-            by_size.setdefault(max(1, round(len(item.words) / 8)) * 8, []).append(k)
+            by_size.setdefault(max(16, 2 ** round(np.log2(len(item.words)))), []).append(k)
         self.groups = []
         for size, members in sorted(by_size.items()):
-            v = np.array([self.space.words[self.ids.of(items[k].words)].sum(axis=0) for k in members])
-            self.groups.append((size, members, (v / np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]).astype(np.float32)))
-        self.bags = [set(i.words) for i in items]
-
-    def leaks(self, text: str | None) -> list[tuple[int, float, float, bool, int, int]]:
-        """(item number, cosine, ratio, answer there, first word, end word), the best window of each leaked item."""
-        raw = text.split() if text else []
-        ids = self.ids.of(raw)
-        if len(ids) and ids.min() < 0:
-            raw = [raw[i] for i in np.flatnonzero(ids >= 0)]
-            ids = ids[ids >= 0]
-        n = len(ids)
-        if not n:
-            return []
-        best: dict[int, tuple] = {}
-        step = 4
-        prefix = np.zeros((n // step + 2, self.space.words.shape[1]), np.float32)
-        sums = np.add.reduceat(self.space.words[ids], np.arange(0, n, step), axis=0)
-        np.cumsum(sums, axis=0, out=prefix[1 : len(sums) + 1])
-        chunks = len(sums)
+            v = np.array([self.words[own[k]].sum(axis=0) for k in members])
+            self.groups.append((size, np.array(members), (v / np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]).astype(np.float32)))
+        self.bags = [set(x.tolist()) for x in own]
+        self.longest = max((g[0] for g in self.groups), default=16)
+
+    def batch(self, ids: list[np.ndarray], texts) -> dict[int, list[tuple[int, float, float, bool, int, int]]]:
+        """For each document with a leak: (item number, cosine, ratio, answer there, first word, end word) of each leaked item's best window.
+
+        texts(i) gives the text of document i, read only where a candidate passes on ids.
+        """
+        out: dict[int, dict[int, tuple]] = {}
+        waiting, size = [], 0
+        for i, x in enumerate(ids):
+            for at in range(0, len(x), self.slab_words):  # a very long document goes in overlapping parts
+                part = x[max(0, at - 2 * self.longest) : at + self.slab_words]
+                waiting.append((i, max(0, at - 2 * self.longest), part))
+                size += len(part)
+                if size >= self.slab_words:
+                    self._slab(waiting, ids, texts, out)
+                    waiting, size = [], 0
+        if waiting:
+            self._slab(waiting, ids, texts, out)
+        return {i: [(k, *v) for k, v in sorted(best.items())] for i, best in out.items()}
+
+    def _slab(self, parts: list[tuple[int, int, np.ndarray]], ids: list[np.ndarray], texts, out: dict) -> None:
+        step = self.step
+        chunks = np.array([-(-len(x) // step) for _, _, x in parts])
+        first = np.cumsum(chunks) - chunks
+        padded = np.full(int(chunks.sum()) * step, len(self.words) - 1)
+        for (_, _, x), c in zip(parts, first, strict=True):
+            padded[c * step : c * step + len(x)] = x
+        sums = self.words[padded].reshape(-1, step, self.words.shape[1]).sum(axis=1, dtype=np.float64)
+        prefix = np.zeros((len(sums) + 1, sums.shape[1]))
+        np.cumsum(sums, axis=0, out=prefix[1:])
+        checked = set()
         for size, members, vectors in self.groups:
-            wide = min(chunks, max(1, size // step))
-            apart = max(1, size // 8 // step)
-            starts = np.unique(np.r_[np.arange(0, chunks - wide + 1, apart), chunks - wide])
-            windows = prefix[starts + wide] - prefix[starts]
+            starts = np.arange(0, len(sums), size // (4 * step))
+            windows = (prefix[np.minimum(starts + size // step, len(sums))] - prefix[starts]).astype(np.float32)
+            floor = self.rules.cosine * np.sqrt(np.einsum("ij,ij->i", windows, windows)) + 1e-9
             cosines = windows @ vectors.T
-            length = np.sqrt(np.einsum("ij,ij->i", windows, windows))
-            for at, k in zip(*np.nonzero(cosines >= self.rules.cosine * np.maximum(length, 1e-12)[:, None]), strict=True):
-                self._check(members[k], float(cosines[at, k] / max(length[at], 1e-12)), raw, int(starts[at]) * step, size, best)
-        return [(k, *v) for k, v in sorted(best.items())]
-
-    def _check(self, k: int, cosine: float, raw: list[str], start: int, size: int, best: dict[int, tuple]) -> None:
-        item, rules = self.items[k], self.rules
-        a, b = max(0, start - size // 4), min(len(raw), start + size + size // 4 + 4)
-        words = [plain(w) for w in raw[a:b]]
-        bag = self.bags[k]
-        if len(bag.intersection(words)) < rules.weak * len(bag):
+            for at, k in zip(*np.nonzero(cosines >= floor[:, None]), strict=True):
+                p = int(np.searchsorted(first, starts[at], "right")) - 1
+                i, offset, _ = parts[p]
+                start = offset + int(starts[at] - first[p]) * step
+                if (i, members[k], start) not in checked:
+                    checked.add((i, members[k], start))
+                    self._check(int(members[k]), float(cosines[at, k] / floor[at] * self.rules.cosine), ids[i], start, size, lambda i=i: texts(i), out.setdefault(i, {}))
+                    if not out[i]:
+                        del out[i]
+
+    def _check(self, k: int, cosine: float, ids: np.ndarray, start: int, size: int, text, best: dict[int, tuple]) -> None:
+        item, rules, bag = self.items[k], self.rules, self.bags[k]
+        a, b = max(0, start - size // 2), min(len(ids), start + size + size // 2)
+        if len(bag.intersection(ids[a:b].tolist())) < rules.weak * len(bag):
             return
+        words = plain_words(text())[a:b]
         ratio = common_subsequence(item.words, words) / len(item.words)
         answer = common_subsequence(item.answer, words) == len(item.answer)
         leaked = ratio == 1 if len(item.words) < rules.least_words else ratio >= rules.strong or ratio >= rules.weak and answer
@@ -248,9 +291,11 @@ def _blocks(benchmark: DataFrame, block: int) -> Iterator[list[Item]]:
         yield items_of(held)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, space: LatentSpace | None = None, *, text: str = "text", id_column: str = "doc_id", rules: Rules | None = None, block: int = 20_000) -> DataFrame:
-    """One row per document and leaked item: the id column, item_id, cosine, ratio, answer, first_word, end_word."""
-    spark, space, rules = docs.sparkSession, space or latent_space(docs, text=text), rules or Rules()
+def leaks(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", id_column: str = "doc_id", rules: Rules | None = None, block: int = 20_000) -> DataFrame:
+    """One row per document and leaked item: the id column, item_id, cosine, ratio, answer, first_word, end_word (of the words that are left after stripping)."""
+    spark, rules = docs.sparkSession, rules or Rules()
+    table = tokenised(docs, [id_column], text=text)
+    space = latent_space(table)
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, item_id bigint, cosine double, ratio double, answer boolean, first_word bigint, end_word bigint"
     out = spark.createDataFrame([], schema)
@@ -260,29 +305,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, space: LatentSpace | None = Non
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             search = _Search(*shared.value, rules)
             for batch in batches:
-                row, found = [], []
-                for i, t in enumerate(batch.column(1).to_pylist()):
-                    for x in search.leaks(t):
-                        row.append(i)
-                        found.append((search.items[x[0]].item_id, *x[1:]))
-                if row:
+                hits = search.batch(list(_ids(batch)), lambda i, batch=batch: batch.column(1)[i].as_py())
+                rows = [(i, search.items[x[0]].item_id, *x[1:]) for i, found in sorted(hits.items()) for x in found]
+                if rows:
                     kinds = (pa.int64(), pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *(pa.array([f[j] for f in found], k) for j, k in enumerate(kinds))], names=[batch.schema.names[0], "item_id", "cosine", "ratio", "answer", "first_word", "end_word"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([r[0] for r in rows])), *(pa.array([r[j + 1] for r in rows], k) for j, k in enumerate(kinds))], names=[batch.schema.names[0], "item_id", "cosine", "ratio", "answer", "first_word", "end_word"])
 
-        out = out.unionByName(docs.select(id_column, F.col(text).alias("_text")).mapInArrow(work, schema))
+        out = out.unionByName(table.mapInArrow(work, schema))
     return out
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, space: LatentSpace | None = None, *, text: str = "text", rules: Rules | None = None, block: int = 20_000) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", rules: Rules | None = None, block: int = 20_000) -> DataFrame:
     """The rows of docs that leak no item, in their own columns; decided row by row, without a join on ids."""
-    spark, space, rules = docs.sparkSession, space or latent_space(docs, text=text), rules or Rules()
+    spark, rules, names, order = docs.sparkSession, rules or Rules(), [c for c in docs.columns if c != text], docs.columns
+    table = tokenised(docs, names, text=text)
+    space = latent_space(table)
     for items in _blocks(benchmark, block):
         shared = spark.sparkContext.broadcast((space, items))
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             search = _Search(*shared.value, rules)
             for batch in batches:
-                yield batch.filter(pa.array([not search.leaks(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()], pa.bool_()))
+                hits = search.batch(list(_ids(batch)), lambda i, batch=batch: batch.column(len(names))[i].as_py())
+                yield batch.filter(pa.array([i not in hits for i in range(batch.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(work, docs.schema)
-    return docs
+        table = table.mapInArrow(work, table.schema)
+    return table.select(*(F.col("_text").alias(text) if c == text else F.col(c) for c in order))
