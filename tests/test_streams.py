@@ -17,9 +17,8 @@ from cutframe.streaming import jobs
 def parts(spark, sf_dir, tmp_path):
     """Events in time order, in three files, with a last far-off row that pushes the watermark past all others."""
     rows = stream_rows(spark, sf_dir)
-    for i, lo in enumerate((0, 1, 2)):
+    for lo in range(3):
         rows.filter(F.pmod(F.floor(F.unix_micros("ts") / 86400000000 / 10), F.lit(3)) == lo).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        del i
     return rows, str(tmp_path / "in")
 
 
