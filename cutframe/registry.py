@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import plans
-from .plans import activity, align, audit, candidates, colour, evidence, jobs, library, music, qc, signals, timeline, validate  # noqa: F401  each registers its queries
+from .plans import activity, align, audit, candidates, colour, evidence, jobs, library, music, qc, signals, timeline, validate, windows  # noqa: F401  each registers its queries
 
 FLAGSHIP = "mus06_quantize"
 
