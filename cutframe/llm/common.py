@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -15,6 +18,19 @@ PRIME = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver found it; once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cutframe_shipped", None) != sc.applicationId:
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp()) / "cutframe.zip"  # read by the driver's file server only
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(archive))
+        sc._cutframe_shipped = sc.applicationId
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables: spark.checkpoint.dir where it is set.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, decontaminate, langid, neardup, packing, secrets, substrings, tokenfiles, toolcalls, warc
+from .common import ship_package
 
 
 def tokenizer_path() -> str:
@@ -18,6 +19,7 @@ def tokenizer_path() -> str:
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
