@@ -150,3 +150,40 @@ def match_provenance(validated: DataFrame, shipping: DataFrame) -> DataFrame:
     g = a.join(b, ["job_id", "angle", "idx"], "full").groupBy("job_id", "angle").agg(F.count("v").alias("nv"), F.count("s").alias("ns"), F.bool_or(F.coalesce("e1", F.lit(False)) | F.coalesce("e2", F.lit(False))).alias("empty"), F.bool_and(F.coalesce(F.col("v") == F.col("s"), F.lit(False))).alias("same"))
     state = F.when((F.col("nv") == 0) | (F.col("ns") == 0), "absent").when(F.col("nv") != F.col("ns"), "count_mismatch").when(F.col("empty"), "empty").when(F.col("same"), "ok").otherwise("mismatch")
     return g.select("job_id", "angle", state.alias("state"))
+
+
+def pregrade_plan(spans: DataFrame, profiles: DataFrame, declared: DataFrame) -> DataFrame:
+    """What each source of a job needs: the A source is the reference, others are judged by their profile over used spans.
+
+    spans(job_id, angle, source), profiles(source, p10, p90, ...), declared(job_id, source): sources with a grade of their own keep it.
+    Result: job_id, source, plan (reference, declared, normal, underexposed, overexposed, or unmeasured).
+    """
+    used = spans.select("job_id", "angle", "source").distinct()
+    rows = used.join(profiles.select("source", "p10", "p90"), "source", "left")
+    ref = rows.filter("angle = 'A'").groupBy("job_id").agg(F.min_by("p10", "source").alias("r10"), F.min_by("p90", "source").alias("r90"))
+    own = declared.select("job_id", "source").distinct().withColumn("_own", F.lit(True))
+    judged = rows.join(ref, "job_id", "left").join(own, ["job_id", "source"], "left")
+    d10, d90 = F.col("p10") / F.greatest("r10", F.lit(1e-4)), F.try_divide("p90", "r90")
+    label = F.when(F.col("r90") <= 0, "normal").when((d90 < 0.75) | (d10 < 0.75), "underexposed").when((d10 > 1.6) | (d90 > 1.5), "overexposed").otherwise("normal")
+    plan = F.when(F.col("angle") == "A", "reference").when(F.col("_own"), "declared").when(F.col("p10").isNull() | F.col("r10").isNull(), "unmeasured").otherwise(label)
+    return judged.select("job_id", "angle", "source", plan.alias("plan"))
+
+
+def apply_curve(values: DataFrame, curves: DataFrame) -> DataFrame:
+    """y of values (match_id, at, ch, v in 0..1) on the piecewise linear curve of their time (match_id, at, ch, i, x, y); held outside its points."""
+    w = Window.partitionBy("match_id", "at", "ch").orderBy("x", "i")
+    seg = curves.withColumns({"x1": F.lead("x").over(w), "y1": F.lead("y").over(w), "first": F.row_number().over(w) == 1})
+    met = values.join(seg, ["match_id", "at", "ch"])
+    inside = (F.col("v") >= F.col("x")) & (F.col("x1").isNull() | (F.col("v") < F.col("x1"))) | F.col("first") & (F.col("v") < F.col("x"))
+    u = (F.col("v") - F.col("x")) / (F.col("x1") - F.col("x"))
+    y = F.when(F.col("x1").isNull() | (F.col("v") < F.col("x")), F.col("y")).otherwise(F.col("y") + (F.col("y1") - F.col("y")) * u)
+    return met.filter(inside).select(*values.columns, y.alias("y"))
+
+
+def transform_steps(levels: DataFrame, points: DataFrame, joins: DataFrame, half: float, limit: float) -> DataFrame:
+    """The same levels (match_id, ch, v) through the curve just before and just after each join (match_id, j): greatest change over channels, and whether it is within the limit."""
+    times = joins.select("match_id", "j", F.explode(F.array(F.struct(F.lit("before").alias("side"), (F.col("j") - half).alias("at")), F.struct(F.lit("after").alias("side"), (F.col("j") + half).alias("at")))).alias("s")).select("match_id", "j", "s.*")
+    curves = curve_at(points, times.select("match_id", "at").distinct())
+    shown = apply_curve(times.join(levels, "match_id").select("match_id", "at", "ch", "j", "side", "v"), curves)
+    g = shown.groupBy("match_id", "j", "ch", "v").agg(F.max(F.when(F.col("side") == "before", F.col("y"))).alias("b"), F.max(F.when(F.col("side") == "after", F.col("y"))).alias("a"))
+    return g.groupBy("match_id", "j").agg(F.round(F.max(F.abs(F.col("a") - F.col("b"))), 6).alias("step")).withColumn("pass", F.coalesce(F.col("step") <= limit, F.lit(False)))

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from ..functions.blocks import islands, nearest, overlap
 
 
-def detect_cuts(diffs: DataFrame, fixed: float | None = None) -> DataFrame:
-    """View changes in frame differences (clip_id, frame_no, d): above `fixed`, or above median + max(8 MAD, 0.01); bursts of neighbours give their greatest (first of equals)."""
+def detect_cuts(diffs: DataFrame, fixed: float | None = None, mads: float = 8.0) -> DataFrame:
+    """View changes in frame differences (clip_id, frame_no, d): above `fixed`, or above median + max(mads * MAD, 0.01); bursts of neighbours give their greatest (first of equals)."""
     if fixed is None:
         med = diffs.groupBy("clip_id").agg(F.percentile("d", 0.5).alias("med"))
         dev = diffs.join(med, "clip_id")
-        thr = dev.groupBy("clip_id").agg((F.first("med") + F.greatest(8 * F.percentile(F.abs(F.col("d") - F.col("med")), 0.5), F.lit(0.01))).alias("thr"))
+        thr = dev.groupBy("clip_id").agg((F.first("med") + F.greatest(mads * F.percentile(F.abs(F.col("d") - F.col("med")), 0.5), F.lit(0.01))).alias("thr"))
         above = diffs.join(thr, "clip_id")
     else:
         above = diffs.withColumn("thr", F.lit(fixed))

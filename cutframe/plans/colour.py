@@ -137,3 +137,26 @@ def col13(spark: SparkSession, sf: str) -> DataFrame:
     a = c.filter("job_id <> 'src1' or angle <> 'en'").withColumn("form", F.when(empty, " ").otherwise(F.concat(F.lit("r="), F.col("idx").cast("string"), F.lit("  x"))))
     b = c.filter("not (job_id = 'src3' and idx % 40 = 3)").withColumn("form", F.when((F.col("job_id") == "src2") & (F.col("angle") == "en"), "other").when(empty, " ").otherwise(F.concat(F.lit(" R="), F.col("idx").cast("string"), F.lit(" X "))))
     return co.match_provenance(a, b)
+
+
+@query("col05_pregrade_plan", "v_pixels v_cuts", f""", {SKEWED}, u AS (SELECT DISTINCT job_id, angle, CASE WHEN angle = 'A' THEN job_id % 10 ELSE (job_id + pos % 3) % 12 END AS source FROM v_cuts), x AS (SELECT u.*, p10, p90 FROM u LEFT JOIN ps ON ps.clip_id = u.source), rf AS (SELECT job_id, min_by(p10, source) AS r10, min_by(p90, source) AS r90 FROM x WHERE angle = 'A' GROUP BY 1)
+SELECT x.job_id, x.angle, x.source, CASE WHEN angle = 'A' THEN 'reference' WHEN x.job_id % 7 = 0 AND x.source % 2 = 0 THEN 'declared' WHEN p10 IS NULL OR r10 IS NULL THEN 'unmeasured' WHEN r90 <= 0 THEN 'normal' WHEN p90 / r90 < 0.75 OR p10 / greatest(r10, 1e-4) < 0.75 THEN 'underexposed' WHEN p10 / greatest(r10, 1e-4) > 1.6 OR p90 / r90 > 1.5 THEN 'overexposed' ELSE 'normal' END AS plan FROM x LEFT JOIN rf USING (job_id)""")
+def col05(spark: SparkSession, sf: str) -> DataFrame:
+    job = F.col("job_id")
+    spans = v.v_cuts(spark, sf).select("job_id", "angle", F.when(F.col("angle") == "A", job % 10).otherwise((job + F.col("pos") % 3) % 12).alias("source"))
+    declared = spans.filter("job_id % 7 = 0 and source % 2 = 0")
+    return co.pregrade_plan(spans, skewed(spark, sf).withColumnRenamed("clip_id", "source"), declared)
+
+
+@query("qc09_transform_steps", "v_samples", f""", {POINTS}, jn AS (SELECT clip_id AS match_id, t AS j FROM v_samples WHERE kind = 'click' AND k % 4 = 0), tm AS (SELECT match_id, j, unnest(['before', 'after']) AS side, unnest([j - 2, j + 2]) AS at_s FROM jn), tt AS (SELECT DISTINCT match_id, at_s FROM tm), g AS (SELECT DISTINCT match_id, t FROM cp),
+b0 AS (SELECT tt.*, p.t AS p FROM tt ASOF LEFT JOIN g p ON p.match_id = tt.match_id AND tt.at_s >= p.t), b1 AS (SELECT b0.*, n.t AS n FROM b0 ASOF LEFT JOIN g n ON n.match_id = b0.match_id AND b0.at_s <= n.t),
+b AS (SELECT match_id, at_s, coalesce(p, n) AS t0, coalesce(n, p) AS t1, CASE WHEN coalesce(n, p) > coalesce(p, n) THEN (at_s - coalesce(p, n)) / (coalesce(n, p) - coalesce(p, n)) ELSE 0 END AS u FROM b1 WHERE coalesce(p, n) IS NOT NULL),
+l AS (SELECT b.match_id, b.at_s, u, ch, i, x, y FROM b JOIN cp ON cp.match_id = b.match_id AND cp.t = b.t0), rr AS (SELECT b.match_id, b.at_s, u, ch, i, x, y FROM b JOIN cp ON cp.match_id = b.match_id AND cp.t = b.t1),
+cv AS (SELECT match_id, at_s, ch, i, CASE WHEN l.x IS NULL THEN rr.x WHEN rr.x IS NULL THEN l.x ELSE l.x + (rr.x - l.x) * l.u END AS x, CASE WHEN l.y IS NULL THEN rr.y WHEN rr.y IS NULL THEN l.y ELSE l.y + (rr.y - l.y) * l.u END AS y FROM l FULL JOIN rr USING (match_id, at_s, ch, i)),
+sg AS (SELECT *, lead(x) OVER w AS x1, lead(y) OVER w AS y1, row_number() OVER w = 1 AS f FROM cv WINDOW w AS (PARTITION BY match_id, at_s, ch ORDER BY x, i)), lv AS (SELECT unnest(['r', 'g', 'b']) AS ch, 0.2e0 AS v UNION ALL SELECT unnest(['r', 'g', 'b']), 0.4e0),
+sh AS (SELECT t.match_id, t.j, t.side, s.ch, lv.v, CASE WHEN x1 IS NULL OR v < x THEN y ELSE y + (y1 - y) * (v - x) / (x1 - x) END AS yy FROM tm t JOIN sg s ON s.match_id = t.match_id AND s.at_s = t.at_s JOIN lv ON lv.ch = s.ch WHERE (v >= x AND (x1 IS NULL OR v < x1)) OR (f AND v < x)),
+gg AS (SELECT match_id, j, ch, v, max(yy) FILTER (WHERE side = 'before') AS b, max(yy) FILTER (WHERE side = 'after') AS a FROM sh GROUP BY 1, 2, 3, 4) SELECT match_id, j, round(max(abs(a - b)), 6) AS step, coalesce(round(max(abs(a - b)), 6) <= 0.1, false) AS pass FROM gg GROUP BY 1, 2""")
+def qc09(spark: SparkSession, sf: str) -> DataFrame:
+    joins = v.v_samples(spark, sf).filter("kind = 'click' and k % 4 = 0").select(F.col("clip_id").alias("match_id"), F.col("t").alias("j"))
+    levels = joins.select("match_id").distinct().withColumn("ch", F.explode(F.array(*(F.lit(c) for c in "rgb")))).withColumn("v", F.explode(F.array(F.lit(0.2), F.lit(0.4))))
+    return co.transform_steps(levels, curves(spark, sf), joins, 2.0, 0.1)

@@ -23,9 +23,9 @@ def diffs(spark: SparkSession, sf: str) -> DataFrame:
 BURST = ", CASE WHEN frame_no - lag(frame_no) OVER (PARTITION BY clip_id ORDER BY frame_no) <= 2 THEN 0 ELSE 1 END AS new FROM {src}), b2 AS (SELECT *, sum(new) OVER (PARTITION BY clip_id ORDER BY frame_no) AS burst FROM b1) SELECT clip_id, min_by(frame_no, (-d, frame_no)) AS frame_no, max(d) AS d FROM b2 GROUP BY clip_id, burst"
 
 
-@query("qc01_detect_cuts", "v_pixels", f", {DIFF}, md AS (SELECT clip_id, median(d) AS med FROM df GROUP BY 1), th AS (SELECT clip_id, any_value(med) + greatest(8 * median(abs(d - med)), 0.01::DOUBLE) AS thr FROM df JOIN md USING (clip_id) GROUP BY 1), hit AS (SELECT df.* FROM df JOIN th USING (clip_id) WHERE d > thr), b1 AS (SELECT *" + BURST.format(src="hit"))
+@query("qc01_detect_cuts", "v_pixels", f", {DIFF}, md AS (SELECT clip_id, median(d) AS med FROM df GROUP BY 1), th AS (SELECT clip_id, any_value(med) + greatest(2 * median(abs(d - med)), 0.01::DOUBLE) AS thr FROM df JOIN md USING (clip_id) GROUP BY 1), hit AS (SELECT df.* FROM df JOIN th USING (clip_id) WHERE d > thr), b1 AS (SELECT *" + BURST.format(src="hit"))
 def qc01(spark: SparkSession, sf: str) -> DataFrame:
-    return qc.detect_cuts(diffs(spark, sf))
+    return qc.detect_cuts(diffs(spark, sf), mads=2.0)
 
 
 @query("qc01_detect_fixed", "v_pixels", f", {DIFF}, b1 AS (SELECT *" + BURST.format(src="df WHERE d > 0.14"))

@@ -104,13 +104,13 @@ def tml10(spark: SparkSession, sf: str) -> DataFrame:
     return r(tl.angle_runs(v.v_cuts(spark, sf)), "start", "end").withColumn("ids", F.array_join("ids", ",")).withColumnsRenamed({"start": "start_s", "end": "end_s"})
 
 
-@query("tml11_offer_opportunities", "v_cuts v_cand", f""", {RUNS}, f AS (SELECT job_id, event AS event_id, min(anchor) AS ats, max(duration_s) AS face_s FROM v_cand GROUP BY 1, 2),
-i AS (SELECT x.job_id, x.run, f.event_id, f.ats, f.face_s, row_number() OVER (PARTITION BY x.job_id, x.run ORDER BY face_s DESC, ats, event_id) AS o FROM runs x JOIN f ON f.job_id = x.job_id AND f.ats BETWEEN a + 10 AND b - 10 WHERE b - a > 20 AND b - 10 >= a + 10),
-pick AS (SELECT job_id, run, o, ats, 1 AS k FROM i WHERE o = 1 UNION ALL SELECT job_id, run, o, ats, k FROM (SELECT i.job_id, i.run, i.o, i.ats, p.k + 1 AS k, row_number() OVER (PARTITION BY i.job_id, i.run ORDER BY i.o) AS z FROM pick p JOIN i ON i.job_id = p.job_id AND i.run = p.run AND i.o > p.o AND abs(i.ats - p.ats) >= 20 WHERE p.k < 4) WHERE z = 1)
+@query("tml11_offer_opportunities", "v_cuts v_cand", f""", {RUNS}, f AS (SELECT job_id, event AS event_id, min(anchor) - 4 AS ats, max(duration_s) AS face_s FROM v_cand GROUP BY 1, 2),
+i AS (SELECT x.job_id, x.run, f.event_id, f.ats, f.face_s, row_number() OVER (PARTITION BY x.job_id, x.run ORDER BY face_s DESC, ats, event_id) AS o FROM runs x JOIN f ON f.job_id = x.job_id AND f.ats BETWEEN a + 2 AND b - 2 WHERE b - a > 20 AND b - 2 >= a + 2),
+pick AS (SELECT job_id, run, o, ats, 1 AS k FROM i WHERE o = 1 UNION ALL SELECT job_id, run, o, ats, k FROM (SELECT i.job_id, i.run, i.o, i.ats, p.k + 1 AS k, row_number() OVER (PARTITION BY i.job_id, i.run ORDER BY i.o) AS z FROM pick p JOIN i ON i.job_id = p.job_id AND i.run = p.run AND i.o > p.o AND abs(i.ats - p.ats) >= 5 WHERE p.k < 4) WHERE z = 1)
 SELECT job_id, run, i.event_id, i.ats AS at_s, i.face_s FROM pick JOIN i USING (job_id, run, o)""")
 def tml11(spark: SparkSession, sf: str) -> DataFrame:
-    faces = v.v_cand(spark, sf).groupBy("job_id", F.col("event").alias("event_id")).agg(F.min("anchor").alias("at"), F.max("duration_s").alias("face_s"))
-    return tl.offer_opportunities(tl.angle_runs(v.v_cuts(spark, sf)), faces).withColumnRenamed("at", "at_s")
+    faces = v.v_cand(spark, sf).groupBy("job_id", F.col("event").alias("event_id")).agg((F.min("anchor") - 4).alias("at"), F.max("duration_s").alias("face_s"))
+    return tl.offer_opportunities(tl.angle_runs(v.v_cuts(spark, sf)), faces, edge=2.0, separation=5.0).withColumnRenamed("at", "at_s")
 
 
 PROMO = "pr AS (SELECT job_id, pos AS promo, proof_in + (proof_out - proof_in) / 4 AS p_in, proof_in + (proof_out - proof_in) / 2 AS p_out, source_in + 100 AS b_in FROM tm WHERE angle = 'A' AND pos % 3 = 0 UNION ALL SELECT job_id, pos + 100000, proof_in + (proof_out - proof_in) * 0.625e0, proof_in + (proof_out - proof_in) * 0.75e0, source_in + 200 FROM tm WHERE angle = 'A' AND pos % 6 = 0)"
