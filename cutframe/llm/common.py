@@ -18,8 +18,15 @@ PRIME = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
+#: Rows in one Arrow batch at most: texts are long, and a batch is held by the JVM and by Python at once.
+BATCH_ROWS = 1000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver found it; once per application."""
+    """Let Python workers import this package wherever the driver found it, once per application; and bound Arrow batches of the session."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows, "10000")) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     sc = spark.sparkContext
     if getattr(sc, "_cutframe_shipped", None) != sc.applicationId:
         root = Path(__file__).resolve().parents[1]

@@ -135,17 +135,20 @@ def fit(labelled: DataFrame, *, text: str = "text", label: str = "lang", dimensi
     return LanguageModel(languages, codes, weights, trust / max(trust.sum(), 1e-9) * len(trust), dimensions, gap)
 
 
-def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Rows of docs (columns `keep`, by default all) with lang_pred, score and ambiguous; inputs of these names are replaced."""
-    made = ["lang_pred", "score", "ambiguous"]
+def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text", keep: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """Rows of docs (columns `keep`, by default all) with lang_pred, score and ambiguous, their names behind the prefix; inputs of these names are replaced."""
+    made = [prefix + n for n in ("lang_pred", "score", "ambiguous")]
     names = attach(docs.columns if keep is None else keep, made)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: dimensions x bits
+    rows = docs.select(*names) if text in names else docs.select(*names, F.col(text).alias("_text"))
+    source = text if text in names else "_text"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [shared.value.predict(t) for t in binary_column(batch, "_text")]
+            told = [shared.value.predict(t) for t in binary_column(batch, source)]
             columns = [batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([x[0] for x in told], pa.string()), pa.array([x[1] for x in told], pa.float64()), pa.array([x[2] for x in told], pa.bool_())], names=[*names, *made])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema] + ["lang_pred string, score double, ambiguous boolean"])
-    return docs.select(*names, F.col(text).alias("_text")).mapInArrow(work, schema)
+    kinds = ("string", "double", "boolean")
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema] + [f"`{n}` {k}" for n, k in zip(made, kinds, strict=True)])
+    return rows.mapInArrow(work, schema)
