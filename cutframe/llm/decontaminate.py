@@ -4,19 +4,24 @@
 2. Passages of 64 words are rows of a TF-IDF matrix A. One pass sums A'A.Omega for a fixed random Omega:
    each task multiplies its passages, Spark adds the products. From these the Nystrom form of a
    randomised SVD gives the leading right singular vectors and values; the latent space is whitened by the values.
-3. Each benchmark item is folded into the space. Windows of the power of two nearest to the item's length, a quarter
-   of it apart, slide over every document; a window's vector is a difference of prefix sums. Cosines above `cosine` are candidates.
-4. A candidate that shares at least the `weak` part of the item's word ids is checked on words: longest common subsequence of item and window, over the item's length, and
+3. Each benchmark item is folded into the space. Windows of twice the power of two nearest to the item's length (`size`), a
+   quarter of `size` apart, slide over every document, so each stretch of 1.75 `size` words, over 1.2 times the item, lies whole in one.
+   A window is a candidate unless an upper bound of the words it shares with the item (hashed ids; the slab's most frequent ids counted
+   exactly up to `levels`, others by every hit) rules the acceptance out. No window that the rules accept is lost by this.
+4. A candidate is checked on ids, then on words: longest common subsequence of item and window, over the item's length, and
    whether the item's answer (its last sentence, or last quarter where it is one sentence) stands there in order. A document leaks an
    item if the ratio is at least `strong`, or at least `weak` with the answer there.
+5. Cosine in the latent space, the greatest of the window's stretches of `size` words, ranks windows of equal ratio and is reported. It doesn't prune:
+   at the rules' edges it is lost in the noise of the space.
 
 Words are lower-cased, stripped of punctuation at their ends. Null and empty texts leak nothing; items without
-a word are left out; items repeated by id and text count once. Items shorter than `least_words` words must occur whole. Empty tables give empty results. Benchmarks
+a word are left out; items repeated by id and text count once. Items shorter than `least_words` words must occur whole (a ratio of 1). Empty tables give empty results. Benchmarks
 larger than `block` items are searched block by block, each over the whole corpus.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -181,21 +186,29 @@ def items_of(rows: list) -> list[Item]:
     return out
 
 
-def common_subsequence(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence, with the rows of the table as bits of one integer."""
-    where: dict[str, int] = {}
+def _places(a: list) -> dict:
+    """The places of each element, as bits."""
+    where: dict = {}
     for i, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << i
-    row = full = (1 << len(a)) - 1
+    return where
+
+
+def _common(where: dict, n: int, b: list) -> int:
+    row = full = (1 << n) - 1
     for y in b:
-        hit = row & where.get(y, 0)
-        row = (row + hit | row - hit) & full
-    return len(a) - row.bit_count()
+        if hit := row & where.get(y, 0):
+            row = (row + hit | row - hit) & full
+    return n - row.bit_count()
+
+
+def common_subsequence(a: list[str], b: list[str]) -> int:
+    """Length of the longest common subsequence, with the rows of the table as bits of one integer."""
+    return _common(_places(a), len(a), b)
 
 
 @dataclass
 class Rules:
-    cosine: float = 0.55
     strong: float = 0.7
     weak: float = 0.5
     least_words: int = 8
@@ -204,21 +217,29 @@ class Rules:
 class _Search:
     """Searches documents for a block of items. Window sizes are powers of two, each item has the nearest."""
 
-    step, slab_words = 4, 1 << 15
+    slab_words, tile, frequent, levels = 1 << 15, 256, 64, 3
 
     def __init__(self, space: LatentSpace, items: list[Item], rules: Rules) -> None:
-        self.items, self.rules, self.ids = items, rules, WordIds(space.dimensions)
-        self.words = np.vstack([space.words, np.zeros((1, space.words.shape[1]), np.float32)])  # the last row pads documents
+        self.items, self.rules, self.space = items, rules, space.words
+        ids = WordIds(space.dimensions)
+        own = [ids.of(i.words) for i in items]
+        self.own = [(_places(x.tolist()), len(x)) for x in own]
+        self.answers = [(_places(ids.of(i.answer).tolist()), len(i.answer)) for i in items]
+        self.vectors = [self.space[x].sum(axis=0) for x in own]
+        share = min(rules.weak, rules.strong)
+        self.need = np.array([n if n < rules.least_words else math.ceil(share * n - 1e-9) for _, n in self.own], np.float32)
         by_size: dict[int, list[int]] = {}
-        own = [self.ids.of(i.words) for i in items]
         for k, item in enumerate(items):
-            by_size.setdefault(max(16, 2 ** round(np.log2(len(item.words)))), []).append(k)
+            by_size.setdefault(max(4, 2 ** round(np.log2(len(item.words)))), []).append(k)
         self.groups = []
         for size, members in sorted(by_size.items()):
-            v = np.array([self.words[own[k]].sum(axis=0) for k in members])
-            self.groups.append((size, np.array(members), (v / np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]).astype(np.float32)))
-        self.bags = [set(x.tolist()) for x in own]
-        self.longest = max((g[0] for g in self.groups), default=16)
+            for at in range(0, len(members), self.tile):
+                part = members[at : at + self.tile]
+                counts = np.zeros((space.dimensions + 1, len(part)), np.int32)  # the last row pads documents
+                for j, k in enumerate(part):
+                    np.add.at(counts[:, j], own[k], 1)
+                self.groups.append((size, np.array(part), counts))
+        self.longest = max((g[0] for g in self.groups), default=4)
 
     def batch(self, ids: list[np.ndarray], texts) -> dict[int, list[tuple[int, float, float, bool, int, int]]]:
         """For each document with a leak: (item number, cosine, ratio, answer there, first word, end word) of each leaked item's best window.
@@ -240,42 +261,78 @@ class _Search:
         return {i: [(k, *v) for k, v in sorted(best.items())] for i, best in out.items()}
 
     def _slab(self, parts: list[tuple[int, int, np.ndarray]], ids: list[np.ndarray], texts, out: dict) -> None:
-        step = self.step
-        chunks = np.array([-(-len(x) // step) for _, _, x in parts])
-        first = np.cumsum(chunks) - chunks
-        padded = np.full(int(chunks.sum()) * step, len(self.words) - 1)
-        for (_, _, x), c in zip(parts, first, strict=True):
-            padded[c * step : c * step + len(x)] = x
-        sums = self.words[padded].reshape(-1, step, self.words.shape[1]).sum(axis=1, dtype=np.float64)
-        prefix = np.zeros((len(sums) + 1, sums.shape[1]))
-        np.cumsum(sums, axis=0, out=prefix[1:])
-        checked = set()
-        for size, members, vectors in self.groups:
-            starts = np.arange(0, len(sums), size // (4 * step))
-            windows = (prefix[np.minimum(starts + size // step, len(sums))] - prefix[starts]).astype(np.float32)
-            floor = self.rules.cosine * np.sqrt(np.einsum("ij,ij->i", windows, windows)) + 1e-9
-            cosines = windows @ vectors.T
-            for at, k in zip(*np.nonzero(cosines >= floor[:, None]), strict=True):
-                p = int(np.searchsorted(first, starts[at], "right")) - 1
-                i, offset, _ = parts[p]
-                start = offset + int(starts[at] - first[p]) * step
-                if (i, members[k], start) not in checked:
-                    checked.add((i, members[k], start))
-                    self._check(int(members[k]), float(cosines[at, k] / floor[at] * self.rules.cosine), ids[i], start, size, lambda i=i: texts(i), out.setdefault(i, {}))
-                    if not out[i]:
-                        del out[i]
-
-    def _check(self, k: int, cosine: float, ids: np.ndarray, start: int, size: int, text, best: dict[int, tuple]) -> None:
-        item, rules, bag = self.items[k], self.rules, self.bags[k]
-        a, b = max(0, start - size // 2), min(len(ids), start + size + size // 2)
-        if len(bag.intersection(ids[a:b].tolist())) < rules.weak * len(bag):
+        d, held = len(self.space), {}
+
+        def read(i: int) -> list[str]:
+            if i not in held:
+                held[i] = plain_words(texts(i))
+            return held[i]
+
+        often = np.bincount(np.concatenate([x for _, _, x in parts]), minlength=d)
+        often = np.argsort(-often, kind="stable")[: self.frequent]
+        one_hot = np.zeros((d + 1, len(often)), np.uint8)
+        one_hot[often, np.arange(len(often))] = 1
+        now, first, padded, features = None, None, None, None
+        for size, members, counts in self.groups:
+            stride = size // 4
+            if now != size:
+                chunks = np.array([-(-len(x) // stride) for _, _, x in parts])
+                first = np.cumsum(chunks) - chunks
+                padded = np.full((int(chunks.sum()) + 7) * stride, d)
+                for (_, _, x), c in zip(parts, first, strict=True):
+                    padded[c * stride : c * stride + len(x)] = x
+                seen = _window_sums(one_hot, padded, stride)
+                now, features = size, np.concatenate([seen >= j for j in range(1, self.levels + 1)], axis=1).astype(np.float32)
+            rest = np.minimum(counts, 1).astype(np.uint8)
+            rest[often] = 0
+            c = counts[often]
+            gains = np.concatenate([*(c >= j for j in range(1, self.levels)), np.maximum(c - self.levels + 1, 0)]).astype(np.float32)
+            bound = features @ gains
+            bound += _window_sums(rest, padded, stride)
+            for at, j in zip(*np.nonzero(bound >= self.need[members]), strict=True):
+                p = int(np.searchsorted(first, at, "right")) - 1
+                i, offset, x = parts[p]
+                a = int(at - first[p]) * stride
+                self._check(int(members[j]), i, x[a : a + 2 * size], offset + a, size, lambda i=i: read(i), out)
+
+    def _check(self, k: int, i: int, ids: np.ndarray, start: int, size: int, text, out: dict) -> None:
+        rules, n, listed = self.rules, self.own[k][1], ids.tolist()
+
+        def leaked(ratio: float, answer) -> bool:
+            return ratio == 1 if n < rules.least_words else ratio >= rules.strong or ratio >= rules.weak and answer()
+
+        # equal words have equal ids, so what fails on ids fails on words
+        if not leaked(_common(*self.own[k], listed) / n, lambda: _common(*self.answers[k], listed) == self.answers[k][1]):
             return
-        words = plain_words(text())[a:b]
-        ratio = common_subsequence(item.words, words) / len(item.words)
+        item, words = self.items[k], text()[start : start + len(ids)]
+        ratio = common_subsequence(item.words, words) / n
         answer = common_subsequence(item.answer, words) == len(item.answer)
-        leaked = ratio == 1 if len(item.words) < rules.least_words else ratio >= rules.strong or ratio >= rules.weak and answer
-        if leaked and (k not in best or (ratio, cosine) > best[k][1::-1]):
-            best[k] = (cosine, ratio, answer, a, b)
+        if not leaked(ratio, lambda: answer):
+            return
+        best = out.setdefault(i, {})
+        cosine = self._cosine(k, ids, size)
+        if k not in best or (ratio, cosine) > best[k][1::-1]:
+            best[k] = (cosine, ratio, answer, start, start + len(ids))
+
+    def _cosine(self, k: int, ids: np.ndarray, size: int) -> float:
+        """The greatest cosine of the item and a stretch of `size` words."""
+        total = np.zeros((len(ids) + 1, self.space.shape[1]))
+        np.cumsum(self.space[ids], axis=0, out=total[1:])
+        at = np.arange(0, max(1, len(ids) - size + 1), size // 4)
+        v = total[np.minimum(at + size, len(ids))] - total[at]
+        norms = np.linalg.norm(v, axis=1) * np.linalg.norm(self.vectors[k])
+        return float((v @ self.vectors[k] / np.maximum(norms, 1e-12)).max())
+
+
+def _window_sums(table: np.ndarray, words: np.ndarray, stride: int) -> np.ndarray:
+    """For each window of eight strides, a stride apart, the sum of the table's rows of its words."""
+    kind = np.uint8 if 8 * stride < 256 else np.uint16 if 8 * stride < 65536 else np.uint32
+    total = table[words[::stride]].astype(kind)
+    for j in range(1, stride):
+        total += table[words[j::stride]]
+    for step in (1, 2, 4):
+        total = total[:-step] + total[step:]
+    return total
 
 
 def _blocks(benchmark: DataFrame, block: int) -> Iterator[list[Item]]:
