@@ -12,7 +12,8 @@ over the blocks' exits finds the one true entry of each block. Only candidates o
 put together again from their pieces.
 
 A null html is an empty payload; null ids and urls leave their header out. Rows with the group's smallest id are all
-responses, repeated rows too; a group without any id has only responses. Files that don't start with a record have none.
+responses, repeated rows too; a group without any id has only responses. Files that don't start with a record have none; a file
+whose chain of records stops before its end is an error.
 """
 
 from __future__ import annotations
@@ -45,11 +46,12 @@ def write_warc(pages: DataFrame, path: str, *, least: int = 100, date: str = "19
     def line(name: str, value: Column) -> Column:
         return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit(LINE))).otherwise("")
 
+    url = F.regexp_replace("url", r"[\r\n]+", " ")  # a space after it, which readers strip, keeps its end from being a magic line
     text = F.concat(
         F.lit(MAGIC),
         line("WARC-Type", F.when(F.col("_revisit"), "revisit").otherwise("response")),
         line("WARC-Date", F.lit(date)),
-        line("WARC-Target-URI", F.regexp_replace("url", r"[\r\n]+", " ")),
+        line("WARC-Target-URI", F.when(url.endswith(MAGIC.strip()), F.concat(url, F.lit(" "))).otherwise(url)),
         line("WARC-Page-ID", F.col("page_id").cast("string")),
         line("WARC-Refers-To-Page-ID", F.when(F.col("_revisit"), F.col("_first").cast("string"))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("_digest"))),
@@ -64,7 +66,7 @@ def write_warc(pages: DataFrame, path: str, *, least: int = 100, date: str = "19
 
 def _header(row: bytes) -> tuple[dict[str, str], int] | None:
     """Fields by lower-case name and the payload's place in the row; None where no header stands."""
-    end = row.find(b"\r\n\r\n", 0, 65536)
+    end = row.find(b"\r\n\r\n")
     if end < 0:
         return None
     fields = {}
@@ -166,7 +168,7 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _entries(candidates: DataFrame) -> DataFrame:
-    """(file, block, entry): for each block that the chain from the file's start enters, the interval number of the candidate where it does."""
+    """(file, block, entry, exit): for each block that the chain from the file's start enters, the interval number of the candidate where it does, and where the chain leaves."""
     exits = candidates.select("file", F.col("exit").alias("at")).distinct()
     nodes = candidates.join(exits, ["file", "at"], "left_semi").unionByName(candidates.filter("at = 0")).select("file", "at", "exit", "block", "tin").distinct()
     nodes = written(nodes, "chain-nodes")
@@ -177,11 +179,20 @@ def _entries(candidates: DataFrame) -> DataFrame:
         reached = written(reached.unionByName(further).distinct(), "chain-reached")
         grown = reached.count()
         if grown == count:
-            return reached.join(nodes, ["file", "at"]).select("file", "block", F.col("tin").alias("entry"))
+            return reached.join(nodes, ["file", "at"]).select("file", "block", F.col("tin").alias("entry"), "exit")
         count = grown
         jump = written(jump.join(jump.select("file", F.col("at").alias("exit"), F.col("exit").alias("further")), ["file", "exit"], "left").select("file", "at", F.coalesce("further", "exit").alias("exit")), "chain-jump")
 
 
+def _ends_reached(entries: DataFrame, blocks: DataFrame) -> None:
+    """Raises where the chain from a file's start stops before the file's end: the records after it would be missing."""
+    ends = entries.groupBy("file").agg(F.max("exit").alias("end"))
+    sizes = blocks.groupBy("file").agg((F.sum("total") - len(MAGIC)).alias("size"))  # no magic line follows the last piece
+    short = ends.join(sizes, "file").filter("end < size").orderBy("file").limit(5).collect()
+    if short:
+        raise ValueError("no record at " + ", ".join(f"byte {r.end} of {r.size} in {r.file}" for r in short))
+
+
 def read_warc(spark: SparkSession, path: str, *, with_payload: bool = False) -> DataFrame:
     """One row per record of the archives under path: file, at (offset), record_type, page_id, url, refers_to,
     payload_bytes and payload_digest of the full payload (a revisit's from its header), intact (the digest of what was
@@ -194,7 +205,8 @@ def read_warc(spark: SparkSession, path: str, *, with_payload: bool = False) ->
     placed = found.filter("total is null").drop("total").join(starts, ["file", "block"])
     moved = placed.withColumns({c: F.col(c) + F.col("first") for c in ("at", "successor", "exit", "body_at")}).drop("first")
     entries = written(_entries(moved.select("file", "block", "at", "exit", "tin")), "chain-entries")
-    records = moved.join(entries, ["file", "block"]).filter("tin <= entry and entry < tin + size")
+    _ends_reached(entries, blocks)
+    records = moved.join(entries.drop("exit"), ["file", "block"]).filter("tin <= entry and entry < tin + size")
     broken = written(records.filter("not whole").select("file", "at", "body_at", "body_bytes", "successor"), "split-records")
     if broken.limit(1).count():
         grain = 1 << 20
