@@ -2,10 +2,11 @@
 
 Base kinds are found by their patterns. The method adds candidate strings: maximal runs of
 `[A-Za-z0-9+/_=-]` of 20 to 4096 characters, or longer. A window of 20 characters slides over a candidate; for its
-character class (hex digits, or the wider base-64 alphabet) it keeps counts that change by one
+character class (hex digits, letters of both cases, or letters of one case; the last two with the other base-64 characters) it keeps counts that change by one
 character in and one out, and with them the sum of c log2 c, so a step doesn't count the window again. A candidate
 whose largest window entropy reaches the class's threshold is a span, unless the allow-list suppresses
-it: no digit (words and paths of words), only digits, UUIDs, runs of one alphabet in order, or a
+it: no digit (words and paths of words), only digits, letters of one case that meet a digit fewer than
+twice (words with dates and numbers), UUIDs, runs of one alphabet in order, or a
 placeholder word inside. The allow-list never suppresses a base span.
 
 Positions are code points, ends exclusive. A null text counts as empty and has no span. Texts are
@@ -27,7 +28,7 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"  # AKIA[A-Z0-9]+ of 16 characters or more: runs ar
 HEX = r"[0-9a-f]{32,}"  # [0-9a-f]+ of 32 characters or more
 #: What each match of ASSIGN has in it: a keyword's last letter before the sign. Cheaper to look for.
 BEFORE_VALUE = r"""[dDtTnNyY]["']?\x20*[:=]"""
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_single")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 
 #: Fixed values of the allow-list.
@@ -36,7 +37,10 @@ PLACEHOLDER = r"(?i)example|placeholder|changeme|redacted|dummy|xxxx|lorem|01234
 
 WINDOW = 20
 #: Bits of entropy in a window of 20 from which a candidate counts.
-LEAST_BITS = {"entropy_hex": 2.9, "entropy_base64": 3.7}
+LEAST_BITS = {"entropy_hex": 2.9, "entropy_base64": 3.7, "entropy_single": 3.3}
+#: Where a letter and a digit meet. Words, dates and numbers between separators have few such places, random strings many.
+MEET = r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])"
+LEAST_MEETS = 2
 
 
 def _pieces(text: Column, pattern: str) -> Column:
@@ -115,9 +119,13 @@ def _suspicious(word: Column) -> Column:
     """The entropy kind of a candidate string, null where it is none or is allowed."""
     allowed = ~word.rlike("[0-9]") | ~word.rlike("[A-Za-z]") | word.rlike(UUID) | word.rlike(PLACEHOLDER)
     is_hex = word.rlike("^([0-9a-f]+|[0-9A-F]+)$")
-    mixed_case = word.rlike("[A-Z]") & word.rlike("[a-z]")
-    bits = F.when(allowed | ~(is_hex | mixed_case), F.lit(0.0)).otherwise(window_entropy(word))
-    return F.when(is_hex & (bits >= LEAST_BITS["entropy_hex"]), F.lit(KINDS.index("entropy_hex"))).when(~is_hex & (bits >= LEAST_BITS["entropy_base64"]), F.lit(KINDS.index("entropy_base64")))
+    single = ~is_hex & ~(word.rlike("[A-Z]") & word.rlike("[a-z]"))
+    parted_hex = word.rlike("^([0-9a-f+/_=-]+|[0-9A-F+/_=-]+)$")
+    least = F.when(is_hex | (single & parted_hex), LEAST_BITS["entropy_hex"]).when(single, LEAST_BITS["entropy_single"]).otherwise(LEAST_BITS["entropy_base64"])
+    allowed = allowed | (single & (F.regexp_count(word, F.lit(MEET)) < LEAST_MEETS))
+    kind = F.when(is_hex, KINDS.index("entropy_hex")).when(single, KINDS.index("entropy_single")).otherwise(KINDS.index("entropy_base64"))
+    bits = F.when(allowed, F.lit(0.0)).otherwise(window_entropy(word))
+    return F.when(bits >= least, kind)
 
 
 def _entropic(text: Column) -> Column:
