@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.blocks import greedy, overlap
@@ -35,18 +35,34 @@ def strip_aggregates(events: DataFrame, denied: list[str]) -> DataFrame:
     return events.withColumn("dropped", dropped).withColumn("fields", F.map_filter("fields", lambda k, v: ~F.array_contains(keys, k)))
 
 
-def aggregate_hits(docs: DataFrame, pattern: str, depth: int = 4) -> DataFrame:
-    """doc_id, path of every key in JSON documents (doc_id, json), down to `depth` levels, that looks like a total or a ranking."""
-    level = docs.select("doc_id", F.lit("$").alias("path"), F.col("json").alias("j"))
-    hits = None
-    for _ in range(depth):
-        keyed = level.select("doc_id", "path", "j", F.explode_outer(F.json_object_keys("j")).alias("k")).filter("k is not null")
-        keyed = keyed.select("doc_id", F.concat("path", F.lit("."), "k").alias("path"), "k", F.try_variant_get(F.try_parse_json("j"), "$", "map<string,variant>").alias("m"))
-        keyed = keyed.select("doc_id", "path", "k", F.to_json(F.element_at("m", F.col("k"))).alias("j"))
-        found = keyed.filter(F.col("k").rlike(pattern)).select("doc_id", "path")
-        hits = found if hits is None else hits.unionByName(found)
-        level = keyed.select("doc_id", "path", "j")
-    return hits
+def _nesting(j: Column) -> Column:
+    """How deep the brackets of a JSON text nest, those in strings left out."""
+    bare = F.regexp_replace(F.regexp_replace(j, r'"(\\.|[^"\\])*"', ""), r"[^\[\]{}]", "")
+    steps = F.transform(F.split(bare, ""), lambda c: F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    return F.aggregate(steps, start, lambda x, s: F.struct((x["now"] + s).alias("now"), F.greatest(x["most"], x["now"] + s).alias("most")), lambda x: x["most"])
+
+
+def _children(path: Column, j: Column) -> Column:
+    """(path, key, JSON) of each member of an object and, without a key, of each element of an array."""
+    v = F.try_parse_json(j)
+    members = F.try_variant_get(v, "$", "map<string,variant>")
+    of_object = F.transform(F.json_object_keys(j), lambda k: F.struct(F.concat(path, F.lit("."), k).alias("path"), k.alias("k"), F.to_json(F.element_at(members, k)).alias("j")))
+    of_array = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x, i: F.struct(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), F.lit(None).cast("string").alias("k"), F.to_json(x).alias("j")))
+    return F.coalesce(of_object, of_array, F.array().cast("array<struct<path:string,k:string,j:string>>"))
+
+
+def aggregate_hits(docs: DataFrame, pattern: str) -> DataFrame:
+    """doc_id, path of every key in JSON documents (doc_id, json), in objects and arrays at any level, that looks like a total or a ranking.
+
+    One action finds how deep the documents nest; the plan has one step per level.
+    """
+    deepest = docs.select(F.max(_nesting(F.col("json"))).alias("n")).first().n or 0
+    rows = docs.select("doc_id", F.lit("$").alias("path"), F.lit(None).cast("string").alias("k"), F.col("json").alias("j"))
+    for _ in range(deepest):
+        done = F.struct("path", "k", F.lit(None).cast("string").alias("j"))
+        rows = rows.select("doc_id", F.explode(F.when(F.col("j").rlike(r"^\s*[\[{]"), F.concat(F.array(done), _children(F.col("path"), F.col("j")))).otherwise(F.array(done))).alias("x")).select("doc_id", "x.path", "x.k", "x.j")
+    return rows.filter(F.col("k").rlike(pattern)).select("doc_id", "path")
 
 
 def performance_envelope(cands: DataFrame, lag: float, tolerance: float = 0.036) -> DataFrame:
