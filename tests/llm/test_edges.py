@@ -84,6 +84,31 @@ def test_large_near_copy_group(spark):
     assert {r.doc_id: r.class_id for r in neardup.near_duplicate_classes(df).collect()} == classes_by_brute_force(texts)
 
 
+@pytest.mark.parametrize("counted", [True, False])
+def test_cloud_of_near_copies(spark, counted):
+    """Copies too far from their originals to be linked to them, chains of closer ones among them, repeated lines and equal words in other white space."""
+    from .test_query_results import classes_by_brute_force
+
+    rng = random.Random(7)
+    texts = {}
+    bases = [[f"{k}a{rng.randrange(9999)}" for _ in range(150)] for k in range(2)]
+    for i in range(220):
+        copy = list(bases[i % 2])
+        for _ in range(rng.choice((2, 4, 6, 8, 9))):
+            copy[rng.randrange(len(copy))] = f"b{rng.randrange(99999)}"
+        if i > 20 and i % 7 == 0:
+            copy = texts[i - 20].split()
+            copy[rng.randrange(len(copy))] = f"c{i}"
+        if i % 11 == 0:
+            copy += copy[:10] * rng.choice((1, 3, 5))
+        texts[i] = " ".join(copy)
+    for i in range(220, 240):
+        texts[i] = texts[9].replace(" ", " " * (i - 210), 1)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicate_classes(df, counted=counted).collect()}
+    assert got == classes_by_brute_force(texts, counted=counted)
+
+
 def test_weighted_signature_estimates_weighted_jaccard():
     rng = np.random.default_rng(1)
     items = rng.integers(1, 2**63, 60).astype(np.uint64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -64,13 +64,15 @@ def test_op4(spark, sf_dir, docs):
     assert [(r.n_words, r.n_removed, r.kept_sha256) for r in rows] == brute([d.text for d in docs], 35)
 
 
-def classes_by_brute_force(texts: dict[int, str | None], threshold: float = 0.8) -> dict[int, int]:
+def classes_by_brute_force(texts: dict[int, str | None], threshold: float = 0.8, counted: bool = True) -> dict[int, int]:
+    """counted: the n-th time of a shingle is an element of its own, so that sets of elements weigh shingles by their number."""
     sets = {}
     for i, t in texts.items():
         w = (t or "").encode().split()
         if w:
             n = min(5, len(w))
-            sets[i] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+            times = Counter(tuple(w[k : k + n]) for k in range(len(w) - n + 1))
+            sets[i] = {(g, j) for g, m in times.items() for j in range(m if counted else 1)}
     parent = {i: i for i in texts}
 
     def root(i):
