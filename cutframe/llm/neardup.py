@@ -197,14 +197,13 @@ def _pairs_by_differences(stars: DataFrame, comps: DataFrame, sets: DataFrame, t
     full = placed.join(several, "a", "left_semi").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b").join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
     diffs = written(full.mapInArrow(_differences, "c bigint, id bigint, comp bigint, n int, m int, diff array<bigint>"), "differences")
     each = diffs.select("c", "id", "comp", "n", "m", F.size("diff").alias("d"), F.explode("diff").alias("e"))
-    often = each.groupBy("c", "e").agg(F.count("*").alias("k"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("k > 1")
-    shared = each.join(often.select("c", "e", "k", (F.col("c0") != F.col("c1")).alias("mixed")), ["c", "e"])
-    member = Window.partitionBy("c", "id")
+    alike, member = Window.partitionBy("c", "e"), Window.partitionBy("c", "id")
+    shared = each.withColumns({"k": F.count("*").over(alike), "c0": F.min("comp").over(alike), "c1": F.max("comp").over(alike)}).filter("k > 1")
     placed = shared.withColumn("p", F.col("d") - F.count("*").over(member) + F.row_number().over(member.orderBy("k", "e")) - 1)
     linked = F.col("d") <= r * (F.col("n") + F.col("m")) + 1e-9
     tight = F.col("p") <= F.col("d") - F.floor((F.col("d") + r * (F.col("m") - F.col("n"))) / 2 - 1e-9) - 1
     loose = ~linked & (F.col("p") <= F.col("d") - F.ceil((F.col("d") - r * (F.col("n") + F.col("m"))) / (1 + r) - 1e-9))
-    kept = placed.withColumns({"linked": linked, "tight": tight}).filter(F.col("mixed") & (tight | loose))
+    kept = placed.withColumns({"linked": linked, "tight": tight}).filter((F.col("c0") != F.col("c1")) & (tight | loose))
     kept = written(kept.select("c", "e", "id", "comp", "n", "d", "p", "linked", "tight"), "prefixes")
     discard(diffs)
     x, y = kept.filter("tight").alias("x"), kept.filter("not linked").alias("y")
