@@ -6,8 +6,10 @@
    randomised SVD gives the leading right singular vectors and values; the latent space is whitened by the values.
 3. Each benchmark item is folded into the space. Windows of twice the power of two nearest to the item's length (`size`), a
    quarter of `size` apart, slide over every document, so each stretch of 1.75 `size` words, over 1.2 times the item, lies whole in one.
-   A window is a candidate unless an upper bound of the words it shares with the item (hashed ids; the slab's most frequent ids counted
-   exactly up to `levels`, others by every hit) rules the acceptance out. No window that the rules accept is lost by this.
+   A window that shares m of the item's n words holds k of any n - m + k of them, so one that `strong` accepts
+   holds k of the item's n - m + k rarest words (hashed ids); one that `weak` accepts does so with a smaller m, and holds the answer's
+   rarest word. Either test makes candidates, each in its cheapest form by the corpus' word counts. No window that the rules accept is
+   lost by this; it costs a lookup a word, and work for the few words that are rare in some item.
 4. A candidate is checked on ids, then on words: longest common subsequence of item and window, over the item's length, and
    whether the item's answer (its last sentence, or last quarter where it is one sentence) stands there in order. A document leaks an
    item if the ratio is at least `strong`, or at least `weak` with the answer there.
@@ -15,8 +17,9 @@
    at the rules' edges it is lost in the noise of the space.
 
 Words are lower-cased, stripped of punctuation at their ends. Null and empty texts leak nothing; items without
-a word are left out; items repeated by id and text count once. Items shorter than `least_words` words must occur whole (a ratio of 1). Empty tables give empty results. Benchmarks
-larger than `block` items are searched block by block, each over the whole corpus.
+a word are left out; items repeated by id and text count once. Items shorter than `least_words` words must occur whole, word after word.
+Windows belong to one document, so results don't depend on how documents are dealt. Empty tables give empty results. Benchmarks
+larger than `block` items or BLOCK_CHARACTERS characters are searched block by block, each over the whole corpus.
 """
 
 from __future__ import annotations
@@ -35,7 +38,10 @@ from pyspark.sql import functions as F
 from .common import written
 
 STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "¿¡«»“”„’…"
-DIMENSIONS, RANK, PASSAGE, BLOCK_ROWS = 2048, 64, 64, 256
+#: Hashed ids of words, and those that the latent space tells apart (a divisor); its rank; words of a passage; passages of a matrix block.
+DIMENSIONS, LATENT, RANK, PASSAGE, BLOCK_ROWS = 1 << 16, 2048, 64, 64, 256
+#: Characters of items that are sent to every task at once at most, but for a single longer item.
+BLOCK_CHARACTERS = 8_000_000
 
 
 class WordIds(dict):
@@ -92,16 +98,23 @@ def _ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.frombuffer(raw, "<u2").astype(np.int64)
 
 
-def _frequencies(dimensions: int):
+def _frequencies(latent: int, dimensions: int):
+    """Documents by latent id; under -1 their number; and under latent + id how often each id occurs."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(dimensions, np.int64), 0
+        within, times, n = np.zeros(latent, np.int64), np.zeros(dimensions, np.int64), 0
         for batch in batches:
             for found in _ids(batch):
-                seen = np.zeros(dimensions, bool)
-                seen[found] = True
-                total += seen
+                seen = np.zeros(latent, bool)
+                seen[found % latent] = True
+                within += seen
                 n += 1
-        yield pa.RecordBatch.from_pydict({"word": pa.array([*range(dimensions), -1], pa.int32()), "n": pa.array([*total.tolist(), n], pa.int64())})
+                if len(found) > 5_000:
+                    times += np.bincount(found, minlength=dimensions)
+                else:
+                    np.add.at(times, found, 1)
+        at = np.flatnonzero(times)
+        yield pa.RecordBatch.from_pydict({"word": pa.array(np.r_[np.arange(latent), -1, at + latent].astype(np.int32)), "n": pa.array(np.r_[within, n, times[at]])})
 
     return work
 
@@ -116,7 +129,7 @@ def _sketch(idf: np.ndarray, omega: np.ndarray):
 
         def add() -> None:
             n = np.array([len(x) for x in waiting])
-            words = np.concatenate(waiting)
+            words = np.concatenate(waiting) % d
             cell = np.repeat(np.arange(len(waiting)), n) * d + words
             a = np.bincount(cell, weights=idf[words], minlength=len(waiting) * d).astype(np.float32).reshape(len(waiting), d)
             a /= np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-9)[:, None]
@@ -138,26 +151,27 @@ def _sketch(idf: np.ndarray, omega: np.ndarray):
 
 @dataclass
 class LatentSpace:
-    """The vector of each hashed word: idf times its row of the whitened right singular vectors."""
+    """The vector of each latent id: idf times its row of the whitened right singular vectors; and each word id's share of all words."""
 
     words: np.ndarray
+    share: np.ndarray | None = None
 
-    @property
-    def dimensions(self) -> int:
-        return len(self.words)
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        return self.words[ids % len(self.words)]
 
 
-def latent_space(table: DataFrame, *, dimensions: int = DIMENSIONS, rank: int = RANK, seed: int = 7) -> LatentSpace:
-    """Fitted on every passage of a tokenised table; sums of dimensions x rank numbers are all that reaches the driver."""
+def latent_space(table: DataFrame, *, dimensions: int = DIMENSIONS, latent: int = LATENT, rank: int = RANK, seed: int = 7) -> LatentSpace:
+    """Fitted on every passage of a tokenised table; word counts and sums of latent x rank numbers are all that reaches the driver."""
     texts = table.select("_ids")
-    counts = np.zeros(dimensions + 1)
-    for r in texts.mapInArrow(_frequencies(dimensions), "word int, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect():
-        counts[r.word] = r.n  # the last cell, -1, is the number of documents
-    idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 0.1
-    omega = np.random.default_rng(seed).standard_normal((dimensions, rank + 8)).astype(np.float32)
+    rows = texts.mapInArrow(_frequencies(latent, dimensions), "word int, n bigint").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(latent + dimensions + 1)
+    counts[rows["word"].to_numpy()] = rows["n"].to_numpy()  # the last cell, -1, is the number of documents
+    idf = np.log((1 + counts[-1]) / (1 + counts[:latent])) + 0.1
+    times = counts[latent:-1]
+    omega = np.random.default_rng(seed).standard_normal((latent, rank + 8)).astype(np.float32)
     sums = texts.mapInArrow(_sketch(idf, omega), "word int, row array<double>")
     cells = [F.sum(F.col("row")[j]).alias(f"c{j}") for j in range(rank + 8)]
-    y = np.zeros((dimensions, rank + 8))
+    y = np.zeros((latent, rank + 8))
     for r in sums.groupBy("word").agg(*cells).collect():
         y[r.word] = r[1:]
     # Nystrom: G = A'A is about Y (Omega'Y)^-1 Y'; with Omega'Y + shift = C C', the SVD of Y C^-T has the eigenvectors of G
@@ -167,7 +181,7 @@ def latent_space(table: DataFrame, *, dimensions: int = DIMENSIONS, rank: int =
     lower = np.linalg.cholesky(core + (shift + max(0.0, -2 * np.linalg.eigvalsh(core)[0])) * np.eye(len(core)))
     left, sizes, _ = np.linalg.svd(np.linalg.solve(lower, y.T).T, full_matrices=False)
     left, sizes = left[:, :rank], sizes[:rank]
-    return LatentSpace((idf[:, None] * left / np.maximum(sizes, 1e-6 * max(sizes[0], 1e-12))).astype(np.float32))
+    return LatentSpace((idf[:, None] * left / np.maximum(sizes, 1e-6 * max(sizes[0], 1e-12))).astype(np.float32), times / max(1.0, times.sum()))
 
 
 @dataclass
@@ -217,29 +231,55 @@ class Rules:
 class _Search:
     """Searches documents for a block of items. Window sizes are powers of two, each item has the nearest."""
 
-    slab_words, tile, frequent, levels = 1 << 15, 256, 64, 3
+    slab_words, clustered, check_cost = 1 << 17, 2, 40
 
     def __init__(self, space: LatentSpace, items: list[Item], rules: Rules) -> None:
-        self.items, self.rules, self.space = items, rules, space.words
-        ids = WordIds(space.dimensions)
+        self.items, self.rules, self.space = items, rules, space
+        ids = WordIds(DIMENSIONS)
         own = [ids.of(i.words) for i in items]
         self.own = [(_places(x.tolist()), len(x)) for x in own]
         self.answers = [(_places(ids.of(i.answer).tolist()), len(i.answer)) for i in items]
-        self.vectors = [self.space[x].sum(axis=0) for x in own]
-        share = min(rules.weak, rules.strong)
-        self.need = np.array([n if n < rules.least_words else math.ceil(share * n - 1e-9) for _, n in self.own], np.float32)
-        by_size: dict[int, list[int]] = {}
-        for k, item in enumerate(items):
-            by_size.setdefault(max(4, 2 ** round(np.log2(len(item.words)))), []).append(k)
-        self.groups = []
-        for size, members in sorted(by_size.items()):
-            for at in range(0, len(members), self.tile):
-                part = members[at : at + self.tile]
-                counts = np.zeros((space.dimensions + 1, len(part)), np.int32)  # the last row pads documents
-                for j, k in enumerate(part):
-                    np.add.at(counts[:, j], own[k], 1)
-                self.groups.append((size, np.array(part), counts))
-        self.longest = max((g[0] for g in self.groups), default=4)
+        self.vectors = [space.of(x).sum(axis=0) for x in own]
+        self.size = np.array([max(4, 2 ** round(np.log2(len(x)))) for x in own], np.int64)
+        self.longest = int(self.size.max(initial=4))
+        share = space.share if space.share is not None else np.full(DIMENSIONS, 1 / DIMENSIONS)
+        marks, self.item, self.hits = [], [], []  # a mark: an item, ids, and how many of them a candidate holds
+        self.least, self.answer_ids = [], []
+        for j, x in enumerate(own):
+            n, short = len(x), len(x) < rules.least_words
+            of = lambda ratio, n=n, short=short: n if short else max(1, math.ceil(ratio * n - 1e-9))
+            rarest = x[np.lexsort((x, share[x]))]
+            answer = np.unique(ids.of(items[j].answer))
+            self.least.append(of(min(rules.weak, rules.strong)))
+            self.answer_ids.append(frozenset(answer.tolist()))
+            made = [self._mark(rarest, share, of(rules.strong), int(self.size[j]))]
+            if rules.weak < rules.strong and not short:
+                anchor = answer[np.argmin(share[answer])][None]
+                made.append(min(self._mark(rarest, share, of(rules.weak), int(self.size[j])), self._mark(anchor, share, 1, int(self.size[j])), key=lambda m: m[0]))
+            for _, k, rare in made:
+                marks.append(np.stack([rare, np.full(len(rare), len(self.hits))]))
+                self.hits.append(k)
+                self.item.append(j)
+        self.item, self.hits = np.array(self.item, np.int64), np.array(self.hits, np.int64)
+        rare, mark = np.concatenate(marks, axis=1) if marks else np.zeros((2, 0), np.int64)
+        order = np.argsort(rare, kind="stable")
+        self.mark_of = mark[order]
+        self.first = np.searchsorted(rare[order], np.arange(DIMENSIONS + 1))
+        self.many = np.diff(self.first)
+
+    def _mark(self, rarest: np.ndarray, share: np.ndarray, m: int, size: int) -> tuple[float, int, np.ndarray]:
+        """(cost a word, k, ids): k of the n - m + k rarest words, with the k that costs least: each hit is sorted, each window that k words hit by
+        chance is checked. Words come in clusters (one language or subject), hence the factor."""
+        n, best = len(rarest), None
+        for k in range(1, m + 1):
+            rare = np.unique(rarest[: n - m + k])
+            hits = float(share[rare].sum())
+            mean = 2 * size * hits * self.clustered + 1e-12
+            chance = 1.0 if k <= mean else math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+            cost = hits + self.check_cost * (4 / size) * min(1.0, 2 * chance)
+            if best is None or cost < best[0]:
+                best = (cost, k, rare)
+        return best
 
     def batch(self, ids: list[np.ndarray], texts) -> dict[int, list[tuple[int, float, float, bool, int, int]]]:
         """For each document with a leak: (item number, cosine, ratio, answer there, first word, end word) of each leaked item's best window.
@@ -248,12 +288,13 @@ class _Search:
         """
         out: dict[int, dict[int, tuple]] = {}
         waiting, size = [], 0
+        step = max(self.slab_words, 4 * self.longest)
         for i, x in enumerate(ids):
-            for at in range(0, len(x), self.slab_words):  # a very long document goes in overlapping parts
-                part = x[max(0, at - 2 * self.longest) : at + self.slab_words]
+            for at in range(0, len(x), step):  # a very long document goes in overlapping parts
+                part = x[max(0, at - 2 * self.longest) : at + step]
                 waiting.append((i, max(0, at - 2 * self.longest), part))
                 size += len(part)
-                if size >= self.slab_words:
+                if size >= step:
                     self._slab(waiting, ids, texts, out)
                     waiting, size = [], 0
         if waiting:
@@ -261,47 +302,57 @@ class _Search:
         return {i: [(k, *v) for k, v in sorted(best.items())] for i, best in out.items()}
 
     def _slab(self, parts: list[tuple[int, int, np.ndarray]], ids: list[np.ndarray], texts, out: dict) -> None:
-        d, held = len(self.space), {}
+        held: dict[int, list[str]] = {}
 
         def read(i: int) -> list[str]:
             if i not in held:
                 held[i] = plain_words(texts(i))
             return held[i]
 
-        often = np.bincount(np.concatenate([x for _, _, x in parts]), minlength=d)
-        often = np.argsort(-often, kind="stable")[: self.frequent]
-        one_hot = np.zeros((d + 1, len(often)), np.uint8)
-        one_hot[often, np.arange(len(often))] = 1
-        now, first, padded, features = None, None, None, None
-        for size, members, counts in self.groups:
-            stride = size // 4
-            if now != size:
-                chunks = np.array([-(-len(x) // stride) for _, _, x in parts])
-                first = np.cumsum(chunks) - chunks
-                padded = np.full((int(chunks.sum()) + 7) * stride, d)
-                for (_, _, x), c in zip(parts, first, strict=True):
-                    padded[c * stride : c * stride + len(x)] = x
-                seen = _window_sums(one_hot, padded, stride)
-                now, features = size, np.concatenate([seen >= j for j in range(1, self.levels + 1)], axis=1).astype(np.float32)
-            rest = np.minimum(counts, 1).astype(np.uint8)
-            rest[often] = 0
-            c = counts[often]
-            gains = np.concatenate([*(c >= j for j in range(1, self.levels)), np.maximum(c - self.levels + 1, 0)]).astype(np.float32)
-            bound = features @ gains
-            bound += _window_sums(rest, padded, stride)
-            for at, j in zip(*np.nonzero(bound >= self.need[members]), strict=True):
-                p = int(np.searchsorted(first, at, "right")) - 1
-                i, offset, x = parts[p]
-                a = int(at - first[p]) * stride
-                self._check(int(members[j]), i, x[a : a + 2 * size], offset + a, size, lambda i=i: read(i), out)
+        words = np.concatenate([x for _, _, x in parts])
+        n = np.array([len(x) for _, _, x in parts])
+        begin = np.cumsum(n) - n
+        many = self.many[words]
+        hit = np.flatnonzero(many)
+        many = many[hit]
+        mark = self.mark_of[np.repeat(self.first[words[hit]] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+        order = np.argsort(mark, kind="stable")
+        mark, place = mark[order], np.repeat(hit, many)[order]
+        part, item = np.searchsorted(begin, place, "right") - 1, self.item[mark]
+        chunk = (place - begin[part]) // (self.size[item] // 4)  # parts begin at multiples of every stride
+        found = []
+        for k in np.unique(self.hits[mark]):
+            at = np.flatnonzero(self.hits[mark] == k)
+            a, b = at[: max(0, len(at) - k + 1)], at[k - 1 :]
+            near = (mark[a] == mark[b]) & (part[a] == part[b]) & (chunk[b] - chunk[a] < 8)
+            a, b = a[near], b[near]
+            low = np.maximum(chunk[b] - 7, 0)
+            wide = chunk[a] - low + 1
+            window = np.repeat(low - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())
+            found.append(np.stack([np.repeat(part[a], wide), np.repeat(item[a], wide), window]))
+        if not found:
+            return
+        p, k, window = np.concatenate(found, axis=1)
+        for key in np.unique((p * len(self.items) + k) << 32 | window).tolist():  # a document is shorter than 2 ** 32 strides
+            (p, k), window = divmod(key >> 32, len(self.items)), key & 0xFFFFFFFF
+            i, offset, x = parts[p]
+            size = int(self.size[k])
+            start = window * (size // 4)
+            self._check(k, i, x[start : start + 2 * size], offset + start, size, lambda i=i: read(i), out)
 
     def _check(self, k: int, i: int, ids: np.ndarray, start: int, size: int, text, out: dict) -> None:
         rules, n, listed = self.rules, self.own[k][1], ids.tolist()
 
         def leaked(ratio: float, answer) -> bool:
-            return ratio == 1 if n < rules.least_words else ratio >= rules.strong or ratio >= rules.weak and answer()
+            return ratio >= rules.strong or ratio >= rules.weak and answer()
 
+        if n < rules.least_words:
+            self._whole(k, i, ids, start, size, text, out)
+            return
         # equal words have equal ids, so what fails on ids fails on words
+        shared = sum(map(self.own[k][0].__contains__, listed))
+        if shared < self.least[k] or shared < rules.strong * n - 1e-9 and not self.answer_ids[k].issubset(listed):
+            return
         if not leaked(_common(*self.own[k], listed) / n, lambda: _common(*self.answers[k], listed) == self.answers[k][1]):
             return
         item, words = self.items[k], text()[start : start + len(ids)]
@@ -314,36 +365,35 @@ class _Search:
         if k not in best or (ratio, cosine) > best[k][1::-1]:
             best[k] = (cosine, ratio, answer, start, start + len(ids))
 
+    def _whole(self, k: int, i: int, ids: np.ndarray, start: int, size: int, text, out: dict) -> None:
+        """A short item: its words stand in the window, one after another."""
+        words = self.items[k].words
+        there = text()[start : start + len(ids)]
+        if i in out and k in out[i] or not any(there[j : j + len(words)] == words for j in range(len(there) - len(words) + 1)):
+            return
+        out.setdefault(i, {})[k] = (self._cosine(k, ids, size), 1.0, True, start, start + len(ids))
+
     def _cosine(self, k: int, ids: np.ndarray, size: int) -> float:
         """The greatest cosine of the item and a stretch of `size` words."""
-        total = np.zeros((len(ids) + 1, self.space.shape[1]))
-        np.cumsum(self.space[ids], axis=0, out=total[1:])
+        vectors = self.space.of(ids)
+        total = np.zeros((len(ids) + 1, vectors.shape[1]))
+        np.cumsum(vectors, axis=0, out=total[1:])
         at = np.arange(0, max(1, len(ids) - size + 1), size // 4)
         v = total[np.minimum(at + size, len(ids))] - total[at]
         norms = np.linalg.norm(v, axis=1) * np.linalg.norm(self.vectors[k])
         return float((v @ self.vectors[k] / np.maximum(norms, 1e-12)).max())
 
 
-def _window_sums(table: np.ndarray, words: np.ndarray, stride: int) -> np.ndarray:
-    """For each window of eight strides, a stride apart, the sum of the table's rows of its words."""
-    kind = np.uint8 if 8 * stride < 256 else np.uint16 if 8 * stride < 65536 else np.uint32
-    total = table[words[::stride]].astype(kind)
-    for j in range(1, stride):
-        total += table[words[j::stride]]
-    for step in (1, 2, 4):
-        total = total[:-step] + total[step:]
-    return total
-
-
 def _blocks(benchmark: DataFrame, block: int) -> Iterator[list[Item]]:
     """The items, a bounded number at a time."""
     rows = benchmark.select(F.col("item_id").cast("bigint"), "text").filter("text is not null").distinct().orderBy("item_id", "text")
-    held = []
+    held, characters = [], 0
     for r in rows.toLocalIterator():
         held.append((r[0], r[1]))
-        if len(held) == block:
+        characters += len(r[1])
+        if len(held) == block or characters >= BLOCK_CHARACTERS:
             yield items_of(held)
-            held = []
+            held, characters = [], 0
     if held:
         yield items_of(held)
 
@@ -357,7 +407,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", id_colum
     schema = f"`{id_column}` {kind}, item_id bigint, cosine double, ratio double, answer boolean, first_word bigint, end_word bigint"
     out = spark.createDataFrame([], schema)
     for items in _blocks(benchmark, block):
-        shared = spark.sparkContext.broadcast((space, items))  # dimensions x rank numbers and at most `block` items
+        shared = spark.sparkContext.broadcast((space, items))  # latent x rank numbers, word counts, and items of bounded number and size
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             search = _Search(*shared.value, rules)

@@ -81,3 +81,29 @@ def test_very_long_document():
         text = " ".join(filler[:at] + item.split() + filler[at:])
         found = search.batch([dc.WordIds(dc.DIMENSIONS).of(text.split())], lambda i, text=text: text)
         assert [x[2] for x in found[0]] == [1.0] and found[0][0][4] <= at < at + 10 <= found[0][0][5]
+
+
+def test_short_items_and_documents_dealt_in_any_way(spark):
+    """Items of 1 to 8 words in documents of any length: short ones must stand word after word; one partition or fifty give the same rows."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    items = {n: " ".join(rng.sample(words, n)) for n in range(1, 9)}
+    docs = {}
+    for n, text in items.items():
+        for lead in (0, 1, 5, 40):
+            docs[len(docs)] = " ".join([*rng.choices(words, k=lead), text, *rng.choices(words, k=lead)])
+        if n > 1:
+            docs[len(docs)] = " between ".join(text.split())
+    docs[len(docs)] = " ".join(rng.choices(words, k=400))
+    want = set()
+    for d, t in docs.items():
+        for i, x in items.items():
+            if f" {x} " in f" {t} " and i < 8:
+                want.add((d, i))
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    results = [sorted(tuple(r) for r in dc.leaks(frame.repartition(parts), benchmark).collect()) for parts in (1, 50)]
+    plain = [[(*r[:2], *r[3:]) for r in rows] for rows in results]  # the cosine's last digits depend on the order of sums
+    assert plain[0] == plain[1]
+    assert {(r[0], r[1]) for r in results[0] if r[1] < 8} == want
+    assert {(d, 8) for d, t in docs.items() if f" {items[8]} " in f" {t} "} <= {(r[0], r[1]) for r in results[0]}
