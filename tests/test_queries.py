@@ -12,12 +12,13 @@ from cutframe import registry
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 
-@pytest.fixture(scope="module")
-def duck(sf_dir):
-    c = duckdb.connect()
-    for t in TABLES.split():
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
-    return c
+@pytest.fixture
+def duck(sf_dir, tmp_path):
+    """A database of its own for each test, so that a failure of one stays with it; bounded, as Spark's JVM runs beside it."""
+    with duckdb.connect(config={"threads": 4, "memory_limit": "4GB", "temp_directory": str(tmp_path)}) as c:
+        for t in TABLES.split():
+            c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+        yield c
 
 
 def plain(x):
