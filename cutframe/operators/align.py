@@ -27,9 +27,10 @@ def xcorr_offset(ref: DataFrame, clip: DataFrame, max_lag: int, least: int = 8,
     return g.select("pair", F.col("p.lag").alias("lag"), ((F.col("p.lag") + shift) / rate).alias("offset_s"), (F.abs("p.c") / F.coalesce(F.nullif("med", F.lit(0.0)), F.lit(1.0))).alias("confidence"))
 
 
-def band_offset(ref: DataFrame, clip: DataFrame, max_lag: int) -> DataFrame:
-    """Per pair: the lag (0..max_lag) with the greatest sum over bands of absolute correlation, against the mean of all others. series: (pair, band, n, x)."""
-    a = ref.withColumn("lag", F.explode(F.sequence(F.lit(0), F.lit(max_lag)))).select("pair", "band", "lag", (F.col("n") + F.col("lag")).alias("m"), F.col("x").alias("xa"))
+def band_offset(ref: DataFrame, clip: DataFrame) -> DataFrame:
+    """Per pair: the lag, of all at which the whole of ref lies inside clip, with the greatest sum over bands of absolute correlation, against the mean of all others. series: (pair, band, n, x)."""
+    room = clip.groupBy("pair").agg(F.max("n").alias("last")).join(ref.groupBy("pair").agg(F.max("n").alias("end")), "pair").select("pair", (F.col("last") - F.col("end")).alias("room"))
+    a = ref.join(room.filter("room >= 0"), "pair").withColumn("lag", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("room").cast("bigint")))).select("pair", "band", "lag", (F.col("n") + F.col("lag")).alias("m"), F.col("x").alias("xa"))
     b = clip.select("pair", "band", F.col("n").alias("m"), F.col("x").alias("xb"))
     per_band = a.join(b, ["pair", "band", "m"]).groupBy("pair", "lag", "band").agg(F.abs(F.sum(F.col("xa") * F.col("xb"))).alias("c"))
     total = per_band.groupBy("pair", "lag").agg(F.round(F.sum("c"), 6).alias("s"))

@@ -107,8 +107,8 @@ WEIGHTS = {"sync": 0.10, "musical": 0.15, "action_score": 0.20, "quality": 0.10,
 
 
 def recommend(scored: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """weighted sum of scores rounded to 3 places first, and per event the candidate of the greatest, the larger id of equals."""
-    total = sum((F.bround(F.col(c), 3) * w for c, w in (weights or WEIGHTS).items()), F.lit(0.0))
+    """weighted sum of scores rounded to 3 places first (a missing one counts 0), and per event the candidate of the greatest, the larger id of equals."""
+    total = sum((F.coalesce(F.bround(F.col(c), 3), F.lit(0.0)) * w for c, w in (weights or WEIGHTS).items()), F.lit(0.0))
     rows = scored.withColumn("w", F.bround(total, 6))
     return rows.groupBy("job_id", "event").agg(F.max_by("candidate_id", F.struct("w", "candidate_id")).alias("recommended"), F.max("w").alias("w"), F.count("*").alias("n"))
 

@@ -77,10 +77,10 @@ def first_at_or_after(points: DataFrame, grid: DataFrame, at: str = "t", slack:
     return around(shifted, grid.select("clip_id", F.col("t").alias("grid_t")), "clip_id", "_at", "grid_t").select(*points.columns, F.col("next_grid_t").alias("grid_t"))
 
 
-def pick_events(downbeats: DataFrame, beats: DataFrame, gap: float, n: int) -> DataFrame:
-    """Up to n instants per clip at least gap apart: downbeats, or all beats where downbeats are fewer than n."""
-    count = downbeats.groupBy("clip_id").agg(F.count("*").alias("n"))
-    few = beats.join(count, "clip_id", "left").filter(F.coalesce("n", F.lit(0)) < n).select("clip_id", "t")
-    pool = downbeats.join(count.filter(F.col("n") >= n), "clip_id").select("clip_id", "t").unionByName(few)
-    kept = greedy(pool, ["clip_id"], [("t", False)], ["t"], lambda kept, x: (F.size(kept) == 0) | (x["t"] - F.element_at(kept, -1)["t"] >= gap), n)
-    return kept
+def pick_events(downbeats: DataFrame, beats: DataFrame, spans: DataFrame, gap: float, n: int) -> DataFrame:
+    """clip_id, t, kind: up to n instants of each span (clip_id, lo, hi), bounds included, at least gap (less 1e-9) apart: downbeats, or beats where the span has fewer than n downbeats."""
+    within = lambda grid, kind: grid.join(spans, "clip_id").filter("t >= lo and t <= hi").select("clip_id", "t", F.lit(kind).alias("kind"))
+    down = within(downbeats, "downbeat")
+    enough = down.groupBy("clip_id").agg(F.count("*").alias("n")).filter(F.col("n") >= n).select("clip_id")
+    pool = down.join(enough, "clip_id", "left_semi").unionByName(within(beats, "beat").join(enough, "clip_id", "left_anti"))
+    return greedy(pool, ["clip_id"], [("t", False)], ["t", "kind"], lambda kept, x: (F.size(kept) == 0) | (x["t"] - F.element_at(kept, -1)["t"] >= gap - 1e-9), n)

@@ -89,29 +89,27 @@ def sequence_check(files: DataFrame, pattern: str, expected: DataFrame) -> DataF
     return off.unionByName(again).unionByName(missing).unionByName(extra)
 
 
-#: Command rules by name, as patterns that must and must not occur.
-LINT_RULES = (
-    ("stream_loop_shortest", (r"-stream_loop\s+-1",), r"-shortest|-t\s+[0-9]"),
-    ("copy_with_encoder_options", (r"-c:v\s+copy", r"-(crf|preset|b:v)\b"), None),
-    ("vaapi_concat", (r"vaapi", r"-f\s+concat"), None),
-    ("scale_vaapi_without_upload", (r"scale_vaapi",), r"hwupload"),
-    ("limiter_level", (r"alimiter=.*limit=0?\.9[6-9]",), None),
-    ("aac_low_rate", (r"-c:a\s+aac",), r"-b:a\s+(192|256|320)k"),
-)
-
-
-def lint_commands(commands: DataFrame, rules: tuple = LINT_RULES) -> DataFrame:
-    """cmd_id, rule: each rule whose patterns all occur in a command (cmd_id, cmd) and whose excuse doesn't; and stream labels beyond the inputs."""
-    hits = []
-    for name, must, excuse in rules:
-        hit = F.lit(True)
-        for pattern in must:
-            hit = hit & F.col("cmd").rlike(pattern)
-        hits.append(F.when(hit & ~F.col("cmd").rlike(excuse) if excuse else hit, name))
-    labels = F.transform(F.regexp_extract_all("cmd", F.lit(r"\[(\d+):[av]"), F.lit(1)), lambda x: x.cast("int"))
-    inputs = F.size(F.regexp_extract_all("cmd", F.lit(r"(^|\s)-i\s"), F.lit(0)))
-    hits.append(F.when(F.coalesce(F.array_max(labels) >= inputs, F.lit(False)), "label_past_inputs"))
-    return commands.select("cmd_id", F.explode(F.array(*hits)).alias("rule")).filter("rule is not null")
+def lint_commands(commands: DataFrame) -> DataFrame:
+    """cmd_id, rule: each rule that a media command (cmd_id, cmd) breaks; its words are parted by white space."""
+    words = F.split(F.trim("cmd"), r"\s+")
+    has = lambda w: F.array_contains("words", w)
+    starts = lambda p: F.exists("words", lambda w: w.startswith(p))
+    after = lambda option, value: F.col("cmd").rlike(rf"(^|\s){option}\s+{value}(\s|$)")
+    inputs = F.size(F.regexp_extract_all("cmd", F.lit(r"(?:^|\s)-i(?=\s+\S)"), F.lit(0)))
+    labels = F.transform(F.regexp_extract_all("cmd", F.lit(r"\[(\d+):[vas]\]"), F.lit(1)), lambda x: x.cast("int"))
+    copied = after(r"-c(:[va](:\d+)?)?", "copy")
+    listed = (F.try_element_at("words", (F.array_position("words", F.lit("-f")) + 1).cast("int")) == "concat") & has("-f") & (inputs > 0)
+    rules = {  # fixed values: the rules' names, options and levels
+        "streamloop-shortest": has("-stream_loop") & has("-shortest"),
+        "vaapi-concat": (has("h264_vaapi") | has("-vaapi_device")) & (listed | starts("concat=")) & (inputs > 1),
+        "stream-label-mismatch": (inputs > 0) & (F.array_max(labels) >= inputs),
+        "copy-encoder-opts": copied & (has("-pix_fmt") | starts("-pix_fmt=") | has("-profile:v") | starts("-profile:v=")),
+        "scale-vaapi-unsupported": F.col("cmd").contains("scale_vaapi"),
+        "limiter-095-locked-chain": F.col("cmd").contains("alimiter=limit=0.95"),
+        "aac-192k-locked-chain": (starts("-c:v") | has("-movflags")) & (after("-b:a", "192k") | has("-b:a=192k")),
+    }
+    hits = F.array(*(F.when(broken, name) for name, broken in rules.items()))
+    return commands.withColumn("words", words).select("cmd_id", F.explode(hits).alias("rule")).filter("rule is not null")
 
 
 def mixed_concat_lists(members: DataFrame) -> DataFrame:

@@ -28,13 +28,14 @@ def syn01(spark: SparkSession, sf: str) -> DataFrame:
     return r(al.xcorr_offset(*envelopes(spark, sf), 20), "offset_s", "confidence", digits=5)
 
 
-@query("syn02_band_offset", "", """WITH f AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS n, embedding FROM embeddings), s AS (SELECT label, n, b AS band, embedding[b + 1]::DOUBLE AS x FROM f, (SELECT unnest(range(0, 12)) AS b) WHERE n < 48),
-c AS (SELECT a.label AS pair, lag, a.band, abs(sum(a.x * b.x)) AS c FROM s a, (SELECT unnest(range(0, 33)) AS lag) JOIN s b ON b.label = a.label AND b.band = a.band AND b.n = a.n + lag WHERE a.n < 16 GROUP BY 1, 2, 3), t AS (SELECT pair, lag, round(sum(c), 6) AS s FROM c GROUP BY 1, 2)
-SELECT pair, min_by(lag, (-s, lag))::INTEGER AS lag, max(s) AS best, round((sum(s) - max(s)) / (count(*) - 1), 5) AS others FROM t GROUP BY 1""")
+@query("syn02_band_offset", "", """WITH f AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS n, count(*) OVER (PARTITION BY label) AS frames, embedding FROM embeddings), s AS (SELECT label, n, frames, b AS band, embedding[b + 1]::DOUBLE AS x FROM f, (SELECT unnest(range(0, 12)) AS b)),
+c AS (SELECT a.label AS pair, b.n - a.n AS lag, a.band, abs(sum(a.x * b.x)) AS c FROM s a JOIN s b ON b.label = a.label AND b.band = a.band AND b.n >= a.n AND b.n - a.n <= a.frames - greatest(1, a.frames // 4) WHERE a.n < greatest(1, a.frames // 4) GROUP BY 1, 2, 3), t AS (SELECT pair, lag, round(sum(c), 6) AS s FROM c GROUP BY 1, 2)
+SELECT pair, min_by(lag, (-s, lag)) AS lag, max(s) AS best, CASE WHEN count(*) > 1 THEN round((sum(s) - max(s)) / (count(*) - 1), 5) END AS others FROM t GROUP BY 1""")
 def syn02(spark: SparkSession, sf: str) -> DataFrame:
-    e = v.table(spark, sf, "embeddings").withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1).filter("n < 48")
-    s = e.select(F.col("label").alias("pair"), "n", F.posexplode(F.slice("embedding", 1, 12)).alias("band", "x")).withColumn("x", F.col("x").cast("double"))
-    return r(al.band_offset(s.filter("n < 16"), s, 32), "others", digits=5)
+    """The first quarter of a label's frames is looked for in all of them."""
+    e = v.table(spark, sf, "embeddings").withColumns({"n": F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1, "frames": F.count("*").over(Window.partitionBy("label"))})
+    s = e.select(F.col("label").alias("pair"), "n", "frames", F.posexplode(F.slice("embedding", 1, 12)).alias("band", "x")).withColumn("x", F.col("x").cast("double"))
+    return r(al.band_offset(s.filter("n < greatest(1, frames div 4)"), s), "others", digits=5)
 
 
 CARDS = "cd AS (SELECT reel AS job_id, idx, CASE WHEN (reel + idx) % 17 = 0 THEN NULL ELSE sum(duration_s) OVER (PARTITION BY reel ORDER BY idx) - duration_s + CASE WHEN (reel + idx) % 11 = 0 THEN 0.05::DOUBLE ELSE 0 END END AS ofs, CASE WHEN (reel + idx) % 23 = 0 THEN 0 ELSE duration_s END AS dur FROM v_cards)"

@@ -103,13 +103,13 @@ def cnd09(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Eight scores of each candidate, spread by its number."""
+    """Eight scores of each candidate, spread by its number; some are missing."""
     c = v.v_cand(spark, sf).withColumn("n", F.substring("candidate_id", 2, 6).cast("int"))
-    parts = {name: (F.col("n") * (i + 3) % 97) / 97.0 for i, name in enumerate(ca.WEIGHTS)}
+    parts = {name: F.when((F.col("n") + i) % 13 != 0, (F.col("n") * (i + 3) % 97) / 97.0) for i, name in enumerate(ca.WEIGHTS)}
     return c.withColumns(parts).select("job_id", "event", "candidate_id", *ca.WEIGHTS)
 
 
-@query("cnd11_recommend", "v_cand", f""", s AS (SELECT job_id, event, candidate_id, round_even({" + ".join(f"round_even((substr(candidate_id, 2)::INT * {i + 3} % 97) / 97e0, 3) * {w}::DOUBLE" for i, w in enumerate(ca.WEIGHTS.values()))}, 6) AS w FROM v_cand)
+@query("cnd11_recommend", "v_cand", f""", s AS (SELECT job_id, event, candidate_id, round_even({" + ".join(f"coalesce(CASE WHEN (substr(candidate_id, 2)::INT + {i}) % 13 <> 0 THEN round_even((substr(candidate_id, 2)::INT * {i + 3} % 97) / 97e0, 3) END, 0) * {w}::DOUBLE" for i, w in enumerate(ca.WEIGHTS.values()))}, 6) AS w FROM v_cand)
 SELECT job_id, event, max_by(candidate_id, (w, candidate_id)) AS recommended, max(w) AS w, count(*) AS n FROM s GROUP BY 1, 2""")
 def cnd11(spark: SparkSession, sf: str) -> DataFrame:
     return ca.recommend(scores(spark, sf))

@@ -40,10 +40,10 @@ def col02(spark: SparkSession, sf: str) -> DataFrame:
     return co.classify_absolute(skewed(spark, sf)).select("clip_id", "label", "reasons")
 
 
-@query("col03_classify_relative", "v_pixels", f", {SKEWED}, rf AS (SELECT p10 AS r10, p90 AS r90 FROM ps WHERE clip_id = 1) SELECT clip_id, CASE WHEN r90 <= 0 THEN 'normal' WHEN p90 / r90 < 0.75 OR p10 / greatest(r10, 1e-4) < 0.75 THEN 'underexposed' WHEN p10 / greatest(r10, 1e-4) > 1.6 OR p90 / r90 > 1.5 THEN 'overexposed' ELSE 'normal' END AS label FROM ps, rf")
+@query("col03_classify_relative", "v_pixels", f", {SKEWED}, rf AS (SELECT clip_id // 4 AS job_id, p10 AS r10, p90 AS r90 FROM ps WHERE clip_id % 4 = 1) SELECT clip_id, CASE WHEN r90 <= 0 THEN 'normal' WHEN p90 / r90 < 0.75 OR p10 / greatest(r10, 1e-4) < 0.75 THEN 'underexposed' WHEN p10 / greatest(r10, 1e-4) > 1.6 OR p90 / r90 > 1.5 THEN 'overexposed' ELSE 'normal' END AS label FROM ps JOIN rf ON job_id = clip_id // 4")
 def col03(spark: SparkSession, sf: str) -> DataFrame:
-    p = skewed(spark, sf).withColumn("job_id", F.lit(1))
-    ref = p.filter("clip_id = 1").select("job_id", F.col("p10").alias("r10"), F.col("p90").alias("r90"))
+    p = skewed(spark, sf).withColumn("job_id", F.expr("clip_id div 4"))
+    ref = p.filter("clip_id % 4 = 1").select("job_id", F.col("p10").alias("r10"), F.col("p90").alias("r90"))
     return co.classify_relative(p, ref).select("clip_id", "label")
 
 

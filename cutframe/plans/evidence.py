@@ -39,9 +39,13 @@ def evd03(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("event_id", F.array_join("dropped", ",").alias("dropped"), F.size("fields").alias("kept"))
 
 
-@query("evd04_aggregate_hits", "v_samples", "SELECT event_id AS doc_id, unnest(CASE kind WHEN 'click' THEN ['$.a.total_s'] WHEN 'view' THEN ['$.rank', '$.b.c.mean_x'] ELSE [] END) AS path FROM v_samples")
+@query("evd04_aggregate_hits", "v_samples", """SELECT event_id AS doc_id, unnest(CASE kind WHEN 'click' THEN ['$.a.total_s', '$.a.l[1].avg'] WHEN 'view' THEN ['$.rank', '$.b.c.d.e.f[0].mean_x'] WHEN 'purchase' THEN CASE WHEN k % 2 = 0 THEN ['$[0].total', '$[1][0].rank_' || k] ELSE ['$[0].total'] END ELSE [] END) AS path FROM v_samples""")
 def evd04(spark: SparkSession, sf: str) -> DataFrame:
-    json = F.when(F.col("kind") == "click", '{"a": {"total_s": 1, "t": 2}}').when(F.col("kind") == "view", '{"rank": 3, "b": {"c": {"mean_x": 1}, "d": 2}}').otherwise('{"x": [1, 2]}')
+    k = F.col("k").cast("string")
+    click = F.concat(F.lit('{"a": {"total_s": 1, "l": ['), k, F.lit(', {"avg": "rank"}]}, "t": "{\\"total\\": 1}"}'))
+    view = F.concat(F.lit('{"rank": '), k, F.lit(', "b": {"c": {"d": {"e": {"f": [{"mean_x": 1}], "x": 2}}}}}'))
+    purchase = F.concat(F.lit('[{"total": 1}, [{"'), F.when(F.col("k") % 2 == 0, "rank_").otherwise("r_"), k, F.lit('": 0}]]'))
+    json = F.when(F.col("kind") == "click", click).when(F.col("kind") == "view", view).when(F.col("kind") == "purchase", purchase).otherwise('{"x": [1, 2]}')
     return ev.aggregate_hits(v.v_samples(spark, sf).select(F.col("event_id").alias("doc_id"), json.alias("json")), "^(total|rank|mean|avg)")
 
 

@@ -19,7 +19,7 @@ def str02(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("str03_job_state", "v_samples", """, e AS (SELECT clip_id AS job_id, row_number() OVER (PARTITION BY clip_id ORDER BY t) AS o, CASE kind WHEN 'signup' THEN 'approved' WHEN 'view' THEN 'executing' WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'failed' ELSE 'proposed' END AS status FROM v_samples),
 w AS (SELECT job_id, 0::BIGINT AS o, 'proposed' AS status, 0 AS ignored FROM (SELECT DISTINCT job_id FROM e) UNION ALL SELECT w.job_id, e.o, CASE WHEN ok THEN e.status ELSE w.status END, CASE WHEN ok THEN w.ignored ELSE w.ignored + 1 END FROM (SELECT w.*, e.status AS nx, (w.status = 'proposed' AND e.status = 'approved') OR (w.status = 'approved' AND e.status = 'executing') OR (w.status = 'executing' AND e.status IN ('done', 'failed')) OR (w.status = 'failed' AND e.status = 'approved') AS ok FROM w JOIN e ON e.job_id = w.job_id AND e.o = w.o + 1) w JOIN e ON e.job_id = w.job_id AND e.o = w.o + 1),
-f AS (SELECT job_id, max_by(status, o) AS status, max_by(ignored, o) AS ignored FROM w GROUP BY 1) SELECT job_id, CASE WHEN status = 'approved' AND job_id % 2 = 1 THEN 'BLOCKED' ELSE status END AS status, ignored FROM f""")
+f AS (SELECT job_id, max_by(status, o) AS status, max_by(ignored, o) AS ignored FROM w GROUP BY 1) SELECT job_id, CASE WHEN status IN ('proposed', 'approved') AND job_id % 2 = 1 THEN 'BLOCKED' ELSE status END AS status, ignored FROM f""")
 def str03(spark: SparkSession, sf: str) -> DataFrame:
     s, kind = v.v_samples(spark, sf), F.col("kind")
     e = s.select(F.col("clip_id").alias("job_id"), F.col("t").alias("at"), F.when(kind == "signup", "approved").when(kind == "view", "executing").when(kind == "purchase", "done").when(kind == "error", "failed").otherwise("proposed").alias("status"))

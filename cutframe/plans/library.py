@@ -149,20 +149,26 @@ def src06(spark: SparkSession, sf: str) -> DataFrame:
     return ct.read_scenes(text.withColumnRenamed("job_id", "file")).withColumnRenamed("file", "job_id")
 
 
-@query("src07_read_sidecars", "v_samples", "SELECT clip_id, event_id, CASE WHEN kind <> 'error' THEN k::DOUBLE END AS start_s, CASE kind WHEN 'click' THEN k + 5e0 WHEN 'view' THEN k + 2e0 END AS end_s, CASE WHEN kind = 'purchase' THEN 0.5e0 END AS score FROM v_samples WHERE kind <> 'signup'")
+@query("src07_read_sidecars", "v_samples", """SELECT clip_id, event_id, k::DOUBLE AS start_s, CASE kind WHEN 'click' THEN CASE k % 3 WHEN 0 THEN k + 5e0 WHEN 1 THEN k + 2e0 ELSE NULL END WHEN 'view' THEN k + 2e0 END AS end_s,
+CASE kind WHEN 'purchase' THEN 0.5e0 WHEN 'view' THEN CASE WHEN k % 2 = 0 THEN 0.25e0 END END AS score FROM v_samples WHERE kind IN ('click', 'view', 'purchase')""")
 def src07(spark: SparkSession, sf: str) -> DataFrame:
     s = v.v_samples(spark, sf)
-    k = F.col("k").cast("string")
+    k, n = F.col("k"), F.col("k").cast("string")
     j = lambda *x: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in x))
-    json = F.when(F.col("kind") == "click", j('{"segments": [{"start_s": ', k, ', "end": ', (F.col("k") + 5).cast("string"), "}]}")).when(F.col("kind") == "view", j('{"items": [{"begin": ', k, ', "dur": 2}]}')).when(F.col("kind") == "purchase", j('{"results": [{"t": ', k, ', "confidence": 0.5}]}')).when(F.col("kind") == "error", F.lit('{"beats": [{"x": 1}]}')).otherwise(F.lit("[broken"))
+    end = F.when(k % 3 == 0, j('"end": ', (k + 5).cast("string"), ', "dur": 1')).when(k % 3 == 1, j('"end": "x", "out": ', (k + 2).cast("string"))).otherwise('"stop": 7')
+    click = j('{"scenes": [], "segments": [{"begin": 1}, 4, {"start_s": "', n, '", ', end, "}]}")
+    view = j('{"zz": [1], "other": [{"t": ', n, ', "start": true, "dur": 2, "score": ', F.when(k % 2 == 0, "true").otherwise('"1"'), F.when(k % 2 == 0, ', "prob": 0.25').otherwise(""), "}]}")
+    purchase = j('[3, {"beat_time": ', n, ', "confidence": 0.5, "weight": 9}]')
+    kind = F.col("kind")
+    json = F.when(kind == "click", click).when(kind == "view", view).when(kind == "purchase", purchase).when(kind == "error", F.lit('{"beats": [{"x": 1}]}')).otherwise(F.lit("[broken"))
     rows = ct.read_sidecars(s.select(F.struct("clip_id", "event_id").alias("file"), json.alias("json")))
     return rows.select("file.clip_id", "file.event_id", "start_s", "end_s", "score")
 
 
-@query("src08_words_to_notes", "v_transcript", "SELECT clip_id, substr(string_agg(text, ' ' ORDER BY seq, text), 1, 400) AS notes FROM v_transcript WHERE source <> 'system' GROUP BY 1")
+@query("src08_words_to_notes", "v_transcript", "SELECT clip_id, substr(string_agg(text, ' ' ORDER BY seq, text), 1, 4000) AS notes FROM v_transcript WHERE source <> 'system' GROUP BY 1")
 def src08(spark: SparkSession, sf: str) -> DataFrame:
     w = v.v_transcript(spark, sf).select("clip_id", "seq", F.when(F.col("source") == "system", "spacing").when(F.col("source") == "user", "word").alias("kind"), F.col("text").alias("word"))
-    return ct.words_to_notes(w, 400)
+    return ct.words_to_notes(w)
 
 
 @query("src09_load_beats", "v_samples", "SELECT DISTINCT clip_id, k::DOUBLE AS t FROM v_samples WHERE kind IN ('click', 'view', 'purchase')")
@@ -172,10 +178,10 @@ def src09(spark: SparkSession, sf: str) -> DataFrame:
     return ct.load_beats(v.v_samples(spark, sf).select("clip_id", json.alias("json")))
 
 
-@query("src10_camera_source", "v_clips", "SELECT clip_id, CASE clip_id % 4 WHEN 0 THEN 'dji' WHEN 1 THEN 'gopro' WHEN 2 THEN 'gopro' END AS camera FROM v_clips")
+@query("src10_camera_source", "v_clips", "SELECT clip_id, CASE clip_id % 5 WHEN 0 THEN 'dji' WHEN 1 THEN 'gopro' END AS camera FROM v_clips")
 def src10(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("clip_id") % 4
-    name = F.concat(F.when(k == 0, "dji_").when(k == 1, "GP").when(k == 2, "GX01").otherwise("A_"), F.col("clip_id").cast("string"))
+    k = F.col("clip_id") % 5
+    name = F.concat(F.when(k == 0, "card/DJI_").when(k == 1, "GP").when(k == 2, "GX01").when(k == 3, "GP/a").otherwise("dji_"), F.col("clip_id").cast("string"))
     return ct.camera_source(v.v_clips(spark, sf).select("clip_id", name.alias("filename"))).select("clip_id", "camera")
 
 

@@ -73,10 +73,13 @@ def mus07(spark: SparkSession, sf: str) -> DataFrame:
     return music.first_at_or_after(_points(spark, sf), v.v_beats(spark, sf).select("clip_id", "t"))
 
 
-@query("mus08_pick_events", "v_beats", f""", RECURSIVE_MARK {BARS}, c AS (SELECT clip_id, count(*) AS n FROM bars GROUP BY 1),
-pool AS (SELECT b.clip_id, b.start AS t FROM bars b JOIN c USING (clip_id) WHERE n >= 6 UNION ALL SELECT b.clip_id, b.t FROM v_beats b LEFT JOIN c USING (clip_id) WHERE coalesce(n, 0) < 6),
-pick AS (SELECT clip_id, min(t) AS t, 1 AS k FROM pool GROUP BY 1 UNION ALL SELECT clip_id, t, k FROM (SELECT p.clip_id, q.t, p.k + 1 AS k, row_number() OVER (PARTITION BY p.clip_id ORDER BY q.t) AS r FROM pick p JOIN pool q ON q.clip_id = p.clip_id AND q.t - p.t >= 20 WHERE p.k < 6) WHERE r = 1)
-SELECT clip_id, t FROM pick""".replace(", RECURSIVE_MARK", ","))
+@query("mus08_pick_events", "v_beats", f""", RECURSIVE_MARK {BARS}, sp AS (SELECT clip_id, (clip_id % 4) * 10e0 AS lo, (clip_id % 4) * 10e0 + 40 + (clip_id % 7) * 60e0 AS hi FROM (SELECT DISTINCT clip_id FROM v_beats)),
+d AS (SELECT clip_id, b.start AS t FROM bars b JOIN sp USING (clip_id) WHERE b.start BETWEEN lo AND hi), c AS (SELECT clip_id FROM d GROUP BY 1 HAVING count(*) >= 6),
+pool AS (SELECT clip_id, t, 'downbeat' AS kind FROM d WHERE clip_id IN (SELECT clip_id FROM c) UNION ALL SELECT clip_id, b.t, 'beat' FROM v_beats b JOIN sp USING (clip_id) WHERE b.t BETWEEN lo AND hi AND clip_id NOT IN (SELECT clip_id FROM c)),
+pick AS (SELECT clip_id, min(t) AS t, min(kind) AS kind, 1 AS k FROM pool GROUP BY 1 UNION ALL SELECT clip_id, t, kind, k FROM (SELECT p.clip_id, q.t, q.kind, p.k + 1 AS k, row_number() OVER (PARTITION BY p.clip_id ORDER BY q.t) AS r FROM pick p JOIN pool q ON q.clip_id = p.clip_id AND q.t - p.t >= 20 - 1e-9 WHERE p.k < 6) WHERE r = 1)
+SELECT clip_id, t, kind FROM pick""".replace(", RECURSIVE_MARK", ","))
 def mus08(spark: SparkSession, sf: str) -> DataFrame:
     beats = v.v_beats(spark, sf)
-    return music.pick_events(music.bars(beats).select("clip_id", F.col("start").alias("t")), beats.select("clip_id", "t"), 20.0, 6)
+    lo = (F.col("clip_id") % 4) * F.lit(10.0)
+    spans = beats.select("clip_id").distinct().select("clip_id", lo.alias("lo"), (lo + 40 + (F.col("clip_id") % 7) * F.lit(60.0)).alias("hi"))
+    return music.pick_events(music.bars(beats).select("clip_id", F.col("start").alias("t")), beats.select("clip_id", "t"), spans, 20.0, 6)
\ No newline at end of file

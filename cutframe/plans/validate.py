@@ -98,7 +98,10 @@ def val08(spark: SparkSession, sf: str) -> DataFrame:
     return va.sequence_check(c.select("job_id", name.alias("name")), r"^seg_(\d{4})\.mov$", want)
 
 
-CMD = """cm AS (SELECT event_id AS cmd_id, 'ffmpeg' || CASE WHEN k % 3 = 0 THEN ' -stream_loop -1' ELSE '' END || ' -i a.mov' || CASE WHEN k % 2 = 0 THEN ' -i b.wav' ELSE '' END || CASE WHEN k % 5 = 0 THEN ' -c:v copy -crf 20' ELSE ' -c:v h264_vaapi' END || CASE WHEN k % 7 = 0 THEN ' -f concat' ELSE '' END || CASE WHEN k % 11 = 0 THEN ' -vf scale_vaapi=w=320' ELSE '' END || CASE WHEN k % 4 = 1 THEN ' -c:a aac' WHEN k % 4 = 2 THEN ' -c:a aac -b:a 192k' ELSE '' END || CASE WHEN k % 6 = 1 THEN ' -filter_complex [1:a]alimiter=limit=0.97[o]' ELSE '' END || CASE WHEN k % 9 = 0 THEN ' -shortest' ELSE '' END AS cmd FROM v_samples)"""
+CMD = """cm AS (SELECT event_id AS cmd_id, 'ffmpeg' || CASE WHEN k % 3 = 0 THEN ' -stream_loop -1' ELSE '' END || CASE WHEN k % 7 = 0 THEN ' -f concat' WHEN k % 7 = 1 THEN ' -f mp4' ELSE '' END || ' -i a.mov' || CASE WHEN k % 2 = 0 THEN ' -i b.wav' ELSE '' END
+|| CASE k % 5 WHEN 0 THEN ' -c:v copy -pix_fmt yuv420p' WHEN 1 THEN ' -c copy -crf 20' WHEN 2 THEN ' -vn' ELSE ' -c:v h264_vaapi' END || CASE WHEN k % 11 = 0 THEN ' -vf format=nv12,hwupload,scale_vaapi=w=320' ELSE '' END || CASE k % 4 WHEN 1 THEN ' -c:a aac -b:a 192k' WHEN 2 THEN ' -c:a aac -b:a 320k' ELSE '' END
+|| CASE k % 6 WHEN 1 THEN ' -filter_complex [1:a]alimiter=limit=0.95[o]' WHEN 2 THEN ' -filter_complex [2:s]alimiter=limit=0.97[o]' ELSE '' END || CASE WHEN k % 9 = 0 THEN ' -shortest' ELSE '' END AS cmd FROM v_samples),
+wd AS (SELECT cmd_id, cmd, w, len(list_filter(range(1, len(w)), lambda i: w[i] = '-i')) AS n FROM (SELECT *, string_split_regex(trim(cmd), '\\s+') AS w FROM cm))"""
 
 
 def commands(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,16 +109,20 @@ def commands(spark: SparkSession, sf: str) -> DataFrame:
     s = v.v_samples(spark, sf)
     on = lambda c, x: F.when(c, x).otherwise(nil)
     cmd = F.concat(
-        F.lit("ffmpeg"), on(k % 3 == 0, " -stream_loop -1"), F.lit(" -i a.mov"), on(k % 2 == 0, " -i b.wav"), F.when(k % 5 == 0, " -c:v copy -crf 20").otherwise(" -c:v h264_vaapi"), on(k % 7 == 0, " -f concat"),
-        on(k % 11 == 0, " -vf scale_vaapi=w=320"), F.when(k % 4 == 1, " -c:a aac").when(k % 4 == 2, " -c:a aac -b:a 192k").otherwise(nil), on(k % 6 == 1, " -filter_complex [1:a]alimiter=limit=0.97[o]"), on(k % 9 == 0, " -shortest"),
+        F.lit("ffmpeg"), on(k % 3 == 0, " -stream_loop -1"), F.when(k % 7 == 0, " -f concat").when(k % 7 == 1, " -f mp4").otherwise(nil), F.lit(" -i a.mov"), on(k % 2 == 0, " -i b.wav"),
+        F.when(k % 5 == 0, " -c:v copy -pix_fmt yuv420p").when(k % 5 == 1, " -c copy -crf 20").when(k % 5 == 2, " -vn").otherwise(" -c:v h264_vaapi"),
+        on(k % 11 == 0, " -vf format=nv12,hwupload,scale_vaapi=w=320"), F.when(k % 4 == 1, " -c:a aac -b:a 192k").when(k % 4 == 2, " -c:a aac -b:a 320k").otherwise(nil),
+        F.when(k % 6 == 1, " -filter_complex [1:a]alimiter=limit=0.95[o]").when(k % 6 == 2, " -filter_complex [2:s]alimiter=limit=0.97[o]").otherwise(nil), on(k % 9 == 0, " -shortest"),
     )
     return s.select(F.col("event_id").alias("cmd_id"), "clip_id", cmd.alias("cmd"))
 
 
-@query("val09_lint_commands", "v_samples", f""", {CMD} SELECT * FROM (SELECT cmd_id, unnest([CASE WHEN regexp_matches(cmd, '-stream_loop\\s+-1') AND NOT regexp_matches(cmd, '-shortest|-t\\s+[0-9]') THEN 'stream_loop_shortest' END,
-CASE WHEN regexp_matches(cmd, '-c:v\\s+copy') AND regexp_matches(cmd, '-(crf|preset|b:v)\\b') THEN 'copy_with_encoder_options' END, CASE WHEN contains(cmd, 'vaapi') AND regexp_matches(cmd, '-f\\s+concat') THEN 'vaapi_concat' END, CASE WHEN contains(cmd, 'scale_vaapi') AND NOT contains(cmd, 'hwupload') THEN 'scale_vaapi_without_upload' END,
-CASE WHEN regexp_matches(cmd, 'alimiter=.*limit=0?\\.9[6-9]') THEN 'limiter_level' END, CASE WHEN regexp_matches(cmd, '-c:a\\s+aac') AND NOT regexp_matches(cmd, '-b:a\\s+(192|256|320)k') THEN 'aac_low_rate' END,
-CASE WHEN coalesce(list_max(list_transform(regexp_extract_all(cmd, '\\[(\\d+):[av]', 1), lambda x: x::INT)) >= len(regexp_extract_all(cmd, '(^|\\s)-i\\s')), false) THEN 'label_past_inputs' END]) AS rule FROM cm) WHERE rule IS NOT NULL""")
+@query("val09_lint_commands", "v_samples", f""", {CMD} SELECT * FROM (SELECT cmd_id, unnest([CASE WHEN list_contains(w, '-stream_loop') AND list_contains(w, '-shortest') THEN 'streamloop-shortest' END,
+CASE WHEN (list_contains(w, 'h264_vaapi') OR list_contains(w, '-vaapi_device')) AND ((n > 0 AND w[list_position(w, '-f') + 1] = 'concat') OR len(list_filter(w, lambda x: starts_with(x, 'concat='))) > 0) AND n > 1 THEN 'vaapi-concat' END,
+CASE WHEN n > 0 AND coalesce(list_max(list_transform(regexp_extract_all(cmd, '\\[(\\d+):[vas]\\]', 1), lambda x: x::INT)) >= n, false) THEN 'stream-label-mismatch' END,
+CASE WHEN len(list_filter(range(1, len(w)), lambda i: regexp_full_match(w[i], '-c(:[va](:\\d+)?)?') AND w[i + 1] = 'copy')) > 0 AND len(list_filter(w, lambda x: x IN ('-pix_fmt', '-profile:v') OR starts_with(x, '-pix_fmt=') OR starts_with(x, '-profile:v='))) > 0 THEN 'copy-encoder-opts' END,
+CASE WHEN contains(cmd, 'scale_vaapi') THEN 'scale-vaapi-unsupported' END, CASE WHEN contains(cmd, 'alimiter=limit=0.95') THEN 'limiter-095-locked-chain' END,
+CASE WHEN len(list_filter(w, lambda x: starts_with(x, '-c:v') OR x = '-movflags')) > 0 AND len(list_filter(range(1, len(w) + 1), lambda i: w[i] = '-b:a=192k' OR (w[i] = '-b:a' AND w[i + 1] = '192k'))) > 0 THEN 'aac-192k-locked-chain' END]) AS rule FROM wd) WHERE rule IS NOT NULL""")
 def val09(spark: SparkSession, sf: str) -> DataFrame:
     return va.lint_commands(commands(spark, sf))
 

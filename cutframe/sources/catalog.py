@@ -76,20 +76,28 @@ def read_scenes(texts: DataFrame) -> DataFrame:
 
 #: Field aliases in the order in which they are tried.
 LISTS = ("beats", "shortlist", "results", "scenes", "segments", "items")
-STARTS = ("start", "start_s", "begin", "time", "t")
-ENDS = ("end", "end_s", "stop")
+STARTS = ("time", "start", "start_s", "t", "timestamp", "beat_time", "frame_ts", "in", "start_time")
+ENDS = ("end", "end_s", "out", "end_time", "duration", "dur")
 DURATIONS = ("duration", "dur")
-SCORES = ("score", "confidence", "strength", "value")
+SCORES = ("score", "value", "confidence", "prob", "weight")
 
 
 def read_sidecars(docs: DataFrame) -> DataFrame:
-    """file, i, start_s, end_s, score from JSON sidecars (file, json): the first known list of objects; a duration means start + it."""
-    v = docs.withColumn("v", F.try_parse_json("json"))
-    array = F.coalesce(*(F.try_variant_get("v", f"$.{n}", "array<variant>") for n in LISTS), F.try_variant_get("v", "$", "array<variant>"))
-    rows = v.select("file", F.posexplode(array).alias("i", "x"))
-    pick = lambda names: F.coalesce(*(F.try_variant_get("x", f"$.{n}", "double") for n in names))
-    start = F.coalesce(pick(STARTS), F.try_variant_get("x", "$", "double"))
-    return rows.select("file", "i", start.alias("start_s"), F.coalesce(pick(ENDS), start + pick(DURATIONS)).alias("end_s"), pick(SCORES).alias("score"))
+    """file, i, start_s, end_s, score from JSON sidecars (file, json): entries with a start, i their place among the list's objects.
+
+    The list is the document itself, or the first of the known fields, else of all fields in order, whose list begins with an object.
+    A start may be a number or a number's text, ends and scores are numbers; a duration means start + it. The first alias with a usable value counts.
+    """
+    fields = F.from_json("json", "map<string,string>")
+    lists = F.filter(F.concat(F.array(*(F.col("f")[n] for n in LISTS)), F.coalesce(F.map_values("f"), F.array().cast("array<string>"))), lambda x: x.rlike(r"^\s*\[\s*\{"))
+    rows = docs.withColumn("f", F.when(F.col("json").rlike(r"^\s*\{"), fields)).withColumn("l", F.when(F.col("json").rlike(r"^\s*\["), F.col("json")).otherwise(F.try_element_at(lists, F.lit(1))))
+    entries = F.filter(F.try_variant_get(F.try_parse_json("l"), "$", "array<variant>"), lambda x: F.schema_of_variant(x).startswith("OBJECT"))
+    x = rows.select("file", F.posexplode(entries).alias("i", "x"))
+    kind = lambda n: F.schema_of_variant(F.try_variant_get("x", f"$.{n}", "variant"))
+    number = lambda n, kinds="BIGINT|DOUBLE|FLOAT|DECIMAL.*": F.when(kind(n).rlike(f"^({kinds})$"), F.try_variant_get("x", f"$.{n}", "double"))
+    start = F.coalesce(*(number(n, "BIGINT|DOUBLE|FLOAT|DECIMAL.*|STRING") for n in STARTS))
+    end = F.coalesce(*(F.col("start_s") + number(n) if n in DURATIONS else number(n) for n in ENDS))
+    return x.withColumn("start_s", start).filter("start_s is not null").select("file", "i", "start_s", end.alias("end_s"), F.coalesce(*map(number, SCORES)).alias("score"))
 
 
 def load_beats(docs: DataFrame) -> DataFrame:
@@ -109,9 +117,9 @@ def words_to_notes(words: DataFrame, most: int = 4000) -> DataFrame:
 
 
 def camera_source(df: DataFrame, name: str = "filename") -> DataFrame:
-    """camera: from the file name's prefix."""
-    n = F.upper(name)
-    return df.withColumn("camera", F.when(n.startswith("DJI_"), "dji").when(n.startswith("GP") | n.startswith("GX") | n.startswith("GOPR"), "gopro"))
+    """camera: from the prefix of the file's name, the last part of a path; null for others."""
+    n = F.substring_index(name, "/", -1)
+    return df.withColumn("camera", F.when(n.startswith("DJI_"), "dji").when(n.startswith("GP"), "gopro"))
 
 
 def backfill_plan(clips: DataFrame, **stages: DataFrame) -> DataFrame:

@@ -12,9 +12,12 @@ from ..functions.blocks import islands
 
 
 def ingest_stream(files: DataFrame, upsert: Callable[[DataFrame], None], checkpoint: str) -> StreamingQuery:
-    """Ingest a stream of (path, content) once per content hash: what is there now, then stop. upsert gets each micro-batch of new files."""
-    new = files.withColumn("sha", F.sha2("content", 256)).dropDuplicates(["sha"])
-    return new.writeStream.foreachBatch(lambda batch, _: upsert(batch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Ingest a stream of (path, content): what is there now, then stop. upsert gets each micro-batch, one file per content hash.
+
+    No state is kept for hashes of earlier batches: upsert has to skip what its catalogue holds, as `upsert_catalog` does.
+    """
+    new = files.withColumn("sha", F.sha2("content", 256))
+    return new.writeStream.foreachBatch(lambda batch, _: upsert(batch.dropDuplicates(["sha"]))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stage_state(log: DataFrame, most: int = 3) -> DataFrame:
@@ -33,13 +36,13 @@ LEGAL = {"proposed": "approved", "approved": "executing", "executing": "done,fai
 
 
 def job_state(events: DataFrame, flags: DataFrame, start: str = "proposed") -> DataFrame:
-    """Per job: the status after folding its events (job_id, at, status) in time order, illegal moves ignored and counted; BLOCKED where approved without a flag (job_id)."""
+    """Per job: the status after folding its events (job_id, at, status) in time order, illegal moves ignored and counted; BLOCKED where proposed or approved without a flag (job_id)."""
     e = F.array_sort(F.collect_list(F.struct("at", "status")))
     table = F.map_from_arrays(F.array(*(F.lit(k) for k in LEGAL)), F.array(*(F.split(F.lit(x), ",") for x in LEGAL.values())))
     zero = F.struct(F.lit(start).alias("status"), F.lit(0).alias("ignored"))
     fold = F.aggregate(e, zero, lambda acc, x: F.when(F.array_contains(table[acc["status"]], x["status"]), F.struct(x["status"].alias("status"), acc["ignored"].alias("ignored"))).otherwise(F.struct(acc["status"].alias("status"), (acc["ignored"] + 1).alias("ignored"))))
     rows = events.groupBy("job_id").agg(fold.alias("s")).join(flags.select("job_id").distinct().withColumn("_flag", F.lit(True)), "job_id", "left")
-    blocked = (F.col("s.status") == "approved") & F.col("_flag").isNull()
+    blocked = F.col("s.status").isin("proposed", "approved") & F.col("_flag").isNull()
     return rows.select("job_id", F.when(blocked, "BLOCKED").otherwise(F.col("s.status")).alias("status"), F.col("s.ignored").alias("ignored"))
 
 
