@@ -4,8 +4,9 @@ Every language gets a codeword; one binary classifier per bit, over hashed byte
 languages whose bit is 1 from those whose bit is 0. The classifiers are log-odds of n-gram counts
 that one Spark aggregation gathers from all labelled documents; their tables have a fixed size.
 A text's margins are decoded with a logistic loss, each bit weighted by how well it separates the
-labelled n-gram mass: the codeword with the least loss wins. A text whose two best codewords are nearly as near is
-flagged ambiguous.
+labelled n-gram mass: the codeword with the least loss wins. A text is flagged ambiguous where its two best codewords are nearly as near,
+or where its n-grams are by `strange` nats rarer on average, over all learned languages, than those of the rarest-spoken language itself:
+text of no learned language. Neither rule knows the text's length.
 
 Null texts and texts without a letter get `und`, score 0. Rows with a null label teach nothing.
 With no labelled row everything is `und`; with one label, every text with a letter gets it. Columns
@@ -23,9 +24,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX, attach, binary_column, mixed
+from .common import MIX, attach, binary_column, discard, mixed, written
 
 DIMENSIONS = 1 << 14
+STRANGE = 2.5
 LETTER = regex.compile(r"\p{L}")
 #: Bytes of an n-gram that are taken at most at once, so that a very long text needs bounded memory.
 STEP = 1 << 20
@@ -33,17 +35,18 @@ STEP = 1 << 20
 
 def ngram_counts(text: bytes, dimensions: int = DIMENSIONS) -> np.ndarray:
     """Counts of hashed byte bigrams, trigrams and 4-grams of the whole lower-cased text."""
-    total = np.zeros(dimensions, np.float32)
+    total = np.zeros(dimensions)
     shift = np.uint32(32 - int(dimensions).bit_length() + 1)
-    for at in range(0, max(1, len(text)), STEP):
-        b = np.frombuffer(b" " + text[at : at + STEP + 3].lower() + b" ", np.uint8).astype(np.uint32)
-        if len(b) < 4:
+    whole = b" " + text.lower() + b" "
+    for at in range(0, len(whole), STEP):
+        b = np.frombuffer(whole[at : at + STEP + 3], np.uint8).astype(np.uint32)
+        if len(b) < 2:
             continue
         two = b[:-1] | b[1:] << np.uint32(8)
         three = two[:-1] | b[2:] << np.uint32(16)
         four = three[:-1] | b[3:] << np.uint32(24)
         for salt, gram in ((0x9E3779B1, two), (0x85EBCA77, three), (0xC2B2AE3D, four)):
-            total += np.bincount((gram * np.uint32(salt)) >> shift, minlength=dimensions)
+            total += np.bincount((gram[:STEP] * np.uint32(salt)) >> shift, minlength=dimensions)  # those that begin in this part
     return total
 
 
@@ -63,14 +66,17 @@ def codewords(languages: int, bits: int = 15) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """languages, their codewords, and for each bit the n-gram weights, bias and trust."""
+    """languages, their codewords, for each bit the n-gram weights and trust; the log share of each n-gram, and its mean over n-grams of a language."""
 
     languages: list[str]
     codes: np.ndarray
     weights: np.ndarray
     trust: np.ndarray
+    common: np.ndarray
+    typical: float
     dimensions: int
     gap: float
+    strange: float
 
     def predict(self, text: bytes | None) -> tuple[str, float, bool]:
         """Language, score from 0 to 1, and whether two codewords are about as near."""
@@ -86,7 +92,8 @@ class LanguageModel:
         best = int(np.argmin(loss))
         score = float(near[best] / near.sum())
         second = float(np.sort(near)[-2] / near.sum())
-        return self.languages[best], min(1.0, max(0.0, score)), score - second < self.gap
+        surprise = self.typical - float(counts @ self.common) / n
+        return self.languages[best], min(1.0, max(0.0, score)), score - second < self.gap or surprise > self.strange
 
 
 def _gather(dimensions: int):
@@ -108,31 +115,33 @@ def _gather(dimensions: int):
     return work
 
 
-def fit(labelled: DataFrame, *, text: str = "text", label: str = "lang", dimensions: int = DIMENSIONS, bits: int = 15, gap: float = 0.02, most_languages: int = 500) -> LanguageModel:
-    """Learn from all rows with a text and a label. Only dimensions x languages sums reach the driver."""
+def fit(labelled: DataFrame, *, text: str = "text", label: str = "lang", dimensions: int = DIMENSIONS, bits: int = 15, gap: float = 0.02, strange: float = STRANGE, most_languages: int = 500) -> LanguageModel:
+    """Learn from all rows with a text and a label. Only dimensions x languages sums reach the driver; more than `most_languages` labels are an error."""
     rows = labelled.select(F.col(label).cast("string").alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
-    sums = rows.mapInArrow(_gather(dimensions), "lang string, gram int, n double").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    sums = written(rows.mapInArrow(_gather(dimensions), "lang string, gram int, n double").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-sums")
     found = sums.groupBy("lang").agg(F.count("*").alias("k")).orderBy("lang").limit(most_languages + 1).collect()
     if len(found) > most_languages:
         raise ValueError(f"more than {most_languages} languages")
     languages = [r.lang for r in found]
     if not languages:
-        return LanguageModel([], np.zeros((0, 1)), np.zeros((dimensions, 1)), np.ones(1), dimensions, gap)
+        return LanguageModel([], np.zeros((0, 1)), np.zeros((dimensions, 1)), np.ones(1), np.zeros(dimensions), 0.0, dimensions, gap, strange)
     counts = np.zeros((len(languages), dimensions))
     for row in sums.groupBy("lang").agg(F.collect_list(F.struct("gram", "n")).alias("grams")).toLocalIterator():
         grams = np.array([(g.gram, g.n) for g in row.grams])
         counts[languages.index(row.lang), grams[:, 0].astype(int)] = grams[:, 1]
     share = (counts + 0.01) / (counts + 0.01).sum(axis=1, keepdims=True)
     codes = codewords(len(languages), bits)
+    discard(sums)
     weights, trust = np.zeros((dimensions, codes.shape[1])), np.zeros(codes.shape[1])
     for bit in range(codes.shape[1]):
         ones, zeros = share[codes[:, bit] > 0], share[codes[:, bit] < 0]
         if not len(ones) or not len(zeros):
             continue
         weights[:, bit] = np.log(ones.mean(axis=0)) - np.log(zeros.mean(axis=0))
-        drift = np.array([share[j] @ weights[:, bit] for j in range(len(languages))]) * codes[:, bit]
+        drift = (share @ weights[:, bit]) * codes[:, bit]
         trust[bit] = max(0.05, np.tanh(drift.min()))  # the language that this bit tells least well
-    return LanguageModel(languages, codes, weights, trust / max(trust.sum(), 1e-9) * len(trust), dimensions, gap)
+    common = np.log(share.mean(axis=0))
+    return LanguageModel(languages, codes, weights, trust / max(trust.sum(), 1e-9) * len(trust), common, float((share @ common).min()), dimensions, gap, strange)
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text", keep: list[str] | None = None, prefix: str = "") -> DataFrame:

@@ -93,14 +93,14 @@ FROM h LEFT JOIN g USING (payload_digest)
 """
 
 OP6_SQL = """
-WITH m AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE role IS NOT NULL AND text IS NOT NULL),
-c AS (SELECT conv_id, 'turn-' || turn AS call_id, turn, text FROM m WHERE role = 'user'),
-r AS (SELECT conv_id, 'turn-' || (turn - 1) AS call_id, turn AS result_turn, text AS content FROM m WHERE role = 'assistant')
-SELECT conv_id, call_id, 0 AS level, c.turn AS turn,
+WITH m AS (SELECT * FROM conversations WHERE role IS NOT NULL AND text IS NOT NULL AND turn IS NOT NULL),
+c AS (SELECT conv_id, 'turn-' || turn AS call_id, turn, min(text) AS text, count(*) AS copies, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS level FROM m WHERE role = 'user' GROUP BY conv_id, turn),
+r AS (SELECT conv_id, 'turn-' || (turn - 1) AS call_id, turn AS result_turn, min(text) AS content, count(*) AS results FROM m WHERE role = 'assistant' GROUP BY conv_id, turn)
+SELECT conv_id, call_id, coalesce(level, 0) AS level, c.turn AS turn,
   CASE WHEN c.turn IS NOT NULL THEN 0 END AS place,
   CASE WHEN c.turn IS NOT NULL THEN 'respond' END AS tool, r.result_turn,
   CASE WHEN c.turn IS NULL THEN 'orphan' WHEN r.result_turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
-  CASE WHEN c.turn IS NULL THEN 0 ELSE 1 END AS copies,
+  coalesce(copies, 0) AS copies, coalesce(results, 0) AS results,
   CASE WHEN c.turn IS NOT NULL THEN CASE WHEN c.text = '' THEN '$.prompt: too short' ELSE '' END END AS problems,
   '{"arguments":' || CASE WHEN c.turn IS NULL THEN 'null' ELSE '{"prompt":' || to_json(c.text) || '}' END
   || ',"id":' || to_json(call_id) || ',"name":' || CASE WHEN c.turn IS NULL THEN 'null' ELSE '"respond"' END

@@ -173,9 +173,9 @@ def scan(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None)
 def redact(docs: DataFrame, *, text: str = "text", mark: str = "[REDACTED]") -> DataFrame:
     """docs, in its own columns, with each secret of the text replaced by the mark; overlapping spans count as one.
 
-    Texts without a secret, nulls among them, stay as they are.
+    Texts without a secret, nulls among them, stay as they are, and so do all other columns, whatever their names.
     """
-    found = scan(docs.withColumn("_whole", F.col(text)), text="_whole")
+    found = scan(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(text).alias("_whole")), text="_whole", keep=["_row", "_whole"])
     merged = F.aggregate(
         F.col("secrets"),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
@@ -190,4 +190,4 @@ def redact(docs: DataFrame, *, text: str = "text", mark: str = "[REDACTED]") ->
         lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("_whole"), acc["at"] + 1, F.length("_whole"))),
     )
     clean = F.when(F.size("secrets") > 0, merged).otherwise(F.col("_whole"))
-    return found.withColumn("_clean", clean).select(*(F.col("_clean").alias(c) if c == text else F.col(c) for c in docs.columns))
+    return found.withColumn("_clean", clean).select(*((F.col("_clean") if c == text else F.col("_row").getField(c)).alias(c) for c in docs.columns))

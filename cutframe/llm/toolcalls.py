@@ -3,35 +3,45 @@
 Messages (conv_id, turn, role, text) hold calls and results in one of two forms. Explicit: an assistant text that is a JSON
 object with `tool_calls` (id, name, arguments, depends_on), and a tool text that is a JSON object with
 `tool_call_id` and `content`. Implicit: a user's turn calls the tool `respond` with the text as its prompt, an
-assistant's turn is the result of the call one turn earlier, and each such call depends on the one before it.
+assistant's turn is the result of the call one turn earlier, and each such call depends on the implicit one before it. Other turns give no row.
 
-Calls and results meet in a hash join on (conversation, call id); of repeated ids the first by turn counts and `copies`
-tells how many there were. A call whose dependencies all come from earlier turns is in order already; a conversation with a later
-dependency is ordered by peeling levels, in rounds of joins over such conversations only, and calls on a cycle get level -1. Sorting by (level, turn, place) is a
-topological order; no conversation is gathered in one task. Arguments are checked against the tool's schema; the record is
-canonical JSON: sorted keys, no spaces, no escapes that JSON doesn't need.
+Calls and results meet in a hash join on (conversation, call id); of repeated ids the first by turn counts, `copies` and
+`results` tell how many there were. A call's level is 0 without dependencies, else one more than the highest of those it depends on; calls on or
+behind a cycle get -1. In conversations of implicit calls alone that is their rank, counted in bounded stretches of turns; conversations with
+`depends_on` are peeled level by level, in as many rounds of joins as their longest chain has calls. Sorting by (level, turn, place) is a
+topological order; no conversation is gathered in one task. Arguments are checked against the tool's schema; dependencies that aren't a list or name
+no call of the conversation are problems too. The record is canonical JSON: sorted keys, no spaces, no escapes that JSON doesn't need; half a
+surrogate pair, which UTF-8 can't hold, stands as its escape.
 
-Null texts and roles take no part; a null conversation id is a conversation of its own. Empty tables give empty results.
+Texts that don't parse, those nested too deep among them, are plain texts. Null texts and roles take no part; a null conversation id is a conversation of its own. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
+#: Turns of one conversation that are ranked in one task at most.
+STRETCH = 1024
 #: The tool that a plain dialogue uses, as a JSON-Schema-like rule.
 RESPOND = {"respond": {"type": "object", "properties": {"prompt": {"type": "string", "minLength": 1}}, "required": ["prompt"], "additionalProperties": False}}
 _KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict, "null": type(None)}
 
 
+def utf8(text: str) -> str:
+    """text with half surrogate pairs as their escapes."""
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(value: object) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return utf8(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False))
 
 
 def problems(value: object, schema: dict, at: str = "$") -> list[str]:
@@ -63,14 +73,15 @@ def _object(text: str) -> dict | None:
     if text.lstrip()[:1] == "{":
         try:
             value = json.loads(text)
-        except ValueError:
+            canonical(value)
+        except (ValueError, RecursionError):
             return None
         return value if isinstance(value, dict) else None
     return None
 
 
 def _events_of(conv: object, turn: int, role: str, text: str) -> Iterator[tuple]:
-    """(kind, call id, place, tool, arguments as JSON, dependencies, content)"""
+    """(kind, call id, place, tool, arguments as JSON, dependencies, what is wrong with them, implicit, content)"""
     value = _object(text) if role in ("assistant", "tool") else None
     if role == "assistant" and value and isinstance(value.get("tool_calls"), list):
         for i, c in enumerate(x for x in value["tool_calls"] if isinstance(x, dict)):
@@ -78,24 +89,26 @@ def _events_of(conv: object, turn: int, role: str, text: str) -> Iterator[tuple]
             arguments = f.get("arguments", {})
             if isinstance(arguments, str):
                 arguments = _object(arguments) if _object(arguments) is not None else arguments
-            yield "call", str(c.get("id")), i, str(f.get("name")), canonical(arguments), [str(d) for d in c.get("depends_on") or []], None
+            needs = c.get("depends_on")
+            fine = needs is None or isinstance(needs, list) and all(isinstance(d, (str, int)) for d in needs)
+            yield "call", utf8(str(c.get("id"))), i, utf8(str(f.get("name"))), canonical(arguments), [utf8(str(d)) for d in needs or []] if fine else [], None if fine else "$.depends_on: not a list of ids", False, None
     elif role == "tool":
         if value and "tool_call_id" in value:
             content = value.get("content")
-            yield "result", str(value["tool_call_id"]), 0, None, None, [], content if isinstance(content, str) else canonical(content)
+            yield "result", utf8(str(value["tool_call_id"])), 0, None, None, [], None, False, utf8(content) if isinstance(content, str) else canonical(content)
     elif role == "user":
-        yield "call", f"turn-{turn}", 0, "respond", canonical({"prompt": text}), [f"before-{turn}"], None
+        yield "call", f"turn-{turn}", 0, "respond", canonical({"prompt": text}), [], None, True, None
     elif role == "assistant":
-        yield "result", f"turn-{turn - 1}", 0, None, None, [], text
+        yield "result", f"turn-{turn - 1}", 0, None, None, [], None, False, text
 
 
-_EVENT = "conv_id bigint, turn bigint, kind string, call_id string, place int, tool string, arguments string, needs array<string>, content string"
+_EVENT = "conv_id bigint, turn bigint, kind string, call_id string, place int, tool string, arguments string, needs array<string>, flaw string, implicit boolean, content string"
 
 
 def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [(c, t, *e) for c, t, r, x in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "turn", "role", "text")), strict=True) for e in _events_of(c, t, r, x)]
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string())
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.bool_(), pa.string())
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=[x.strip().split(" ")[0] for x in _EVENT.split(",")])
 
 
@@ -105,56 +118,79 @@ def _records(schemas: dict):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wrong, text = [], []
-            for call, tool, arguments, content, linked in zip(*(batch.column(c).to_pylist() for c in ("call_id", "tool", "arguments", "content", "status")), strict=True):
+            for call, tool, arguments, content, linked, flaw in zip(*(batch.column(c).to_pylist() for c in ("call_id", "tool", "arguments", "content", "status", "flaw")), strict=True):
                 value = json.loads(arguments) if arguments is not None else None
                 if tool is None:
                     wrong.append(None)
                 else:
-                    wrong.append("; ".join(problems(value, schemas[tool]) if tool in schemas else [f"unknown tool {tool}"]))
+                    wrong.append(utf8("; ".join((problems(value, schemas[tool]) if tool in schemas else [f"unknown tool {tool}"]) + ([flaw] if flaw else []))))
                 text.append(canonical({"arguments": value, "id": call, "name": tool, "result": content if linked != "unanswered" else None}))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(wrong, pa.string()), pa.array(text, pa.string())], names=[*batch.schema.names, "problems", "record"])
 
     return work
 
 
-def _levels(calls: DataFrame, needs: DataFrame, rounds: int) -> DataFrame:
-    """(conv, call_id, level) for conversations where a call needs a later one: 0 without needs, else one more than the highest needed; -1 on a cycle."""
-    left = calls.select("conv", "call_id")
-    edges = written(needs.select("conv", "call_id", "need"), "needs")
-    out = None
-    for level in range(rounds):
+def _ranks(calls: DataFrame) -> DataFrame:
+    """(conv, call_id, rank, before): the rank of each implicit call in its conversation, and the call before it.
+
+    A conversation can be any part of all rows, so rows are ranked inside stretches of turns, and stretches by their sums.
+    """
+    rows = calls.filter("implicit").select("conv", "call_id", "turn", F.expr(f"floor(turn / {STRETCH})").alias("stretch"))
+    sums = rows.groupBy("conv", "stretch").agg(F.count("*").alias("n"), F.max("turn").alias("last"))
+    earlier = Window.partitionBy("conv").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select("conv", "stretch", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"), F.max("last").over(earlier).alias("last"))
+    inside = Window.partitionBy("conv", "stretch").orderBy("turn")
+    ranked = rows.withColumns({"k": F.row_number().over(inside), "lag": F.lag("turn").over(inside)}).join(base, ["conv", "stretch"])
+    return ranked.select("conv", "call_id", (F.col("base") + F.col("k") - 1).alias("rank"), F.concat(F.lit("turn-"), F.coalesce("lag", "last").cast("string")).alias("before"))
+
+
+def _levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
+    """(conv, call_id, level) by peeling: each round takes the calls that need none of the rest; what is left in the end is on or behind a cycle."""
+    left = written(calls.select("conv", "call_id"), "left")
+    edges = written(needs.select("conv", "call_id", "need").distinct(), "needs")
+    out, level = None, 0
+    while True:
         ready = written(left.join(edges.select("conv", "call_id").distinct(), ["conv", "call_id"], "left_anti"), "ready")
         if not ready.limit(1).count():
-            break
-        done = ready.withColumn("level", F.lit(level))
+            rest = left.withColumn("level", F.lit(-1).cast("bigint"))
+            return rest if out is None else out.unionByName(rest)
+        done = ready.withColumn("level", F.lit(level).cast("bigint"))
         out = done if out is None else out.unionByName(done)
+        before = (left, edges)
         left = written(left.join(ready, ["conv", "call_id"], "left_anti"), "left")
         edges = written(edges.join(ready.withColumnRenamed("call_id", "need"), ["conv", "need"], "left_anti"), "needs")
-    rest = left.withColumn("level", F.lit(-1))
-    return rest if out is None else out.unionByName(rest)
+        discard(*before)
+        level += 1
 
 
-def link_tool_calls(messages: DataFrame, *, schemas: dict | None = None, rounds: int = 1000) -> DataFrame:
+def link_tool_calls(messages: DataFrame, *, schemas: dict | None = None) -> DataFrame:
     """One row per call, and per result without a call: conv_id, call_id, level, turn, place, tool, result_turn, status
-    (linked, unanswered or orphan), copies, problems (empty: valid; null: no call) and record."""
+    (linked, unanswered or orphan), copies, results, problems (empty: valid; null: no call) and record."""
     rows = messages.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text").filter("role is not null and text is not null and turn is not null")
     events = written(rows.mapInArrow(_events, _EVENT).withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit(""))), "chat-events")
-    first = F.min(F.struct("turn", "place", "tool", "arguments", "needs", "content")).alias("m")
-    calls = events.filter("kind = 'call'").groupBy("conv", "call_id").agg(first, F.count("*").alias("copies"), F.max("conv_id").alias("conv_id")).select("conv", "conv_id", "call_id", "copies", "m.turn", "m.place", "m.tool", "m.arguments", "m.needs")
-    results = events.filter("kind = 'result'").groupBy("conv", "call_id").agg(first, F.max("conv_id").alias("rc")).select("conv", "call_id", "rc", F.col("m.turn").alias("result_turn"), F.col("m.content").alias("content"))
-    explicit = calls.select("conv", "call_id", "turn", F.explode("needs").alias("need")).filter("need not like 'before-%'")
-    late = explicit.join(calls.select("conv", F.col("call_id").alias("need"), F.col("turn").alias("needed")), ["conv", "need"]).withColumn("late", F.col("needed") >= F.col("turn"))
-    late = written(late.select("conv", "call_id", "need", "late"), "late-needs")
-    odd = late.filter("late").select("conv").distinct()
+    first = F.min(F.struct("turn", "place", "tool", "arguments", "needs", "flaw", "implicit", "content")).alias("m")
+    calls = events.filter("kind = 'call'").groupBy("conv", "call_id").agg(first, F.count("*").alias("copies"), F.max("conv_id").alias("conv_id")).select("conv", "conv_id", "call_id", "copies", "m.turn", "m.place", "m.tool", "m.arguments", "m.needs", "m.flaw", "m.implicit")
+    results = events.filter("kind = 'result'").groupBy("conv", "call_id").agg(first, F.count("*").alias("results"), F.max("conv_id").alias("rc")).select("conv", "call_id", "rc", "results", F.col("m.turn").alias("result_turn"), F.col("m.content").alias("content"))
+    ranks = _ranks(calls)
     linked = calls.join(results, ["conv", "call_id"], "full")
     status = F.when(F.col("tool").isNull(), "orphan").when(F.col("result_turn").isNull(), "unanswered").otherwise("linked")
-    linked = linked.withColumns({"status": status, "conv_id": F.coalesce("conv_id", "rc"), "copies": F.coalesce("copies", F.lit(0))})
-    if odd.limit(1).count():
-        levels = _levels(calls.join(odd, "conv", "left_semi"), late.join(odd, "conv", "left_semi"), rounds)
-        linked = linked.join(levels, ["conv", "call_id"], "left").withColumn("level", F.coalesce("level", F.lit(0)))
-    else:
-        linked = linked.withColumn("level", F.lit(0))
-    names = ["conv_id", "call_id", "level", "turn", "place", "tool", "result_turn", "status", "copies", "arguments", "content"]
+    linked = linked.withColumns({"status": status, "conv_id": F.coalesce("conv_id", "rc"), "copies": F.coalesce("copies", F.lit(0)), "results": F.coalesce("results", F.lit(0))})
+    linked = linked.join(ranks.select("conv", "call_id", "rank"), ["conv", "call_id"], "left")
+    level = F.col("rank")
+    if events.filter("size(needs) > 0").limit(1).count():
+        needs = calls.select("conv", "call_id", F.explode("needs").alias("need")).distinct()
+        known = calls.select("conv", F.col("call_id").alias("need"), F.lit(True).alias("known"))
+        needs = written(needs.join(known, ["conv", "need"], "left").withColumn("known", F.coalesce("known", F.lit(False))), "named-needs")
+        lost = needs.filter("not known").groupBy("conv", "call_id").agg(F.array_join(F.array_sort(F.collect_set("need")), ", ").alias("lost"))
+        some = needs.filter("known").select("conv").distinct()
+        chained = ranks.filter("before is not null").select("conv", "call_id", F.col("before").alias("need"))
+        edges = needs.filter("known").select("conv", "call_id", "need").unionByName(chained.join(some, "conv", "left_semi"))
+        levels = _levels(calls.join(some, "conv", "left_semi"), edges)
+        linked = linked.join(levels, ["conv", "call_id"], "left").join(lost, ["conv", "call_id"], "left")
+        linked = linked.withColumn("flaw", F.nullif(F.concat_ws("; ", "flaw", F.concat(F.lit("$.depends_on: no call "), "lost")), F.lit("")))
+        level = F.coalesce("level", "rank")
+    linked = linked.withColumn("level", F.coalesce(level, F.lit(0)).cast("bigint"))
+    names = ["conv_id", "call_id", "level", "turn", "place", "tool", "result_turn", "status", "copies", "results", "arguments", "content", "flaw"]
     slim = linked.select(*names)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in slim.schema) + ", problems string, record string"
-    return slim.mapInArrow(_records(schemas or RESPOND), schema).drop("arguments", "content")
+    return slim.mapInArrow(_records(schemas or RESPOND), schema).drop("arguments", "content", "flaw")

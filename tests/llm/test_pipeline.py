@@ -47,3 +47,11 @@ def test_stages_keep_columns_and_take_odd_rows(spark, sf_dir):
             assert docs.columns == frame.columns
         assert docs.count() == n
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == n
+
+
+def test_language_stage_rejects_what_it_cannot_tell(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = ["Это предложение написано на языке, которого в таблице нет. " * k for k in (1, 30)] + ["これは表にない言語で書かれた文です。" * 9, "12 34 %%", None, ""]
+    more = spark.createDataFrame([(-1 - i, t, None, "s", 0) for i, t in enumerate(odd)], "doc_id long, text string, lang string, source string, n_chars long").select(*docs.columns)
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs.unionByName(more), sf_dir).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)}
