@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import MIX, attach, binary_column, discard, mixed, written
 
 DIMENSIONS = 1 << 14
-STRANGE = 2.5
+STRANGE = 2.25
 LETTER = regex.compile(r"\p{L}")
 #: Bytes of an n-gram that are taken at most at once, so that a very long text needs bounded memory.
 STEP = 1 << 20
