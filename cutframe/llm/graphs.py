@@ -29,3 +29,13 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return labels.select("id", "comp")
+
+
+def extended(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (id, comp) after more links(a, b): only components that a new link joins are looked at again."""
+    a, b = comps.select(F.col("id").alias("a"), F.col("comp").alias("ca")), comps.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
+    between = links.select("a", "b").join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    roots = components(between)
+    moved = comps.join(roots.select(F.col("id").alias("comp"), F.col("comp").alias("root")), "comp", "left").select("id", F.coalesce("root", "comp").alias("comp"))
+    fresh = roots.join(comps.select("id"), "id", "left_anti")  # ids without a link so far; a component's own id is among its ids
+    return written(moved.unionByName(fresh.select("id", "comp")), "labels")

@@ -35,11 +35,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import MIX, PRIME, WordHashes, attach, binary_column, discard, gram_hashes, mixed, text_key, words_of, written
-from .graphs import components
+from .graphs import components, extended
 
 BANDS, ROWS = 40, 6
 #: Buckets of up to SMALL members have their open pairs checked directly; larger ones get CENTRES centres more.
-SMALL, CENTRES = 16, 8
+SMALL, CENTRES = 16, 3
 #: Keys of texts that are sent to every task at most (16 bytes each); beyond, a shuffle joins them.
 BROADCAST_KEYS = 500_000
 
@@ -235,8 +235,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 5, thres
     involved = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(signed.select("id", "tk"), "id"), "involved")
     sets = written(_texts_of(texts, involved).mapInArrow(_sets(size, counted), "id bigint, grams binary"), "shingle-sets")
     tested = _checked(pairs, sets, threshold, "tested")
-    links = tested.filter("same")
-    comps = components(links)
+    comps = components(tested.filter("same"))
     rounds = [tested]
     for step in ("centres", "differences"):
         if step == "centres":
@@ -255,8 +254,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", size: int = 5, thres
         rounds.append(again)
         tested = tested.unionByName(again)
         if again.filter("same").limit(1).count():
-            links = links.unionByName(again.filter("same"))
-            comps = components(links)
+            comps = extended(comps, again.filter("same"))
     out = written(raw.select("tk", "sk").join(signed.select("sk", "id"), "sk").join(comps, "id", "left").select("tk", F.coalesce("comp", "id").alias("comp")).dropDuplicates(["tk"]), "text-classes")
     discard(raw, signed, buckets, members, pairs, involved, sets, left, *rounds)
     return out

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cutframe.llm import ann, decontaminate, langid, neardup, packing, secrets, substrings, tokenfiles, toolcalls, warc
-from cutframe.llm.graphs import components
+from cutframe.llm.graphs import components, extended
 from cutframe.llm.queries import tokenizer_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, spans int, length double, start string"
@@ -123,6 +123,8 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (200, 200)]
     got = {r.id: r.comp for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
+    more = extended(components(spark.createDataFrame(links, "a long, b long")), spark.createDataFrame([(40, 102), (7, 9), (300, 301), (301, 5), (400, 401)], "a long, b long"))
+    assert {r.id: r.comp for r in more.collect()} == {i: 0 for i in (*range(41), 100, 101, 102, 300, 301)} | {400: 400, 401: 400}
 
 
 def test_secrets(odd, none):
