@@ -162,10 +162,14 @@ def _similar(threshold: float):
     return work
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs with the elements x of a and y of b. Many pairs can share their a, few share their b, so the last join is on b: it deals the work after it evenly."""
+    return pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
+
+
 def _checked(pairs: DataFrame, sets: DataFrame, threshold: float, name: str) -> DataFrame:
     """pairs(a, b) with same: whether the Jaccard similarity of their elements reaches the threshold."""
-    full = pairs.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b").join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
-    return written(full.mapInArrow(_similar(threshold), "a bigint, b bigint, same boolean"), name)
+    return written(_with_sets(pairs, sets).mapInArrow(_similar(threshold), "a bigint, b bigint, same boolean"), name)
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,8 +198,8 @@ def _pairs_by_differences(stars: DataFrame, comps: DataFrame, sets: DataFrame, t
     r = (1 - threshold) / (1 + threshold)
     placed = stars.join(comps.withColumnRenamed("id", "b"), "b", "left").withColumn("comp", F.coalesce("comp", "b"))
     several = placed.groupBy("a").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("a")
-    full = placed.join(several, "a", "left_semi").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b").join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
-    diffs = written(full.mapInArrow(_differences, "c bigint, id bigint, comp bigint, n int, m int, diff array<bigint>"), "differences")
+    full = _with_sets(placed.join(several, "a", "left_semi"), sets)
+    diffs = full.mapInArrow(_differences, "c bigint, id bigint, comp bigint, n int, m int, diff array<bigint>").repartition("c", "id")
     each = diffs.select("c", "id", "comp", "n", "m", F.size("diff").alias("d"), F.explode("diff").alias("e"))
     alike, member = Window.partitionBy("c", "e"), Window.partitionBy("c", "id")
     shared = each.withColumns({"k": F.count("*").over(alike), "c0": F.min("comp").over(alike), "c1": F.max("comp").over(alike)}).filter("k > 1")
@@ -205,7 +209,6 @@ def _pairs_by_differences(stars: DataFrame, comps: DataFrame, sets: DataFrame, t
     loose = ~linked & (F.col("p") <= F.col("d") - F.ceil((F.col("d") - r * (F.col("n") + F.col("m"))) / (1 + r) - 1e-9))
     kept = placed.withColumns({"linked": linked, "tight": tight}).filter((F.col("c0") != F.col("c1")) & (tight | loose))
     kept = written(kept.select("c", "e", "id", "comp", "n", "d", "p", "linked", "tight"), "prefixes")
-    discard(diffs)
     x, y = kept.filter("tight").alias("x"), kept.filter("not linked").alias("y")
     least = F.ceil((F.col("x.d") + F.col("y.d") - r * (F.col("x.n") + F.col("y.n"))) / 2 - 1e-9)
     on = (F.col("x.c") == F.col("y.c")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.linked") | (F.col("y.tight") & (F.col("x.id") < F.col("y.id"))))
