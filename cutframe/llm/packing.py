@@ -49,10 +49,12 @@ class Encoder:
             self.special = set(special)
             self.quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str, *, ordinary: bool = False) -> list[int]:
+        """ordinary: a special token that the text spells out is text like any other, so its id never comes up."""
         if self.quick is None or len(text) > LONG_RUN and max(map(len, text.split(" "))) > LONG_RUN:
+            self.plain.encode_special_tokens = ordinary
             return self.plain.encode(text, add_special_tokens=False).ids
-        if any(s in text for s in self.special):
+        if not ordinary and any(s in text for s in self.special):
             return self.quick.encode(text, allowed_special="all")
         return self.quick.encode_ordinary(text)
 

@@ -28,10 +28,10 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = tokenfiles.count_tokens(_read(spark, sf_dir, "documents"), tokenizer_path())
+    counts = tokenfiles.count_tokens(_read(spark, sf_dir, "documents"), tokenizer_path(), keep=["doc_id"])
     part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("bigint")
     piece = F.regexp_extract("file", r"-c(\d+)\.", 1).cast("bigint")
-    return counts.select(part.alias("part"), piece.alias("piece"), "document", "start", "n_tokens", "terminated")
+    return counts.select("doc_id", part.alias("part"), piece.alias("piece"), "document", "start", "n_tokens", "terminated")
 
 
 def _held_out() -> F.Column:

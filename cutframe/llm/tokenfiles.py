@@ -5,13 +5,13 @@ Each file's bytes are cut into blocks; a block's vectorised search gives the pla
 scan over the blocks (running ids and running last end) stitches documents that cross block boundaries.
 
 Files are written by Spark's text writer with the end id's bytes as line separator, so they reach any file system and
-obey its commit protocol. Null and empty texts are documents of no token. Ids after the last end id, if any, form an unterminated document. Empty
-tables give files without a document.
+obey its commit protocol. Null and empty texts are documents of no token. A text that spells the end token out is encoded as ordinary text, so it forges
+no boundary and none of its ids is lost. Ids after the last end id, if any, form an unterminated document. Empty tables give files without a document.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +27,15 @@ BLOCK_IDS = 1 << 18
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, *, text: str = "text", end: int = 50256, width: int = 2) -> str:
-    """Tokenise docs into flat files of `width`-byte ids under path. The end id must not be an id of a text."""
+    """Tokenise docs into flat files of `width`-byte ids under path. An end id among a text's own ids is an error (a wrong `end`), never dropped."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         for batch in batches:
-            raw = [np.array(encode(t) if t else (), dtype=f"<u{width}") for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([x[x != end].tobytes() for x in raw], pa.binary())], names=["raw"])
+            raw = [np.array(encode(t, ordinary=True) if t else (), dtype=f"<u{width}") for t in batch.column(0).to_pylist()]
+            if any((x == end).any() for x in raw):
+                raise ValueError(f"id {end} ends a document, but the tokenizer also gives it within a text")
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in raw], pa.binary())], names=["raw"])
 
     rows = docs.select(F.col(text).alias("text")).mapInArrow(work, "raw binary").select(F.col("raw").cast("string").alias("value"))
     separator = int(end).to_bytes(width, "little").decode("latin-1")
@@ -76,7 +78,24 @@ def token_counts(spark: SparkSession, path: str, *, end: int = 50256, width: int
     return whole.unionByName(sums.filter("ids > start").select("file", "document", "start", (F.col("ids") - F.col("start")).alias("n_tokens"), F.lit(False).alias("terminated")))
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, *, text: str = "text", end: int = 50256, width: int = 2, path: str | None = None) -> DataFrame:
-    """Write docs as token files and count them back."""
+def count_tokens(docs: DataFrame, tokenizer: str, *, text: str = "text", keep: Sequence[str] = (), end: int = 50256, width: int = 2, path: str | None = None) -> DataFrame:
+    """Write docs as token files and count them back; the columns `keep` of docs stand beside each count (and hide a result's column of their name).
+
+    The files hold no names: a document's row in its partition tells its place (writers number their files by partition, and each
+    takes FILE_DOCUMENTS rows). With `keep`, docs is therefore read twice and must give the same rows in the same order both times, as a
+    table does; write anything else first. A count without a document, or the other way round, is an error.
+    """
     path = path or new_path(docs.sparkSession, "tokens")
-    return token_counts(docs.sparkSession, write_token_files(docs, tokenizer, path, text=text, end=end, width=width), end=end, width=width)
+    counts = token_counts(docs.sparkSession, write_token_files(docs, tokenizer, path, text=text, end=end, width=width), end=end, width=width)
+    if not keep:
+        return counts
+    number = F.monotonically_increasing_id()  # the partition above 33 bits, below them the row
+    row = F.col("_number").bitwiseAND((1 << 33) - 1)
+    places = docs.select(F.struct(*keep).alias("_kept"), number.alias("_number"))
+    places = places.select("_kept", F.shiftright("_number", 33).alias("_part"), F.floor(row / FILE_DOCUMENTS).alias("_piece"), (row % FILE_DOCUMENTS).alias("_row"))
+    part, piece = (F.regexp_extract("file", p, 1).cast("bigint") for p in (r"^part-(\d+)", r"-c(\d+)\."))
+    rows = counts.withColumns({"_part": part, "_piece": piece, "_row": F.col("document")}).join(places, ["_part", "_piece", "_row"], "full")
+    lost = F.raise_error(F.lit("docs gave other rows when read again: write them to a table first"))
+    kept = F.when(F.col("_kept").isNull() | F.col("file").isNull(), lost.cast(places.schema["_kept"].dataType)).otherwise(F.col("_kept"))
+    clear = [c for c in counts.columns if c not in keep]
+    return rows.withColumn("_kept", kept).select("_kept.*", *clear)

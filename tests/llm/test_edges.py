@@ -252,7 +252,26 @@ def test_token_files_across_blocks(spark, odd, none):
             continue
         got = tokenfiles.token_counts(spark, path, block=block).collect()
         assert sorted(r.n_tokens for r in got) == want and all(r.terminated for r in got)
-    assert tokenfiles.count_tokens(none, tokenizer_path()).count() == 0
+    assert tokenfiles.count_tokens(none, tokenizer_path(), keep=["doc_id"]).count() == 0
+
+
+def test_token_counts_keep_end_ids_and_documents(spark, monkeypatch):
+    end = "<|endoftext|>"
+    texts = [f"one{end}two", end, f"{end}{end} x", None, "", "plain words", "y" * 25_000 + end, "plain words"]
+    path = tokenfiles.new_path(spark, "docs")
+    spark.createDataFrame([(i if i != 3 else None, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, start string").repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    e = packing.Encoder(tokenizer_path())
+    ids = [e.encode(t or "", ordinary=True) for t in texts]
+    assert not any(50256 in x for x in ids) and e.plain.decode(ids[0]) == texts[0] and e.plain.decode(ids[6]) == texts[6]
+    assert 50256 in e.encode(texts[0]) and 50256 in e.encode(texts[6])
+    want = sorted((i if i != 3 else -1, len(x), "x") for i, x in enumerate(ids))
+    for size in (10_000, 2):
+        monkeypatch.setattr(tokenfiles, "FILE_DOCUMENTS", size)
+        got = tokenfiles.count_tokens(docs, tokenizer_path(), keep=["doc_id", "start"]).collect()
+        assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.start) for r in got) == want
+    with pytest.raises(Exception, match="ends a document"):
+        tokenfiles.count_tokens(docs, tokenizer_path(), end=ids[5][0]).count()
 
 
 def test_tool_calls(spark):
