@@ -6,30 +6,51 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.blocks import greedy, nearest, overlap
-from .candidates import overlap_mean
 
+def best_windows(slots: DataFrame, segs: DataFrame, *, least: float, most: float, step: float = 1.0) -> DataFrame:
+    """One window per slot (job_id, slot, lo, hi), in slot order, by the mean score (0 or more) of the segments (job_id, s0, s1, score) under it.
 
-def window_grid(slots: DataFrame, *, step: float, least: float, most: float, grow: float = 1.0) -> DataFrame:
-    """Every window of each slot (job_id, slot, lo, hi): starts every step, lengths least..most by grow, inside the slot."""
-    starts = F.explode(F.sequence(F.lit(0), F.floor((F.col("hi") - least - F.col("lo") + 1e-9) / step).cast("int")))
-    rows = slots.filter(F.col("hi") - F.col("lo") >= least).withColumn("i", starts).withColumn("w0", F.col("lo") + F.col("i") * step)
-    lengths = F.explode(F.sequence(F.lit(0), F.floor((F.least(F.lit(most), F.col("hi") - F.col("w0")) - least + 1e-9) / grow).cast("int")))
-    return rows.withColumn("j", lengths).select("job_id", "slot", "i", "j", "w0", (F.col("w0") + least + F.col("j") * grow).alias("w1"))
+    Starts go by `step`, lengths from least to most by 1. A slot takes the best free window that starts at or after the end of all
+    windows chosen before (state 'ordered', starts counted from there); else the best free one ('unordered'); else the best of the longest windows
+    of each start, whether free or not ('reused'). Of equals the earliest, then the shortest. Only a slot shorter than least has 'none'.
+    Score is null where no segment lies under the window.
 
-
-def best_windows(slots: DataFrame, segs: DataFrame, *, least: float, most: float, step: float = 1.0, keep: int = 12) -> DataFrame:
-    """One window per slot, in slot order: best mean score, earliest, shortest; windows that overlap chosen ones are skipped.
-
-    Scores of all windows of all slots come from one interval join. Per slot the `keep` best go on: a slot's choice can only be
-    blocked by windows chosen for slots before it in the same job. A slot whose kept windows are all blocked has state 'none'.
+    Slots meet their segments in one join; a job's slots, each with its few segments, are then folded in order inside the JVM.
     """
-    grid = window_grid(slots, step=step, least=least, most=most)
-    scored = overlap_mean(grid, segs, ["slot", "i", "j", "w0", "w1"]).withColumn("score", F.round(F.coalesce("score", F.lit(-1.0)), 6))
-    rank = F.row_number().over(Window.partitionBy("job_id", "slot").orderBy(F.desc("score"), "w0", "w1"))
-    top = scored.withColumn("k", rank).filter(F.col("k") <= keep)
-    free = lambda kept, x: ~F.exists(kept, lambda u: (u["slot"] == x["slot"]) | ((x["w0"] < u["w1"]) & (x["w1"] > u["w0"])))
-    chosen = greedy(top, ["job_id"], [("slot", False), ("k", False)], ["slot", "w0", "w1", "score"], free)
-    return slots.select("job_id", "slot").join(chosen, ["job_id", "slot"], "left").withColumn("state", F.when(F.col("w0").isNull(), "none").otherwise("chosen"))
+    met = overlap(slots, segs, "job_id", ("lo", "hi"), ("s0", "s1"), 16.0).groupBy("job_id", "slot").agg(F.array_sort(F.collect_list(F.struct("s0", "s1", "score"))).alias("segs"))
+    rows = slots.filter(F.col("hi") - F.col("lo") >= least - 1e-9).join(met, ["job_id", "slot"], "left")
+    none = F.array().cast(met.schema["segs"].dataType)
+    jobs = rows.groupBy("job_id").agg(F.array_sort(F.collect_list(F.struct("slot", "lo", "hi", F.coalesce("segs", none).alias("segs")))).alias("slots"))
+
+    def starts(x: Column, first: Column) -> Column:
+        n = F.floor((x["hi"] - least - first + 1e-9) / step)
+        return F.transform(F.when(n >= 0, F.sequence(F.lit(0).cast("bigint"), n)).otherwise(F.array().cast("array<bigint>")), lambda i: first + i * step)
+
+    def windows(x: Column, first: Column) -> Column:
+        more = lambda a: F.greatest(F.lit(0).cast("bigint"), F.floor(F.least(F.lit(most), x["hi"] - a) - least + 1e-9))
+        return F.flatten(F.transform(starts(x, first), lambda a: F.transform(F.sequence(F.lit(0).cast("bigint"), more(a)), lambda n: F.struct(a.alias("w0"), (a + least + n).alias("w1")))))
+
+    def free(kept: Column, spans: Column) -> Column:
+        return F.filter(spans, lambda y: ~F.exists(kept, lambda u: (y["w0"] < u["w1"]) & (y["w1"] > u["w0"])))
+
+    def best(x: Column, spans: Column, state: str) -> Column:
+        def loss(y: Column) -> Column:
+            shared = lambda u: F.greatest(F.lit(0.0), F.least(y["w1"], u["s1"]) - F.greatest(y["w0"], u["s0"]))
+            total = F.aggregate(x["segs"], F.lit(0.0), lambda t, u: t + u["score"] * shared(u))
+            return -F.round(F.coalesce(F.try_divide(total, F.aggregate(x["segs"], F.lit(0.0), lambda t, u: t + shared(u))), F.lit(-1.0)), 6)
+
+        return F.array_min(F.transform(spans, lambda y: F.struct(loss(y).alias("loss"), y["w0"].alias("w0"), y["w1"].alias("w1"), F.lit(state).alias("state"))))
+
+    def choose(kept: Column, x: Column) -> Column:
+        after = F.greatest(x["lo"], F.array_max(F.transform(kept, lambda u: u["w1"])))
+        longest = F.transform(starts(x, x["lo"]), lambda a: F.struct(a.alias("w0"), F.least(a + most, x["hi"]).alias("w1")))
+        chosen = F.coalesce(best(x, free(kept, windows(x, after)), "ordered"), best(x, free(kept, windows(x, x["lo"])), "unordered"), best(x, longest, "reused"))
+        score = lambda m: F.when(m["loss"] <= 0, -m["loss"]).alias("score")
+        return F.concat(kept, F.transform(F.array(chosen), lambda m: F.struct(x["slot"].alias("slot"), m["w0"].alias("w0"), m["w1"].alias("w1"), score(m), m["state"].alias("state"))))
+
+    kind = f"array<struct<slot: {slots.schema['slot'].dataType.simpleString()}, w0: double, w1: double, score: double, state: string>>"
+    found = jobs.select("job_id", F.inline(F.aggregate("slots", F.array().cast(kind), choose)))
+    return slots.select("job_id", "slot").join(found, ["job_id", "slot"], "left").withColumn("state", F.coalesce("state", F.lit("none")))
 
 
 def centered_window(slots: DataFrame, segs: DataFrame, *, duration: float, step: float = 0.5) -> DataFrame:

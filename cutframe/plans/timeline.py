@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import timeline as tl
+from ..operators.proposal import propose_timeline
 from ..sources import views as v
 from . import query
 
@@ -77,6 +78,15 @@ def tml06(spark: SparkSession, sf: str) -> DataFrame:
     return tl.density_sections(_spine(spark, sf), o).withColumnsRenamed({"start": "start_s", "end": "end_s"})
 
 
+@query("tml07_propose_timeline")
+def tml07(spark: SparkSession, sf: str) -> DataFrame:
+    cuts, beats = v.v_cuts(spark, sf), v.v_beats(spark, sf).withColumnRenamed("clip_id", "job_id")
+    ends = _spine(spark, sf).select("job_id", (F.col("start") + 7).alias("start"), (F.col("end") - 7).alias("end"), F.when(F.col("job_id") % 10 > 0, F.col("end")).alias("reel"), (F.col("job_id") % 4 / 10.0).alias("density"))
+    parts = v.v_cand(spark, sf).filter("event % 5 = 0").select("job_id", "start", (F.col("end") + 60).alias("end"), F.col("score").alias("density"))
+    action = cuts.select("job_id", F.col("source_in").alias("s0"), F.col("source_out").alias("s1"), (F.col("pos") % 10 / 10.0).alias("score"))
+    return propose_timeline(ends, parts, beats, beats.filter("i % 2 = 0"), action)
+
+
 @query("tml08_timeline_stats", "v_cuts", f""", {TIMES}, g AS (SELECT *, source_out - source_in AS d, CASE WHEN angle = 'B' THEN proof_in - max(CASE WHEN angle = 'B' THEN proof_out END) OVER (PARTITION BY job_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS gap FROM tm)
 SELECT job_id, count(*) AS cuts, count(*) FILTER (WHERE angle = 'B') AS b_cuts, round(100 * coalesce(sum(d) FILTER (WHERE angle = 'B'), 0) / sum(d), 6) AS b_pct, round(min(d) FILTER (WHERE angle = 'B'), 6) AS b_min, round(max(d) FILTER (WHERE angle = 'B'), 6) AS b_max, round(avg(d) FILTER (WHERE angle = 'B'), 6) AS b_avg, round(min(gap) FILTER (WHERE gap > 1e-6), 6) AS min_recovery, round(sum(d), 6) AS runtime FROM g GROUP BY 1""")
 def tml08(spark: SparkSession, sf: str) -> DataFrame:

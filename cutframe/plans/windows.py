@@ -17,16 +17,36 @@ def segments(spark: SparkSession, sf: str) -> DataFrame:
     return v.v_cuts(spark, sf).filter("pos % 3 <> 0").select("job_id", F.col("source_in").alias("s0"), F.col("source_out").alias("s1"), (F.col("pos") % 10 / 10.0).alias("score"))
 
 
-@query("cnd02_best_windows", "v_cuts v_cand", f""", {SEGS}, sl AS (SELECT job_id, row_number() OVER (PARTITION BY job_id ORDER BY anchor) AS slot, floor(anchor) AS lo, floor(anchor) + 14 AS hi FROM v_cand),
-st AS (SELECT *, unnest(range(0, 11)) AS i FROM sl), ln AS (SELECT job_id, slot, lo + i AS w0, unnest(range(0, least(8, 14 - i)::INT - 4 + 1)) AS j FROM st), gr AS (SELECT job_id, slot, w0, w0 + 4 + j AS w1 FROM ln),
-sc AS (SELECT g.job_id, g.slot, g.w0, g.w1, round(coalesce(sum(s.score * (least(w1, s1) - greatest(w0, s0))) / sum(least(w1, s1) - greatest(w0, s0)), -1), 6) AS score FROM gr g LEFT JOIN sg s ON s.job_id = g.job_id AND greatest(w0, s0) < least(w1, s1) GROUP BY 1, 2, 3, 4),
-tp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job_id, slot ORDER BY score DESC, w0, w1) AS k FROM sc) WHERE k <= 12), od AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY slot, k) AS o FROM tp),
-wk AS (SELECT job_id, 0::BIGINT AS o, []::STRUCT(slot BIGINT, w0 DOUBLE, w1 DOUBLE, score DOUBLE)[] AS ks FROM (SELECT DISTINCT job_id FROM od) UNION ALL SELECT w.job_id, d.o, CASE WHEN len(list_filter(ks, lambda u: u.slot = d.slot OR (d.w0 < u.w1 AND d.w1 > u.w0))) = 0 THEN list_append(ks, {{'slot': d.slot, 'w0': d.w0, 'w1': d.w1, 'score': d.score}}) ELSE ks END FROM wk w JOIN od d ON d.job_id = w.job_id AND d.o = w.o + 1),
-f AS (SELECT job_id, unnest(max_by(ks, o)) AS x FROM wk GROUP BY 1) SELECT sl.job_id, sl.slot, f.x.w0 AS w0, f.x.w1 AS w1, f.x.score AS score, CASE WHEN f.x IS NULL THEN 'none' ELSE 'chosen' END AS state FROM sl LEFT JOIN f ON f.job_id = sl.job_id AND f.x.slot = sl.slot""")
+def _grid(first: str) -> str:
+    """SQL for the windows of a slot x from `first` on: starts by 1, lengths 4 to 8 by 1."""
+    starts = f"list_transform(range(0, greatest(0, floor(x.hi - 4 - {first} + 1e-9)::BIGINT + 1)), lambda i: {first} + i)"
+    return f"flatten(list_transform({starts}, lambda a: list_transform(range(0, greatest(1, floor(least(8, x.hi - a) - 4 + 1e-9)::BIGINT + 1)), lambda j: {{'w0': a, 'w1': a + 4 + j}})))"
+
+
+def _best(spans: str, state: str) -> str:
+    """SQL for the least (loss, start, end) of windows of a slot x with segments x.sg."""
+    shared = "greatest(0, least(y.w1, u.b) - greatest(y.w0, u.a))"
+    mean = f"list_sum(list_transform(x.sg, lambda u: u.v * {shared})) / nullif(list_sum(list_transform(x.sg, lambda u: {shared})), 0)"
+    return f"list_sort(list_transform({spans}, lambda y: {{'loss': -round(coalesce({mean}, -1), 6), 'w0': y.w0, 'w1': y.w1, 'state': '{state}'}}))[1]"
+
+
+def _free(spans: str) -> str:
+    return f"list_filter({spans}, lambda z: len(list_filter(w.ks, lambda k: z.w0 < k.w1 AND z.w1 > k.w0)) = 0)"
+
+
+LONGEST = "list_transform(range(0, floor(x.hi - 4 - x.lo + 1e-9)::BIGINT + 1), lambda i: {'w0': x.lo + i, 'w1': least(x.lo + i + 8, x.hi)})"
+
+
+@query("cnd02_best_windows", "v_cuts v_cand", f""", {SEGS}, sl AS (SELECT job_id, row_number() OVER (PARTITION BY job_id ORDER BY anchor) AS slot, floor(anchor) AS lo, floor(anchor) + CASE WHEN job_id % 3 = 0 THEN event % 13 ELSE 14 END AS hi FROM v_cand),
+sx AS (SELECT sl.job_id, slot, lo, hi, row_number() OVER (PARTITION BY sl.job_id ORDER BY slot) AS o, coalesce(list({{'a': s0, 'b': s1, 'v': score}}) FILTER (WHERE s0 IS NOT NULL), []) AS sg FROM sl LEFT JOIN sg ON sg.job_id = sl.job_id AND greatest(lo, s0) < least(hi, s1) WHERE hi - lo >= 4 GROUP BY 1, 2, 3, 4),
+wk AS (SELECT job_id, 0::BIGINT AS o, 0::BIGINT AS slot, []::STRUCT(w0 DOUBLE, w1 DOUBLE)[] AS ks, NULL::STRUCT(loss DOUBLE, w0 DOUBLE, w1 DOUBLE, state VARCHAR) AS p FROM (SELECT DISTINCT job_id FROM sx)
+ UNION ALL SELECT job_id, o, slot, list_append(ks, {{'w0': p.w0, 'w1': p.w1}}), p FROM (SELECT x.job_id, x.o, x.slot, w.ks, coalesce({_best(_free(_grid("greatest(x.lo, coalesce(list_max(list_transform(w.ks, lambda k: k.w1)), x.lo))")), "ordered")}, {_best(_free(_grid("x.lo")), "unordered")}, {_best(LONGEST, "reused")}) AS p FROM wk w JOIN sx x ON x.job_id = w.job_id AND x.o = w.o + 1))
+SELECT sl.job_id, sl.slot, p.w0 AS w0, p.w1 AS w1, CASE WHEN p.loss <= 0 THEN -p.loss END AS score, coalesce(p.state, 'none') AS state FROM sl LEFT JOIN wk ON wk.job_id = sl.job_id AND wk.slot = sl.slot""")
 def cnd02(spark: SparkSession, sf: str) -> DataFrame:
     slot = F.row_number().over(Window.partitionBy("job_id").orderBy("anchor"))
     lo = F.floor("anchor").cast("double")
-    slots = v.v_cand(spark, sf).select("job_id", slot.alias("slot"), lo.alias("lo"), (lo + 14).alias("hi"))
+    long = F.when(F.col("job_id") % 3 == 0, F.col("event") % 13).otherwise(14)
+    slots = v.v_cand(spark, sf).select("job_id", slot.alias("slot"), lo.alias("lo"), (lo + long).alias("hi"))
     return wi.best_windows(slots, segments(spark, sf), least=4.0, most=8.0)
 
 

@@ -6,7 +6,7 @@ import json
 
 import pytest
 
-from cutframe.operators import candidates, music, validate
+from cutframe.operators import candidates, colour, music, validate, windows
 from cutframe.sources import catalog
 from cutframe.streaming import jobs
 
@@ -77,3 +77,43 @@ def test_blocked_jobs(spark):
     log = spark.createDataFrame([(1, 1, "proposed"), (2, 1, "approved"), (3, 1, "approved"), (3, 2, "executing"), (4, 1, "approved")], "job_id int, at int, status string")
     got = {r.job_id: r.status for r in jobs.job_state(log, spark.createDataFrame([(4,)], "job_id int")).collect()}
     assert got == {1: "BLOCKED", 2: "BLOCKED", 3: "executing", 4: "approved"}
+
+
+def test_best_windows_order_then_freedom_then_reuse(spark):
+    slots = spark.createDataFrame([(1, k, float(lo), float(hi)) for k, (lo, hi) in enumerate([(0, 14), (0, 14), (0, 14), (0, 3), (0, 14), (16, 30), (10, 16), (40, 50)])], "job_id long, slot int, lo double, hi double")
+    segs = spark.createDataFrame([(1, 0.0, 10.0, 1.0), (1, 10.0, 30.0, 0.5), (2, 0.0, 9.0, 1.0)], "job_id long, s0 double, s1 double, score double")
+    got = {r.slot: (r.state, r.w0, r.w1, r.score) for r in windows.best_windows(slots, segs, least=4.0, most=8.0).collect()}
+    assert got == {
+        0: ("ordered", 0, 4, 1),
+        1: ("ordered", 4, 8, 1),
+        2: ("ordered", 8, 12, 0.75),
+        3: ("none", None, None, None),
+        4: ("reused", 0, 8, 1),
+        5: ("ordered", 16, 20, 0.5),
+        6: ("unordered", 12, 16, 0.5),
+        7: ("ordered", 40, 44, None),
+    }
+    assert windows.best_windows(slots.limit(0), segs, least=4.0, most=8.0).count() == 0
+
+
+def test_gain_fit_against_a_loop(spark):
+    hist = {(w, ch): {v: (v * (w + 3) + ch) % 7 for v in range(5 * w, 200, 9)} for w in range(4) for ch in range(2)}
+    lut = {(ch, v): min(255.0, v * v / 255 + 3 * ch) for ch in range(2) for v in range(256)}
+    target = {k: 30.0 + 25 * k[0] for k in hist}
+    want = {}
+    for (w, ch), counts in hist.items():
+        gain = 1.0
+        for _ in range(4):
+            total = sum(n * lut[ch, min(255, int(v * gain + 0.5))] for v, n in counts.items())
+            ratio = target[w, ch] * sum(counts.values()) / total
+            if abs(ratio - 1) <= 0.01:
+                break
+            gain *= ratio
+        want[w, ch] = gain
+    frame = lambda rows, ddl: spark.createDataFrame(rows, ddl)
+    got = colour.fit_gains(
+        frame([(*k, v, n) for k, c in hist.items() for v, n in c.items()], "window_id int, ch int, v int, n int"),
+        frame([(*k, x) for k, x in lut.items()], "ch int, v int, out double"),
+        frame([(*k, x) for k, x in target.items()], "window_id int, ch int, target double"),
+    )
+    assert {(r.window_id, r.ch): r.gain for r in got.collect()} == pytest.approx(want, rel=1e-6)
