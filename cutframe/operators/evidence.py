@@ -43,7 +43,7 @@ def _nesting(j: Column) -> Column:
     return F.aggregate(steps, start, lambda x, s: F.struct((x["now"] + s).alias("now"), F.greatest(x["most"], x["now"] + s).alias("most")), lambda x: x["most"])
 
 
-def _children(path: Column, j: Column) -> Column:
+def json_children(path: Column, j: Column) -> Column:
     """(path, key, JSON) of each member of an object and, without a key, of each element of an array."""
     v = F.try_parse_json(j)
     members = F.try_variant_get(v, "$", "map<string,variant>")
@@ -61,7 +61,7 @@ def aggregate_hits(docs: DataFrame, pattern: str) -> DataFrame:
     rows = docs.select("doc_id", F.lit("$").alias("path"), F.lit(None).cast("string").alias("k"), F.col("json").alias("j"))
     for _ in range(deepest):
         done = F.struct("path", "k", F.lit(None).cast("string").alias("j"))
-        rows = rows.select("doc_id", F.explode(F.when(F.col("j").rlike(r"^\s*[\[{]"), F.concat(F.array(done), _children(F.col("path"), F.col("j")))).otherwise(F.array(done))).alias("x")).select("doc_id", "x.path", "x.k", "x.j")
+        rows = rows.select("doc_id", F.explode(F.when(F.col("j").rlike(r"^\s*[\[{]"), F.concat(F.array(done), json_children(F.col("path"), F.col("j")))).otherwise(F.array(done))).alias("x")).select("doc_id", "x.path", "x.k", "x.j")
     return rows.filter(F.col("k").rlike(pattern)).select("doc_id", "path")
 
 

@@ -2,10 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.blocks import overlap
+from .evidence import json_children
+
+#: The manifest's structure, by place: [*] is an element, .* any member (fixed values).
+NAME = {"kinds": ["string"], "least_length": 1}
+NUMBER = {"kinds": ["number"]}
+FLAG = {"kinds": ["boolean"]}
+MANIFEST_RULES: dict[str, dict] = {
+    "$": {"kinds": ["object"], "required": ["manifest_version", "job_id", "template", "sources", "timeline", "profiles"], "fields": ["manifest_version", "job_id", "template", "sources", "timeline", "profiles", "postflight", "pre_grades"], "closed": True},
+    "$.manifest_version": {"kinds": ["number"], "among": ["1"]},
+    "$.job_id": {"kinds": ["string"], "least_length": 1, "most_length": 64, "pattern": "^[A-Za-z0-9][A-Za-z0-9_.-]*$"},
+    "$.template": NAME,
+    "$.sources": {"kinds": ["object"], "required": ["a_reel"], "fields": ["a_reel", "b_reel"], "closed": True},
+    "$.sources.a_reel": NAME,
+    "$.sources.b_reel": {"kinds": ["array"]},
+    "$.sources.b_reel[*]": NAME,
+    "$.timeline": {"kinds": ["array"], "least_items": 1},
+    "$.timeline[*]": {"kinds": ["object"], "required": ["id", "angle", "source_in", "source_out"], "fields": ["id", "angle", "source_in", "source_out", "confidence"], "closed": True},
+    "$.timeline[*].id": {"kinds": ["string"], "pattern": "^cut_[0-9]{3}$"},
+    "$.timeline[*].angle": {"kinds": ["string"], "among": ["A", "B"]},
+    "$.timeline[*].source_in": {"kinds": ["number"], "least": 0.0},
+    "$.timeline[*].source_out": {"kinds": ["number"], "least": 0.0},
+    "$.timeline[*].confidence": {"kinds": ["string"], "among": ["low", "high"]},
+    "$.profiles": {"kinds": ["object"], "required": ["grade", "crop", "graphics", "audio"], "fields": ["grade", "crop", "graphics", "audio"], "closed": True},
+    "$.profiles.grade": NAME,
+    "$.profiles.crop": NAME,
+    "$.profiles.graphics": NAME,
+    "$.profiles.audio": NAME,
+    "$.postflight": {"kinds": ["object"], "required": ["status"], "fields": ["status", "checked_at", "integrated_lufs", "true_peak_dbtp", "lra", "duration_s", "bt709", "delivered_file", "pre_grades_applied"], "closed": True},
+    "$.postflight.status": {"kinds": ["string"], "among": ["passed", "failed"]},
+    "$.postflight.checked_at": {"kinds": ["string"]},
+    "$.postflight.integrated_lufs": NUMBER,
+    "$.postflight.true_peak_dbtp": NUMBER,
+    "$.postflight.lra": NUMBER,
+    "$.postflight.duration_s": {"kinds": ["number"], "least": 0.0},
+    "$.postflight.bt709": {"kinds": ["object"], "fields": ["primaries", "transfer", "matrix"], "closed": True},
+    "$.postflight.bt709.primaries": FLAG,
+    "$.postflight.bt709.transfer": FLAG,
+    "$.postflight.bt709.matrix": FLAG,
+    "$.postflight.delivered_file": NAME,
+    "$.postflight.pre_grades_applied": {"kinds": ["object"]},
+    "$.postflight.pre_grades_applied.*": {"kinds": ["object"]},
+    "$.postflight.pre_grades_applied.*.*": {"kinds": ["string", "number", "boolean"]},
+    "$.pre_grades": {"kinds": ["object"]},
+    "$.pre_grades.*": {"kinds": ["string", "object"], "least_length": 1, "required": ["mode", "points"], "fields": ["mode", "interpolation", "units", "max_chunk_s", "points"]},
+    "$.pre_grades.*.mode": {"kinds": ["string"], "among": ["time_varying"]},
+    "$.pre_grades.*.interpolation": {"kinds": ["string"], "among": ["linear"]},
+    "$.pre_grades.*.units": {"kinds": ["string"], "among": ["source_seconds"]},
+    "$.pre_grades.*.max_chunk_s": {"kinds": ["number"], "least": 1.0, "most": 600.0},
+    "$.pre_grades.*.points": {"kinds": ["array"], "least_items": 1},
+    "$.pre_grades.*.points[*]": {"kinds": ["object"], "required": ["t", "curve"], "fields": ["t", "curve", "gamma", "sat"]},
+    "$.pre_grades.*.points[*].t": NUMBER,
+    "$.pre_grades.*.points[*].curve": NAME,
+    "$.pre_grades.*.points[*].gamma": NUMBER,
+    "$.pre_grades.*.points[*].sat": NUMBER,
+}
 
 
 def validate_registry(manifests: DataFrame, registry: DataFrame) -> DataFrame:
@@ -140,3 +195,52 @@ def structure_violations(documents: DataFrame, required: dict[str, str], known:
     declared = fine.select("doc_id", F.explode(F.array(*checks)).alias("c")).select("doc_id", "c.path", "c.rule").filter("rule is not null")
     unknown = fine.select("doc_id", F.explode(F.array_except(keys, F.array(*(F.lit(k) for k in known)))).alias("k")).select("doc_id", F.concat(F.lit("$."), "k").alias("path"), F.lit("unknown").alias("rule"))
     return broken.unionByName(declared).unionByName(unknown)
+
+
+def manifest_violations(documents: DataFrame, rules: dict[str, dict] = MANIFEST_RULES) -> DataFrame:
+    """doc_id, path, rule, field: places of JSON documents (doc_id, json) that break the rules, at any level.
+
+    A place breaks one rule at most, the first of: type, among, missing and unknown (field: the first such member), length, pattern, range, items. What
+    lies under it is not looked at, so only the outermost fault of a branch is told. A text that isn't JSON, null included, is 'not_json' at $.
+    The rules are a small table that each level of the documents is joined with; there are as many steps as the rules have levels.
+    """
+    ddl = "kinds array<string>, among array<string>, required array<string>, fields array<string>, closed boolean, least_length int, most_length int, pattern string, least double, most double, least_items int"
+    names = [c.split()[0] for c in ddl.split(", ")]
+    table = documents.sparkSession.createDataFrame([(at, *(r.get(n) for n in names)) for at, r in rules.items()], f"at string, {ddl}")
+    known = F.array(*(F.lit(at) for at in rules))
+    fault = "struct<rule: string, field: string>"
+    whole = F.to_json(F.try_parse_json("json"))
+    bad = F.when(whole.isNull(), F.struct(F.lit("not_json").alias("rule"), F.lit(None).cast("string").alias("field")))
+    rows = documents.select("doc_id", F.lit("$").alias("path"), F.lit("$").alias("at"), whole.alias("j"), bad.alias("fault"))
+    first = F.substring("j", 1, 1)
+    kind = F.when(first == "{", "object").when(first == "[", "array").when(first == '"', "string").when(first.isin("t", "f"), "boolean").when(first == "n", "null").otherwise("number")
+    value = F.try_variant_get(F.try_parse_json("j"), "$", "string")
+    number = value.try_cast("double")
+    lost, more = F.try_element_at(F.array_except("required", "keys"), F.lit(1)), F.try_element_at(F.array_except("keys", "fields"), F.lit(1))
+    is_text, is_number = F.col("kind") == "string", F.col("kind") == "number"
+    plain = F.when(is_number, F.regexp_replace(value, r"^(-?[0-9]+)\.0+$", "$1")).otherwise(value)
+    told = lambda name, field=None: F.struct(F.lit(name).alias("rule"), (F.lit(None).cast("string") if field is None else field).alias("field"))
+    broken = (
+        F.when(~F.array_contains("kinds", F.col("kind")), told("type"))
+        .when(~F.array_contains("among", plain), told("among"))
+        .when(lost.isNotNull(), told("missing", lost))
+        .when(F.col("closed") & more.isNotNull(), told("unknown", more))
+        .when(is_text & ((F.char_length(value) < F.col("least_length")) | (F.char_length(value) > F.col("most_length"))), told("length"))
+        .when(is_text & ~F.rlike(value, F.col("pattern")), told("pattern"))
+        .when(is_number & ((number < F.col("least")) | (number > F.col("most"))), told("range"))
+        .when(F.json_array_length("j") < F.col("least_items"), told("items"))
+    )
+    for _ in range(1 + max(at.count(".") + at.count("[") for at in rules)):
+        at = rows.join(F.broadcast(table), "at", "left").withColumns({"kind": kind, "keys": F.json_object_keys("j")})  # a row a rule
+        at = at.withColumn("fault", F.when(F.col("at").isNull() | F.col("fault").isNotNull(), F.col("fault")).otherwise(broken))
+
+        def under(x: Column) -> Column:
+            named = F.concat("at", F.lit("."), x["k"])
+            place = F.when(x["k"].isNull(), F.concat("at", F.lit("[*]"))).when(F.array_contains("fields", x["k"]), named).otherwise(F.concat("at", F.lit(".*")))
+            return F.struct(x["path"].alias("path"), place.alias("at"), x["j"].alias("j"), F.lit(None).cast(fault).alias("fault"))
+
+        inner = F.filter(F.transform(json_children(F.col("path"), F.col("j")), under), lambda x: F.array_contains(known, x["at"]))
+        none = F.lit(None).cast("string")
+        rest = F.when(F.col("fault").isNotNull(), F.array(F.struct("path", none.alias("at"), none.alias("j"), "fault"))).when(F.col("at").isNotNull(), inner)
+        rows = at.select("doc_id", F.explode(rest).alias("x")).select("doc_id", "x.*")
+    return rows.filter("fault is not null").select("doc_id", "path", "fault.rule", "fault.field")

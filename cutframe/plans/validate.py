@@ -148,3 +148,20 @@ def val01(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
     json = F.when(kind == "error", '{"job_id": "x"').when(kind == "click", F.concat(F.lit('{"job_id": "job_'), user, F.lit('", "fps": '), (F.col("event_id") % 60).cast("string"), F.lit("}"))).when(kind == "view", F.concat(F.lit('{"job_id": "JOB '), user, F.lit('", "fps": 25, "extra": 1}'))).otherwise('{"fps": 30}')
     return va.structure_violations(e.select(F.col("event_id").alias("doc_id"), json.alias("json")), {"job_id": r"^job_[0-9]+$", "fps": r"^(25|30|50)$"}, ("job_id", "fps"))
+
+
+@query("val01_manifest", "v_cuts", """, w AS (SELECT job_id, count(*) AS n FROM v_cuts GROUP BY 1)
+SELECT job_id AS doc_id, CASE job_id % 6 WHEN 0 THEN '$.manifest_version' WHEN 1 THEN '$.profiles' WHEN 2 THEN '$.sources.b_reel[1]' ELSE '$' END AS path, CASE job_id % 6 WHEN 0 THEN 'among' WHEN 1 THEN 'unknown' WHEN 2 THEN 'length' ELSE 'missing' END AS rule, CASE job_id % 6 WHEN 1 THEN 'lut' WHEN 3 THEN 'template' END AS field FROM w WHERE job_id % 6 < 4
+UNION ALL SELECT job_id, '$.timeline[' || pos || '].' || f.place, f.rule, NULL FROM (SELECT job_id, pos, unnest([CASE WHEN pos % 5 = 0 THEN {'place': 'angle', 'rule': 'among'} END, CASE WHEN pos > 999 THEN {'place': 'id', 'rule': 'pattern'} END, CASE WHEN pos % 7 = 3 THEN {'place': 'source_in', 'rule': 'range'} END]) AS f FROM v_cuts WHERE job_id % 6 <> 3) WHERE f IS NOT NULL""")
+def val01b(spark: SparkSession, sf: str) -> DataFrame:
+    """One manifest a job, faults by its number and its cuts' places."""
+    angle = F.when(F.col("pos") % 5 == 0, "C").otherwise(F.col("angle"))
+    begin = F.when(F.col("pos") % 7 == 3, -1.0).otherwise(F.col("source_in"))
+    cut = F.struct(F.col("pos"), F.col("cut_id").alias("id"), angle.alias("angle"), begin.alias("source_in"), "source_out", "confidence")
+    jobs = v.v_cuts(spark, sf).groupBy("job_id").agg(F.array_sort(F.collect_list(cut)).alias("cuts"))
+    k = F.col("job_id") % 6
+    timeline = F.transform("cuts", lambda c: c.dropFields("pos"))
+    reels = F.struct(F.lit("a.mov").alias("a_reel"), F.array(F.lit("b.mov"), F.when(k == 2, "").otherwise("c.mov")).alias("b_reel"))
+    profiles = F.struct(*(F.lit(f"{n}_v1").alias(n) for n in ("grade", "crop", "graphics", "audio")), F.when(k == 1, "x").alias("lut"))
+    whole = F.struct(F.when(k == 0, 2).otherwise(1).alias("manifest_version"), F.concat(F.lit("job_"), F.col("job_id").cast("string")).alias("job_id"), F.when(k != 3, "t_v1").alias("template"), reels.alias("sources"), timeline.alias("timeline"), profiles.alias("profiles"))
+    return va.manifest_violations(jobs.select(F.col("job_id").alias("doc_id"), F.to_json(whole).alias("json")))

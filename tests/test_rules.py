@@ -117,3 +117,29 @@ def test_gain_fit_against_a_loop(spark):
         frame([(*k, x) for k, x in target.items()], "window_id int, ch int, target double"),
     )
     assert {(r.window_id, r.ch): r.gain for r in got.collect()} == pytest.approx(want, rel=1e-6)
+
+
+def test_manifest_places(spark):
+    cut = {"id": "cut_001", "angle": "A", "source_in": 0, "source_out": 5.5}
+    good = {"manifest_version": 1, "job_id": "mix_1", "template": "t", "sources": {"a_reel": "a.mov"}, "timeline": [cut], "profiles": dict.fromkeys(["grade", "crop", "graphics", "audio"], "p")}
+    points = {"mode": "time_varying", "points": [{"t": 1, "curve": "c", "note": 1}], "own": {"x": 1}}
+    cases = [
+        (good, []),
+        (good | {"pre_grades": {"a.mov": "curves", "b.mov": points}, "postflight": {"status": "passed", "pre_grades_applied": {"a": {"x": True}}}}, []),
+        (good | {"manifest_version": 1.0}, []),
+        (good | {"manifest_version": True, "job_id": "-x"}, [("$.job_id", "pattern", None), ("$.manifest_version", "type", None)]),
+        (good | {"job_id": "j" * 65, "template": ""}, [("$.job_id", "length", None), ("$.template", "length", None)]),
+        (good | {"sources.a_reel": 1, "template": ""}, [("$", "unknown", "sources.a_reel")]),
+        (good | {"sources": {"b_reel": ["", 1]}}, [("$.sources", "missing", "a_reel")]),
+        (good | {"sources": {"a_reel": "a", "b_reel": ["", 1]}}, [("$.sources.b_reel[0]", "length", None), ("$.sources.b_reel[1]", "type", None)]),
+        (good | {"timeline": []}, [("$.timeline", "items", None)]),
+        (good | {"timeline": [cut, cut | {"id": "cut_1", "angle": "C", "source_in": -1, "confidence": "mid"}, cut | {"x": 1}, "y"]}, [("$.timeline[1].angle", "among", None), ("$.timeline[1].confidence", "among", None), ("$.timeline[1].id", "pattern", None), ("$.timeline[1].source_in", "range", None), ("$.timeline[2]", "unknown", "x"), ("$.timeline[3]", "type", None)]),
+        (good | {"pre_grades": {"a": "", "b": 1, "c": {"mode": "x"}, "d": points | {"max_chunk_s": 601, "points": [{"t": "1", "curve": ""}]}}}, [("$.pre_grades.a", "length", None), ("$.pre_grades.b", "type", None), ("$.pre_grades.c", "missing", "points"), ("$.pre_grades.d.max_chunk_s", "range", None), ("$.pre_grades.d.points[0].curve", "length", None), ("$.pre_grades.d.points[0].t", "type", None)]),
+        (good | {"postflight": {"status": "done", "bt709": {"primaries": 1}}}, [("$.postflight.bt709.primaries", "type", None), ("$.postflight.status", "among", None)]),
+        ([good], [("$", "type", None)]),
+    ]
+    docs = [(i, json.dumps(c)) for i, (c, _) in enumerate(cases)] + [(100, "{"), (101, None), (102, "")]
+    got = {i: [] for i, _ in docs}
+    for r in validate.manifest_violations(spark.createDataFrame(docs, "doc_id long, json string")).collect():
+        got[r.doc_id].append((r.path, r.rule, r.field))
+    assert {i: sorted(x) for i, x in got.items()} == {i: w for i, (_, w) in enumerate(cases)} | {i: [("$", "not_json", None)] for i in (100, 101, 102)}
