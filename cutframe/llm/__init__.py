@@ -1,4 +1,4 @@
-"""Training-data operators: ten distributed jobs over corpora, vectors, pages and conversations.
+"""Training-data operators: distributed jobs over corpora, vectors, pages and conversations.
 
 Nothing outside this folder imports it; `queries.py` holds the registered queries.
 """
