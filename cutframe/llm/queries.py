@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, collocations, decontaminate, langid, neardup, packing, secrets, substrings, tokenfiles, toolcalls, warc, whitening
+from . import ann, collocations, decontaminate, langid, licenses, neardup, packing, secrets, substrings, tokenfiles, toolcalls, warc, whitening
 from .common import ship_package
 
 
@@ -73,6 +73,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_read(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_read(spark, sf_dir, "embeddings"), components=16, scale=64)
 
@@ -82,7 +86,7 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_nearest_neighbours, op2_token_counts, op3_language_id, op4_substring_dedup, op5_minhash_neardup, op6_tool_calls, op7_warc, op8_packing, op9_secret_scan, op10_decontamination, op12_embedding_whitening, op13_collocations)}
+    return {f.__name__: f for f in (op1_nearest_neighbours, op2_token_counts, op3_language_id, op4_substring_dedup, op5_minhash_neardup, op6_tool_calls, op7_warc, op8_packing, op9_secret_scan, op10_decontamination, op11_license_scan, op12_embedding_whitening, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
