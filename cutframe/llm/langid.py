@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX, attach, binary_column, discard, mixed, written
+from .common import attach, binary_column, discard, written
 
 DIMENSIONS = 1 << 14
 STRANGE = 2.25
@@ -50,18 +50,32 @@ def ngram_counts(text: bytes, dimensions: int = DIMENSIONS) -> np.ndarray:
     return total
 
 
-def codewords(languages: int, bits: int = 15) -> np.ndarray:
-    """A +-1 codeword for each language: far apart rows, no constant and no repeated column."""
+def codewords(languages: int, bits: int = 15, apart: int = 3, candidates: int = 512) -> np.ndarray:
+    """A +-1 codeword for each language, no two equal, and from five languages on at least `apart` bits between any two.
+
+    Up to 10 languages a bit may be any way to part them, beyond that one of `candidates` random even partings. Bits are added one by one, each time the one that parts
+    the pairs that are nearest so far, until there are `bits` (more for many languages) and the distance is reached.
+    """
     if languages < 2:
         return np.ones((languages, 1))
-    columns = [i for i in range(1, 2 ** (languages - 1))] if languages <= 10 else mixed(np.arange(1, 64 * bits, dtype=np.uint64) * MIX).tolist()
-    if languages <= 10:
-        rows = np.array([[1 if (languages - 1 == j) else (1 if i >> j & 1 == 0 else -1) for i in columns] for j in range(languages)])
+    if languages <= 10:  # the last language's bit is 1, else a column would come back with its signs changed
+        pool = np.array([[-1 if i >> j & 1 else 1 for j in range(languages)] for i in range(1, 2 ** (languages - 1))]).T
     else:
-        rows = np.array([[1 if mixed(np.array([i ^ (j * int(MIX)) & 2**64 - 1], np.uint64))[0] & np.uint64(1) else -1 for i in columns] for j in range(languages)])
-    distinct = [k for k in np.unique(rows * rows[0], axis=1, return_index=True)[1] if abs(rows[:, k].sum()) < languages]
-    balance = sorted(distinct, key=lambda k: (abs(rows[:, k].sum()), k))
-    return rows[:, balance[: max(bits, 2 * int(np.ceil(np.log2(languages))))]]
+        rng = np.random.default_rng(languages)
+        pool = np.array([rng.permutation(np.where(np.arange(languages) % 2, 1, -1)) for _ in range(candidates)]).T
+    pool = pool[:, np.argsort(np.abs(pool.sum(axis=0)), kind="stable")]
+    wanted, apart = max(bits, 2 * (languages - 1).bit_length()), apart if languages > 4 else 1
+    distance, chosen = np.zeros((languages, languages)), []
+    np.fill_diagonal(distance, np.inf)
+    while len(chosen) < pool.shape[1] and (len(chosen) < wanted or distance.min() < apart):
+        near = 0.25 ** (distance - distance.min())
+        parts = -np.einsum("ik,ij,jk->k", pool, near, pool, optimize=True)
+        parts[chosen] = -np.inf
+        chosen.append(int(np.argmax(np.round(parts, 9))))
+        distance += pool[:, chosen[-1], None] != pool[None, :, chosen[-1]]
+    if distance.min() < apart:
+        raise ValueError(f"{languages} languages can't be told apart by {pool.shape[1]} bits")
+    return pool[:, chosen]
 
 
 @dataclass
