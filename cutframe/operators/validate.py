@@ -23,7 +23,7 @@ MANIFEST_RULES: dict[str, dict] = {
     "$.sources.b_reel[*]": NAME,
     "$.timeline": {"kinds": ["array"], "least_items": 1},
     "$.timeline[*]": {"kinds": ["object"], "required": ["id", "angle", "source_in", "source_out"], "fields": ["id", "angle", "source_in", "source_out", "confidence"], "closed": True},
-    "$.timeline[*].id": {"kinds": ["string"], "pattern": "^cut_[0-9]{3}$"},
+    "$.timeline[*].id": {"kinds": ["string"], "pattern": r"^cut_\d{3}$"},
     "$.timeline[*].angle": {"kinds": ["string"], "among": ["A", "B"]},
     "$.timeline[*].source_in": {"kinds": ["number"], "least": 0.0},
     "$.timeline[*].source_out": {"kinds": ["number"], "least": 0.0},
