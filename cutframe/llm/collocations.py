@@ -3,8 +3,8 @@
 Texts have A-Z lower-cased, are split into pieces at `[.,;:!?\\x0A-\\x0D]` and pieces into words `[^\\x20\\x09]+`; a phrase lies within a
 piece. Everything is counted per group (a language; null: `und`).
 
-1. A task numbers its words as it meets them and packs the numbers of two or three words into one integer. At a bounded
-   number of words it closes a shard: its words with their counts, and a counting quotient filter of its bigrams and
+1. A task numbers a group's words as it meets them and packs the numbers of two or three words into one integer. When it holds a bounded
+   number of words it closes its largest shard: the words with their counts, and a counting quotient filter of its bigrams and
    one of its trigrams.
 2. The shards' words are summed up. Words of `least` occurrences or more get a number for the whole corpus; a phrase with a rarer
    word can't be a candidate.
@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 
 from .common import binary_column, discard, mixed, written
 
-#: Words after which a task closes a shard, and bytes of text handled at once.
-SHARD_WORDS, BLOCK_BYTES = 1 << 19, 1 << 20
+#: Words that a task holds at most before it closes its largest shard, and bytes of text handled at once.
+HELD_WORDS, BLOCK_BYTES = 1 << 21, 1 << 20
 #: Entries that a task gathers before it hands over filters, and those meant for one range of quotients, from and to.
-HELD_ENTRIES, RANGE_ENTRIES, MOST_RANGE_ENTRIES = 1 << 20, 1 << 18, 1 << 22
+HELD_ENTRIES, RANGE_ENTRIES, MOST_RANGE_ENTRIES = 1 << 19, 1 << 18, 1 << 22
 ROUNDS = 4
 END = b"\n"
 ONE_END = bytes.maketrans(b".,;:!?\x0b\x0c\r", END * 9)
@@ -174,12 +174,14 @@ class _Shard:
     def __init__(self):
         self.number: dict[bytes, int] = {END: 0}
         self.held: list[np.ndarray] = []
+        self.size = 0
 
     def add(self, words: list[bytes]) -> None:
         number = self.number
         for w in set(words).difference(number):
             number[w] = len(number)
         self.held.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
+        self.size += len(words)
 
     def closed(self) -> tuple[int, list[bytes], np.ndarray, bytes, bytes]:
         """Occurrences, words, their counts, and the filters of two and three words."""
@@ -204,30 +206,27 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, closed, held = TaskContext.get().partitionId(), 0, 0
     shards: dict[str, _Shard] = {}
 
-    def close() -> Iterator[pa.RecordBatch]:
+    def close(group: str) -> Iterator[pa.RecordBatch]:
         nonlocal closed, held
-        held = 0
-        for group, shard in shards.items():
-            n, words, counts, two, three = shard.closed()
-            if n:
-                closed += 1
-                entries = int(np.frombuffer(two, "<u8", 1)[0] + np.frombuffer(three, "<u8", 1)[0])
-                row = [f"{part}-{closed}", group, n, entries, b" ".join(words), counts.astype("<i8").tobytes(), two, three]
-                kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=[c.split()[0] for c in SHARD.split(", ")])
-        shards.clear()
+        shard = shards.pop(group)
+        held -= shard.size
+        n, words, counts, two, three = shard.closed()
+        if n:
+            closed += 1
+            entries = int(np.frombuffer(two, "<u8", 1)[0] + np.frombuffer(three, "<u8", 1)[0])
+            row = [f"{part}-{closed}", group, n, entries, b" ".join(words), counts.astype("<i8").tobytes(), two, three]
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=[c.split()[0] for c in SHARD.split(", ")])
 
     for batch in batches:
         for group, text in zip(batch.column("grp").to_pylist(), binary_column(batch, "text"), strict=True):
-            shard = shards.setdefault(group, _Shard())
             for words in word_blocks(text):
-                if words:
-                    shard.add(words)
-                    held += len(words)
-                if words[-1:] == [END] and held >= SHARD_WORDS:
-                    yield from close()
-                    shard = shards.setdefault(group, _Shard())
-    yield from close()
+                shards.setdefault(group, _Shard()).add(words)
+                held += len(words)
+                while words[-1:] == [END] and held >= HELD_WORDS:
+                    yield from close(max(shards, key=lambda g: shards[g].size))
+    for group in list(shards):
+        yield from close(group)
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

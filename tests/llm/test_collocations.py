@@ -57,6 +57,8 @@ def test_query(spark, sf_dir):
 
 def test_many_small_shards_and_ranges(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(c, "SALTS", (3, 1))
+    monkeypatch.setattr(c, "HELD_WORDS", 3000)
+    monkeypatch.setattr(c, "RANGE_ENTRIES", 5000)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(7)
     rows = [(r.lang, r.text) for r in docs.collect()]
     assert told(c.collocations(docs, least=4, absorb=80, top=50)) == plain(rows, 4, 80, 50)
