@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,20 +47,59 @@ def like_search(docs: DataFrame, text: str, k: int) -> DataFrame:
     return docs.filter(F.lower("text").contains(text.lower())).select("doc_id").orderBy("doc_id").limit(k)
 
 
-def dot(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+#: Bytes of queries that are sent to every task at a time; more go in several passes over the vectors.
+QUERY_BYTES = 32 << 20
+
+
+def _query_blocks(queries: DataFrame) -> Iterator[tuple[list, np.ndarray]]:
+    """Ids and vectors of the queries, at most QUERY_BYTES at a time. Queries without a vector have no answer."""
+    rows = queries.select("query_id", F.col("qv").cast("array<double>").alias("qv")).filter("qv is not null and size(qv) > 0 and not exists(qv, x -> x is null)")
+    told = rows.agg(F.sum(F.size("qv") * 8 + 64).alias("bytes")).first()
+    passes = -(-(told.bytes or 0) // QUERY_BYTES)
+    for p in range(passes):
+        some = (rows if passes == 1 else rows.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == p)).collect()
+        for width in sorted({len(r.qv) for r in some}):
+            own = [r for r in some if len(r.qv) == width]
+            yield [r.query_id for r in own], np.array([r.qv for r in own], dtype=np.float64)
+
+
+def _nearest(ids: list, vectors: np.ndarray, k: int):
+    """Each task's k best vectors of every query: blocks of vectors against the block of queries, with the best so far kept."""
+    width = vectors.shape[1]
+    unit = vectors / (np.sqrt((vectors * vectors).sum(axis=1)) + 1e-9)[:, None]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best_id, best = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0))
+        for batch in batches:
+            x = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            own = batch.column("vec_id").to_numpy()
+            score = np.round((unit @ x.T) / (np.sqrt((x * x).sum(axis=1)) + 1e-9), 6)
+            score, every = np.concatenate([best, score], axis=1), np.concatenate([best_id, np.broadcast_to(own, score.shape)], axis=1)
+            top = np.lexsort((every, -score), axis=1)[:, :k]
+            best, best_id = np.take_along_axis(score, top, axis=1), np.take_along_axis(every, top, axis=1)
+        if best.size:
+            n = best.shape[1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(ids)), n)), pa.array(best_id.ravel()), pa.array(best.ravel())], names=["place", "vec_id", "score"])
+
+    return work
 
 
 def semantic_search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score: the k greatest normalised dot products; vectors of another length are skipped.
+    """query_id, rank, vec_id, score: the k greatest normalised dot products, ties by vec_id; vectors of another length, or with nulls in them, are skipped.
 
-    queries(query_id, qv) is a stated, small set and is sent to every task; each task keeps its best k before the shuffle's window.
+    Queries (query_id, qv) go to the tasks in blocks of a checked size, one pass over the vectors for each; a task gives k rows a query at most.
     """
-    norm = lambda v: F.sqrt(dot(v, v)) + 1e-9
-    rows = vectors.crossJoin(F.broadcast(queries)).filter(F.size("embedding") == F.size("qv"))
-    scored = rows.select("query_id", "vec_id", F.round(dot("embedding", "qv") / (norm("embedding") * norm("qv")), 6).alias("score"))
+    spark = vectors.sparkSession
+    kind = queries.schema["query_id"].dataType.simpleString()
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).filter("vec_id is not null and embedding is not null and not exists(embedding, x -> x is null)")
+    found = spark.createDataFrame([], f"query_id {kind}, vec_id bigint, score double")
+    for ids, block in _query_blocks(queries):
+        names = spark.createDataFrame(list(enumerate(ids)), f"place bigint, query_id {kind}")
+        best = rows.filter(F.size("embedding") == block.shape[1]).mapInArrow(_nearest(ids, block, k), "place bigint, vec_id bigint, score double")
+        rank = F.row_number().over(Window.partitionBy("place").orderBy(F.desc("score"), "vec_id"))
+        found = found.unionAll(best.withColumn("rank", rank).filter(F.col("rank") <= k).join(names, "place").select("query_id", "vec_id", "score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def transcript_search(segments: DataFrame, clips: DataFrame, queries: DataFrame, k: int, source: str | None = None) -> DataFrame:
