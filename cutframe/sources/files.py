@@ -45,6 +45,14 @@ def move(spark: SparkSession, path: str, to: str) -> bool:
     return not fs.exists(target) and fs.rename(at, target)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream of its files, be it a folder or one file."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    fs, at = _fs(spark, path)
+    return reader.parquet(path) if fs.getFileStatus(at).isDirectory() else reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def fingerprint(spark: SparkSession, path: str) -> str:
     """Changes when a file under path comes, goes, or gets another size or time; contents aren't read."""
     files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")

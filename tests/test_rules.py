@@ -73,10 +73,24 @@ def test_events_inside_a_span(spark):
     assert sorted((r.clip_id, round(r.t, 6), r.kind) for r in got) == [(1, 0.0, "downbeat"), (1, 4.0, "downbeat"), (1, 8.0, "downbeat"), (2, 4.0, "beat"), (2, 4.3, "beat"), (2, 4.6, "beat")]
 
 
-def test_blocked_jobs(spark):
-    log = spark.createDataFrame([(1, 1, "proposed"), (2, 1, "approved"), (3, 1, "approved"), (3, 2, "executing"), (4, 1, "approved")], "job_id int, at int, status string")
-    got = {r.job_id: r.status for r in jobs.job_state(log, spark.createDataFrame([(4,)], "job_id int")).collect()}
-    assert got == {1: "BLOCKED", 2: "BLOCKED", 3: "executing", 4: "approved"}
+def test_job_states(spark):
+    log = [(1, 1, "proposed", None), (2, 1, "approved", None), (3, 1, "approved", None), (3, 2, "executing", None), (4, 1, "approved", None), (4, 9, "approved", None), (5, 5, "approved", None), (5, 6, "executing", None), (5, 7, "failed", "no space"), (6, 1, "done", None)]
+    log += [(7, 1, "approved", None), (7, 2, "executing", None), (7, 3, "failed", "a"), (7, 4, "approved", None), (8, 1, "approved", None), (8, 2, "executing", None), (8, 3, "failed", "a"), (8, 4, "approved", None), (8, 5, "executing", None), (8, 6, "done", None)]
+    own = spark.createDataFrame([(1, None), (2, "p2"), (4, "p4"), (5, "p5"), (6, "p6"), (7, None)], "job_id int, project string")
+    flags = spark.createDataFrame([("p4", 5), ("p5", 5), ("p5", 8), (None, 1)], "project string, at int")
+    got = {r[0]: tuple(r)[1:] for r in jobs.job_state(spark.createDataFrame(log, "job_id int, at int, status string, error string"), own, flags).collect()}
+    assert got == {
+        1: ("proposed", False, None, 1, 0),  # no project: never blocked
+        2: ("proposed", True, None, 0, 1),
+        3: ("executing", False, None, 0, 0),
+        4: ("approved", False, None, 0, 1),  # refused before the flag, taken after it
+        5: ("failed", False, "no space", 0, 0),
+        6: ("proposed", True, None, 1, 0),
+        7: ("approved", False, "a", 0, 0),  # a failure's text stays until the job is done
+        8: ("done", False, None, 0, 0),
+    }
+    state = spark.createDataFrame([(i, *x[:2]) for i, x in got.items()], "job_id int, status string, blocked boolean")
+    assert [r.job_id for r in jobs.job_listing(state, "proposed").collect()] == [6, 2, 1] and jobs.job_listing(state).count() == 8
 
 
 def test_best_windows_order_then_freedom_then_reuse(spark):

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from cutframe.plans.jobs import stream_rows
 from cutframe.sources import catalog
+from cutframe.sources import store as store_module
 from cutframe.sources import views as v
+from cutframe.sources.store import Catalogue
 from cutframe.streaming import jobs
 
 
@@ -44,14 +48,103 @@ def test_sessions_stream_equals_islands(spark, parts):
     assert collected(spark, stream.select(*exact), "sessions") == batch
 
 
-def test_ingest_once_per_hash(spark, tmp_path):
-    rows = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "x")], "path string, content string")
-    rows.write.parquet(str(tmp_path / "in"))
-    seen = []
-    for _ in range(2):
-        files = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-        jobs.ingest_stream(files, lambda b: seen.extend(r.content for r in b.collect()), str(tmp_path / "ck")).awaitTermination(120)
-    assert sorted(seen) == ["x", "y"]
+def test_ingest_once(spark, tmp_path):
+    """Each content once, over batches, runs and replays; tags stay; a path's new content frees its old hash."""
+    store = Catalogue(spark, str(tmp_path / "store"), slots=4).create()
+
+    def run(rows, name):
+        spark.createDataFrame(rows, "path string, content string, size long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        files = spark.readStream.schema("path string, content string, size long").parquet(str(tmp_path / "in"))
+        jobs.ingest_stream(files, store, str(tmp_path / name)).awaitTermination(120)
+        return sorted((r.path, r.size, r.tags) for r in store.files().collect())
+
+    first = [("a", 1, None), ("b", 2, None)]
+    assert run([("a", "x", 1), ("b", "y", 2), ("c", "x", 3), (None, "z", 4), ("d", None, 5)], "ck") == first
+    assert run([("e", "y", 6)], "ck") == first and store.ledger().count() == 2
+    files = spark.createDataFrame([("a", "sx", 1)], "path string, sha string, size long")
+    assert store.ingest(files, 7) and not store.ingest(files, 7)  # new content at an old path
+    assert store.ingest(spark.createDataFrame([("c", jobs_sha("x"), 3)], "path string, sha string, size long"), 8)  # its old hash is free again
+    assert sorted((r.path, r.sha) for r in store.files().collect()) == [("a", "sx"), ("b", jobs_sha("y")), ("c", jobs_sha("x"))]
+    store.ingest(spark.createDataFrame([("b", "new", 9, "t", "n")], "path string, sha string, size long, tags string, notes string"), 9)
+    assert [(r.size, r.tags) for r in store.files().filter("path = 'b'").collect()] == [(9, None)]
+    assert store.ingest(files.filter("false"), 10) and store.files().count() == 3
+
+
+def jobs_sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_batch_that_broke_off(spark, tmp_path, monkeypatch):
+    """A batch whose hashes or ledger entry were never written is given again, and ends in the same state."""
+    rows = spark.createDataFrame([(f"p{i}", f"h{i % 5}", i) for i in range(12)], "path string, sha string, size long")
+    want = None
+    for stop in (None, "hashes", "ledger"):
+        store = Catalogue(spark, str(tmp_path / f"store-{stop}"), slots=3).create()
+        if stop:
+            real = store_module.overwrite_partitions
+
+            def broken(df, path, *by, real=real, stop=stop):
+                if path.endswith(stop):
+                    raise OSError("lost")
+                real(df, path, *by)
+
+            with monkeypatch.context() as m:
+                m.setattr(store_module, "overwrite_partitions", broken)
+                with pytest.raises(OSError):
+                    store.ingest(rows, 0)
+        assert store.ingest(rows, 0)
+        got = sorted(map(tuple, store.files().collect()))
+        want = want or got
+        assert got == want and len(got) == 5
+
+
+def log_files(spark, sf_dir, at, parts):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_type in ('error', 'purchase')")
+    log = events.select(F.col("user_id").alias("sha"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at"), F.when(F.col("event_type") == "error", "failure").otherwise("success").alias("outcome"))
+    for lo in parts:
+        log.filter(F.pmod(F.xxhash64("sha", "at"), F.lit(4)) == lo).coalesce(1).write.mode("append").parquet(at)
+    return log
+
+
+def test_stage_state_stream_over_a_restart(spark, sf_dir, tmp_path):
+    """Rows in no order, in two runs from one checkpoint: the last states are the batch's."""
+    at, told = str(tmp_path / "in"), {}
+
+    def keep(rows, number):
+        told.update({r.sha: (r.state, r.retries) for r in rows.collect()})
+
+    for parts in ((2, 0), (3, 1)):
+        log = log_files(spark, sf_dir, at, parts)
+        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(at)
+        query = jobs.stage_state_stream(stream).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", str(tmp_path / "ck"))
+        query.trigger(availableNow=True).start().awaitTermination(300)
+    assert told == {r.sha: (r.state, r.retries) for r in jobs.stage_state(log).collect()}
+    assert {state for state, _ in told.values()} >= {"indexed", "failed"}
+
+
+def test_a_silent_job_turns_quiet_then_hung(spark, tmp_path):
+    at, told = str(tmp_path / "in"), []
+    schema = "job_id string, t double, ended boolean"
+
+    def more(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(at)
+
+    more(("silent", 1.0, False), ("done", 1.0, False), ("done", 2.0, True), (None, 1.0, False))
+    stream = spark.readStream.schema(schema).parquet(at)
+    query = jobs.liveness_stream(stream, 1500, 6000).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "ck"))
+    query = query.foreachBatch(lambda rows, number: told.extend((r.job_id, r.state) for r in rows.collect())).start()
+    try:
+        end = time.time() + 150
+        while ("silent", "hung") not in told and time.time() < end:
+            time.sleep(0.5)
+        more(("silent", 3.0, False))
+        while told.count(("silent", "alive")) < 2 and time.time() < end:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    silent = [state for job, state in told if job == "silent"]
+    assert silent[:4] == ["alive", "quiet", "hung", "alive"]
+    assert [state for job, state in told if job == "done"] == ["ended"]
 
 
 def test_inventory_skips_hidden_and_other_files(spark, tmp_path):
