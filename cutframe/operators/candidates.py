@@ -23,7 +23,7 @@ def window_visual(windows: DataFrame, samples: DataFrame, keys: list[str]) -> Da
     s = samples.withColumn("t2", F.col("t"))
     met = overlap(windows, s, "job_id", ("w0", "w1"), ("t", "t2"), 16.0, closed=True, slack=1e-6)
     bad = F.col("flagged") | F.col("frozen")
-    g = met.groupBy("job_id", *keys).agg(F.count("*").alias("n"), (F.count_if(~bad) / F.count("*")).alias("clean"), F.bool_or("flagged").alias("any_flagged"), F.avg("sharpness").alias("sharpness"), F.avg("brightness").alias("brightness"))
+    g = met.groupBy("job_id", *keys).agg(F.count("*").alias("n"), (F.count_if(~bad) / F.count("*")).alias("clean"), F.bool_or(bad).alias("any_flagged"), F.avg("sharpness").alias("sharpness"), F.avg("brightness").alias("brightness"))
     return windows.select("job_id", *keys).join(g, ["job_id", *keys], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
@@ -44,7 +44,7 @@ def quality_score(windows: DataFrame, keyframes: DataFrame, samples: DataFrame)
 
     def score(sharp: str, bright: str, p90: str):
         sharpness = F.coalesce(F.least(F.lit(1.0), F.try_divide(F.col(sharp), F.col(p90))), F.lit(0.0))
-        return 0.5 * sharpness + 0.5 * (1 - F.least(F.lit(1.0), F.abs(F.col(bright) - 118) / 118))
+        return 0.5 * sharpness + 0.5 * (1 - F.least(F.lit(1.0), F.abs(F.col(bright) - 128) / 128))
 
     source = F.when(F.col("ks").isNotNull(), "keyframes").when(F.col("ss").isNotNull(), "samples").otherwise("none")
     value = F.when(F.col("ks").isNotNull(), score("ks", "kb", "kp")).when(F.col("ss").isNotNull(), score("ss", "sb", "sp")).otherwise(F.lit(0.0))

@@ -80,14 +80,6 @@ def path_scores(path: DataFrame, *, recovery: float, novelty_cap: float) -> Data
     return rows.select("job_id", "event", F.round(continuity, 6).alias("continuity"), F.round(clamp01(F.coalesce("gap", "t0") / novelty_cap), 6).alias("novelty"))
 
 
-def score_candidates(cands: DataFrame, evidence: dict[str, DataFrame], defaults: dict[str, float]) -> DataFrame:
-    """The named scores of each candidate (job_id, event, candidate_id), each from its own table (job_id, candidate_id, name), rounded to 3 places; the declared default where there is no evidence."""
-    out = cands.select("job_id", "event", "candidate_id")
-    for name, rows in evidence.items():
-        out = out.join(rows.select("job_id", "candidate_id", F.col(name).alias(name)), ["job_id", "candidate_id"], "left")
-    return out.select("job_id", "event", "candidate_id", *(F.bround(F.coalesce(F.col(n), F.lit(defaults[n])), 3).alias(n) for n in evidence))
-
-
 def propose_onsets(runs: DataFrame, beats: DataFrame, taken: DataFrame, reels: DataFrame, *, min_len: float, snap: float, gap: float, darkest: float, frozen: float) -> DataFrame:
     """One decision and reason per run (job_id, run_id, onset, end, strength, luma_min, frozen_frac), strongest first.
 

@@ -27,7 +27,7 @@ def cnd01(spark: SparkSession, sf: str) -> DataFrame:
     return r(ca.overlap_mean(_windows(spark, sf), segs, ["candidate_id"]), "score", digits=9)
 
 
-@query("cnd04_window_visual", "v_cand v_samples", """, g AS (SELECT c.job_id, candidate_id, count(*) AS n, count(*) FILTER (WHERE NOT (s.k % 7 = 0 OR s.k % 5 = 0)) / count(*) AS clean, bool_or(s.k % 7 = 0) AS any_flagged, avg(s.sig) AS sharpness, avg(s.k) AS brightness FROM v_cand c JOIN v_samples s ON s.clip_id = c.job_id AND s.t BETWEEN c.start - 1e-6 AND c."end" + 1e-6 GROUP BY 1, 2)
+@query("cnd04_window_visual", "v_cand v_samples", """, g AS (SELECT c.job_id, candidate_id, count(*) AS n, count(*) FILTER (WHERE NOT (s.k % 7 = 0 OR s.k % 5 = 0)) / count(*) AS clean, bool_or(s.k % 7 = 0 OR s.k % 5 = 0) AS any_flagged, avg(s.sig) AS sharpness, avg(s.k) AS brightness FROM v_cand c JOIN v_samples s ON s.clip_id = c.job_id AND s.t BETWEEN c.start - 1e-6 AND c."end" + 1e-6 GROUP BY 1, 2)
 SELECT c.job_id, c.candidate_id, coalesce(n, 0) AS n, round(clean, 9) AS clean, any_flagged, round(sharpness, 9) AS sharpness, round(brightness, 9) AS brightness FROM v_cand c LEFT JOIN g USING (job_id, candidate_id)""")
 def cnd04(spark: SparkSession, sf: str) -> DataFrame:
     s = v.v_samples(spark, sf).select(F.col("clip_id").alias("job_id"), "t", (F.col("k") % 7 == 0).alias("flagged"), (F.col("k") % 5 == 0).alias("frozen"), F.col("sig").alias("sharpness"), F.col("k").alias("brightness"))
@@ -49,7 +49,7 @@ def cnd05(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("cnd06_quality_score", "v_samples v_cand", f""", {KF}, k2 AS (SELECT * FROM kq WHERE usable AND clip_id % 3 <> 0), s2 AS (SELECT clip_id, avg(sig) AS sharpness, avg(k) AS brightness, quantile_cont(sig, 0.9) AS p90 FROM v_samples WHERE clip_id % 5 <> 0 GROUP BY 1)
 SELECT c.job_id AS clip_id, c.candidate_id, CASE WHEN k2.sharpness IS NOT NULL THEN 'keyframes' WHEN s2.sharpness IS NOT NULL THEN 'samples' ELSE 'none' END AS source,
-round(CASE WHEN k2.sharpness IS NOT NULL THEN 0.5::DOUBLE * least(1, k2.sharpness / k2.p90) + 0.5::DOUBLE * (1 - least(1, abs(k2.brightness - 118) / 118)) WHEN s2.sharpness IS NOT NULL THEN 0.5::DOUBLE * least(1, s2.sharpness / s2.p90) + 0.5::DOUBLE * (1 - least(1, abs(s2.brightness - 118) / 118)) ELSE 0 END, 8) AS quality
+round(CASE WHEN k2.sharpness IS NOT NULL THEN 0.5::DOUBLE * least(1, k2.sharpness / k2.p90) + 0.5::DOUBLE * (1 - least(1, abs(k2.brightness - 128) / 128)) WHEN s2.sharpness IS NOT NULL THEN 0.5::DOUBLE * least(1, s2.sharpness / s2.p90) + 0.5::DOUBLE * (1 - least(1, abs(s2.brightness - 128) / 128)) ELSE 0 END, 8) AS quality
 FROM v_cand c LEFT JOIN k2 ON k2.clip_id = c.job_id LEFT JOIN s2 ON s2.clip_id = c.job_id""")
 def cnd06(spark: SparkSession, sf: str) -> DataFrame:
     w = v.v_cand(spark, sf).select(F.col("job_id").alias("clip_id"), "candidate_id")

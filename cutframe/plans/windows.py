@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.blocks import overlap
 from ..operators import windows as wi
+from ..operators.scores import score_candidates
 from ..sources import views as v
 from . import query
 
@@ -71,12 +72,52 @@ def cnd10a(spark: SparkSession, sf: str) -> DataFrame:
     return _path(spark, sf)
 
 
-@query("cnd10_score_candidates", "v_cand", f", {PATH} SELECT c.job_id, c.event, c.candidate_id, round_even(coalesce(CASE WHEN c.score > 0.05 THEN c.score END, 0), 3) AS action_score, round_even(coalesce(px.continuity, 1), 3) AS continuity, round_even(coalesce(CASE WHEN c.job_id % 4 <> 0 THEN px.novelty END, 0), 3) AS novelty, 0.5::DOUBLE AS coverage FROM v_cand c LEFT JOIN px USING (job_id, event)")
+def _looks(spark: SparkSession, sf: str, rest: int) -> DataFrame:
+    """The events of one parity as visual samples of an angle."""
+    s, k = v.v_samples(spark, sf).filter(F.col("event_id") % 2 == rest), F.col("k")
+    return s.select(
+        F.col("clip_id").alias("job_id"),
+        "t",
+        F.when(k % 13 != 0, k % 7 == 0).alias("flagged"),
+        (k % 31 == 0).alias("frozen"),
+        F.when(k % 11 != 0, F.col("sig")).alias("sharpness"),
+        F.when(k % 10 != 0, k * 2.0).alias("brightness"),
+        F.when(k % 9 != 0, F.array(k / 100.0, 1 - k / 100.0)).alias("hist"),
+    )
+
+
+LOOKS = """lk AS (SELECT event_id % 2 AS side, clip_id AS job_id, t, CASE WHEN k % 13 <> 0 THEN k % 7 = 0 END AS flagged, k % 31 = 0 AS frozen, CASE WHEN k % 11 <> 0 THEN sig END AS sharpness, CASE WHEN k % 10 <> 0 THEN k * 2e0 END AS brightness, CASE WHEN k % 9 <> 0 THEN [k / 100e0, 1 - k / 100e0] END AS hist FROM v_samples),
+rl AS (SELECT side, job_id, quantile_cont(sharpness, 0.9) AS p90 FROM lk GROUP BY 1, 2)"""
+
+
+@query("cnd10_score_candidates", "v_samples v_beats v_cand v_cuts", f""", {PATH}, {SEGS}, {LOOKS},
+kf AS (SELECT clip_id AS job_id, avg(sig) AS sharpness, avg(k) AS brightness, quantile_cont(sig, 0.9) AS p90 FROM v_samples WHERE kind = 'error' AND clip_id % 3 = 0 GROUP BY 1),
+cc AS (SELECT job_id, event, candidate_id, event % 4 <> 0 AS switch, anchor AS t0, anchor + duration_s * 3 AS t1, timeline_start AS s0, timeline_start + duration_s * 2 AS s1 FROM v_cand),
+wn AS (SELECT job_id, candidate_id, 0 AS side, t0 AS w0, t1 AS w1 FROM cc UNION ALL SELECT job_id, candidate_id, 1, s0, s1 FROM cc),
+sm AS (SELECT w.job_id, w.candidate_id, w.side, l.*, row_number() OVER (PARTITION BY w.job_id, w.candidate_id, w.side ORDER BY l.t) AS i FROM wn w JOIN (SELECT job_id AS j, side AS sd, * EXCLUDE (job_id, side) FROM lk) l ON l.j = w.job_id AND l.sd = w.side AND l.t BETWEEN w.w0 - 1e-6 AND w.w1 + 1e-6),
+vs AS (SELECT job_id, candidate_id, side, count(*) AS n, count(*) FILTER (WHERE NOT flagged AND NOT frozen) / count(*) AS clean, bool_or(coalesce(flagged, false) OR frozen) AS bad, avg(sharpness) AS sharpness, avg(brightness) AS brightness FROM sm GROUP BY 1, 2, 3),
+si AS (SELECT a.job_id, a.candidate_id, avg(least(a.hist[1], b.hist[1]) + least(a.hist[2], b.hist[2])) AS similarity FROM sm a JOIN sm b ON a.side = 0 AND b.side = 1 AND b.job_id = a.job_id AND b.candidate_id = a.candidate_id AND b.i = a.i AND a.hist IS NOT NULL AND b.hist IS NOT NULL GROUP BY 1, 2),
+ac AS (SELECT c.job_id, c.candidate_id, sum(g.score * (least(c.s1, g.s1) - greatest(c.s0, g.s0))) / sum(least(c.s1, g.s1) - greatest(c.s0, g.s0)) AS mean FROM cc c JOIN sg g ON g.job_id = c.job_id AND least(c.s1, g.s1) > greatest(c.s0, g.s0) GROUP BY 1, 2),
+mx AS (SELECT job_id, max(score) AS most FROM sg GROUP BY 1),
+mu AS (SELECT c.job_id, c.candidate_id, greatest(0, max(0.75::DOUBLE * (1 - abs(b.t - t0) / 0.12::DOUBLE)), coalesce(max(0.90::DOUBLE * (1 - abs(b.t - t0) / 0.25::DOUBLE)) FILTER (WHERE i % 4 = 0), 0), coalesce(max(1 - abs(b.t - t0) / 0.50::DOUBLE) FILTER (WHERE i % 16 = 0), 0)) AS musical FROM cc c JOIN v_beats b ON b.clip_id = c.job_id GROUP BY 1, 2),
+bf AS (SELECT job_id, event, lag(t1) OVER w AS left_at, lag(s1) OVER w AS left_source FROM pa WINDOW w AS (PARTITION BY job_id ORDER BY t0, event)),
+al AS (SELECT c.*, v.n, v.clean, v.bad, v.sharpness, v.brightness, rl.p90, kf.sharpness AS ks, kf.brightness AS kb, kf.p90 AS kp, similarity, mean, most, musical, left_at, c.t0 - coalesce(left_at, 0) AS gap, c.s0 >= left_source - 1e-9 AS ord FROM cc c LEFT JOIN vs v ON v.job_id = c.job_id AND v.candidate_id = c.candidate_id AND v.side = c.switch::INT LEFT JOIN rl ON rl.job_id = c.job_id AND rl.side = c.switch::INT LEFT JOIN kf ON kf.job_id = c.job_id LEFT JOIN si ON si.job_id = c.job_id AND si.candidate_id = c.candidate_id LEFT JOIN ac ON ac.job_id = c.job_id AND ac.candidate_id = c.candidate_id LEFT JOIN mx ON mx.job_id = c.job_id LEFT JOIN mu ON mu.job_id = c.job_id AND mu.candidate_id = c.candidate_id LEFT JOIN bf ON bf.job_id = c.job_id AND bf.event = c.event)
+SELECT job_id, event, candidate_id, round_even(CASE WHEN job_id % 2 = 0 THEN least(1, CASE WHEN job_id % 10 = 0 THEN 0 ELSE job_id % 12 / 2e0 END / 5) ELSE 1 END, 3) AS sync, round_even(coalesce(musical, 0), 3) AS musical,
+round_even(CASE WHEN switch AND most > 0 AND mean IS NOT NULL THEN least(1, mean / most) ELSE 0 END, 3) AS action,
+round_even(CASE WHEN ks IS NOT NULL THEN 0.5::DOUBLE * least(1, ks / kp) + 0.5::DOUBLE * (1 - least(1, abs(kb - 128) / 128)) WHEN sharpness IS NOT NULL THEN 0.5::DOUBLE * least(1, sharpness / p90) + 0.5::DOUBLE * coalesce(1 - least(1, abs(brightness - 128) / 128), 0) ELSE 0 END, 3) AS quality,
+round_even(CASE WHEN switch THEN coalesce(1 - similarity, 0) ELSE 0 END, 3) AS info_gain,
+round_even(CASE WHEN NOT switch OR left_at IS NULL OR gap >= 12 - 1e-9 AND ord THEN 1 WHEN ord THEN greatest(0, least(1, gap / 12)) ELSE least(greatest(0, least(1, gap / 12)), 0.25) END, 3) AS continuity,
+round_even(CASE WHEN switch THEN greatest(0, least(1, gap / 60)) ELSE 0 END, 3) AS novelty, round_even(CASE WHEN n IS NULL THEN 0.5 WHEN bad THEN 0 ELSE clean END, 3) AS coverage FROM al""")
 def cnd10(spark: SparkSession, sf: str) -> DataFrame:
-    c = v.v_cand(spark, sf)
-    path = c.select("job_id", "event", "candidate_id").join(_path(spark, sf), ["job_id", "event"])
-    evidence = {"action_score": c.filter("score > 0.05").withColumnRenamed("score", "action_score"), "continuity": path, "novelty": path.filter("job_id % 4 <> 0"), "coverage": c.limit(0).withColumn("coverage", F.lit(0.0))}
-    return wi.score_candidates(c, evidence, {"action_score": 0.0, "continuity": 1.0, "novelty": 0.0, "coverage": 0.5})
+    t1, s1 = F.col("anchor") + F.col("duration_s") * 3, F.col("timeline_start") + F.col("duration_s") * 2
+    cands = v.v_cand(spark, sf).select("job_id", "event", "candidate_id", (F.col("event") % 4 != 0).alias("switch"), F.col("anchor").alias("t0"), t1.alias("t1"), F.col("timeline_start").alias("s0"), s1.alias("s1"))
+    s, beats = v.v_samples(spark, sf), v.v_beats(spark, sf)
+    kf = s.filter("kind = 'error' and clip_id % 3 = 0").groupBy(F.col("clip_id").alias("job_id")).agg(F.lit(True).alias("usable"), F.avg("sig").alias("sharpness"), F.avg("k").alias("brightness"), F.percentile("sig", 0.9).alias("p90"))
+    sync = s.filter("clip_id % 2 = 0").select(F.col("clip_id").alias("job_id"), F.when(F.col("clip_id") % 10 != 0, F.col("clip_id") % 12 / 2.0).alias("confidence")).distinct()
+    grids = {name: beats.filter(F.col("i") % every == 0).select("clip_id", "t") for name, every in (("beat", 1), ("down", 4), ("phrase", 16))}
+    p = v.v_cand(spark, sf).groupBy("job_id", "event").agg(F.min("anchor").alias("t0"), F.min("timeline_start").alias("s0"))
+    path = p.select("job_id", "event", "t0", (F.col("t0") + 5).alias("t1"), "s0", (F.col("s0") + 5).alias("s1"))
+    return score_candidates(cands, path=path, segs=segments(spark, sf), a_samples=_looks(spark, sf, 0), b_samples=_looks(spark, sf, 1), grids=grids, keyframes=kf, sync=sync, recovery=12.0, novelty_cap=60.0)
 
 
 ONSETS = """ru AS (SELECT clip_id AS job_id, event_id AS run_id, t AS onset, t + k / 10e0 AS "end", sig AS strength, sig AS luma_min, k / 100e0 AS frozen_frac FROM v_samples WHERE kind = 'signup'),
