@@ -23,6 +23,7 @@ text is read in blocks; only a piece that is longer than a shard makes that shar
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import binary_column, discard, mixed, written
+from .common import binary_column, discard, mixed, new_path, written
 
 #: Words that a task holds at most before it closes its largest shard, and bytes of text handled at once.
 HELD_WORDS, BLOCK_BYTES = 1 << 21, 1 << 20
@@ -327,13 +328,26 @@ def numbered(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame, int]:
     return out.select(*rows.columns, "id"), held, total
 
 
+@contextmanager
+def _in_buckets(rows: DataFrame, column: str):
+    """rows as a table in buckets by the column, while it is needed: a join on it shuffles only the other side."""
+    spark, name, path = rows.sparkSession, f"cutframe_{uuid.uuid4().hex}", new_path(rows.sparkSession, "buckets")
+    rows.write.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    table._written_path = path
+    try:
+        yield table
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+        discard(table)
+
+
 def phrase_counts(docs: DataFrame, *, text: str = "text", group: str = "lang", least: int = 10) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame]]:
     """(totals(grp, n), words(grp, word, f, id), phrases(w1, w2, w3, f)) with f of `least` or more, and the tables they stand on."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).alias("grp"), F.col(text).cast("string").alias("text")).filter("text is not null")
-    with _small_batches(spark):
-        shards = written(rows.mapInArrow(_shards, SHARD), "shards")
-        totals = shards.groupBy("grp").agg(F.sum("n").alias("n"))
+    with _small_batches(spark), _in_buckets(rows.mapInArrow(_shards, SHARD), "shard") as shards:
+        totals = written(shards.groupBy("grp").agg(F.sum("n").alias("n")), "totals")
         each = shards.select("shard", "grp", "words", "counts").mapInArrow(_words, "shard string, grp string, i int, word binary, f bigint").withColumn("word", F.col("word").cast("string"))
         words, held, many = numbered(each.groupBy("grp", "word").agg(F.sum("f").alias("f")).filter(F.col("f") >= least), "words")
         bits = max(1, many.bit_length())
@@ -346,7 +360,7 @@ def phrase_counts(docs: DataFrame, *, text: str = "text", group: str = "lang", l
         size = (F.length("counts") / 8).cast("int").alias("size")
         parts = shards.select("shard", size, "two", "three").join(told, "shard").mapInArrow(_renumbered(bits, range_bits), "size int, span bigint, entries binary")
         phrases = written(parts.groupBy("size", "span").applyInArrow(_merged(bits, least), "w1 bigint, w2 bigint, w3 bigint, f bigint"), "phrases")
-    return totals, words, phrases, [shards, held, phrases]
+    return totals, words, phrases, [totals, held, phrases]
 
 
 def _score(a: str, left: str, right: str):
