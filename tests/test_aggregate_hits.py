@@ -38,3 +38,12 @@ def test_any_level(spark):
     got = ev.aggregate_hits(spark.createDataFrame(texts, "doc_id long, json string"), PATTERN).collect()
     assert sorted((r.doc_id, r.path) for r in got) == want
     assert ev.aggregate_hits(spark.createDataFrame([], "doc_id long, json string"), PATTERN).count() == 0
+
+
+def test_a_thousand_levels_and_odd_keys(spark):
+    deep = '{"x": [' * 700 + '{"rank": 1}' + "]}" * 700
+    odd = '{"to\\u0074al": 1, "a\\"rank": {"avg:,{": [{}, [], {"mean": []}]}, "s": "{\\"total\\": [1}"}'
+    docs = [(1, deep), (2, odd), (3, '{"total": 1'), (4, '{"total": 1]'), (5, '[}'), (6, "[" * 3000 + "]" * 3000), (7, '{"total": 1, "total": 2}')]
+    got = sorted(tuple(r) for r in ev.aggregate_hits(spark.createDataFrame(docs, "doc_id int, json string"), PATTERN).collect())
+    want = [(1, "$" + ".x[0]" * 700 + ".rank"), (2, "$.total"), (2, '$.a"rank.avg:,{'), (2, '$.a"rank.avg:,{[2].mean'), (7, "$.total"), (7, "$.total")]
+    assert got == sorted(want)
