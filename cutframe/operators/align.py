@@ -2,18 +2,69 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.blocks import around, nearest
 
 
+#: Samples of a block in correlations: a task holds a few blocks at a time, a long series is spread over many.
+BLOCK = 4096
+
+
+def _block_products(length: int, keys: int):
+    """Products of one block of a with two blocks of b at each lag inside a block, by FFT."""
+
+    def dense(place: pa.Array, x: pa.Array, size: int) -> np.ndarray:
+        out = np.zeros(size)
+        np.add.at(out, place.to_numpy(), x.to_numpy())
+        return out
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = []
+            for a, b, lags in zip(batch.column("a"), batch.column("b"), batch.column("lags"), strict=True):
+                fa = np.fft.rfft(dense(a.values.field("i"), a.values.field("x"), length), 2 * length)
+                fb = np.fft.rfft(dense(b.values.field("i"), b.values.field("x"), 2 * length))
+                sums.append(np.fft.irfft(np.conj(fa) * fb, 2 * length)[: lags.as_py()])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(keys)), batch.column("chunk"), pa.array(sums, pa.list_(pa.float64()))], names=[*batch.schema.names[:keys], "chunk", "s"])
+
+    return work
+
+
+def correlate(a: DataFrame, b: DataFrame, rooms: DataFrame, keys: list[str], length: int = BLOCK) -> DataFrame:
+    """(keys, lag, s): the sum of a[n] * b[n + lag] at every lag from 0 to room, by blocks: overlap-save.
+
+    a, b: (keys, n, x), missing samples count 0; rooms: (some of the keys, room). A block of a meets a block of b for each block of lags; the
+    products inside a pair of blocks take length * log(length) steps, and their sums are added up by lag.
+    """
+    block = F.floor(F.col("n") / length).cast("bigint")
+    sample = lambda i: F.collect_list(F.struct(i.cast("int").alias("i"), F.col("x").cast("double").alias("x")))
+    x = a.withColumn("block", block).groupBy(*keys, "block").agg(sample(F.col("n") - F.col("block") * length).alias("a"))
+    x = x.join(rooms.filter("room >= 0"), [k for k in keys if k in rooms.columns])
+    x = x.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("room") / length)))).withColumn("at", F.col("block") + F.col("chunk"))
+    y = b.withColumn("at", F.explode(F.array(block, block - 1))).groupBy(*keys, "at").agg(sample(F.col("n") - F.col("at") * length).alias("b"))
+    lags = F.least(F.lit(length), F.col("room") + 1 - F.col("chunk") * length).cast("int")
+    rows = x.join(y, [*keys, "at"]).select(*keys, "chunk", lags.alias("lags"), "a", "b")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*keys, "chunk").schema) + ", s array<double>"
+    sums = rows.mapInArrow(_block_products(length, len(keys)), schema).select(*keys, "chunk", F.posexplode("s").alias("i", "s"))
+    return sums.groupBy(*keys, (F.col("chunk") * length + F.col("i")).alias("lag")).agg(F.sum("s").alias("s"))
+
+
 def lag_products(ref: DataFrame, clip: DataFrame, max_lag: int, keys: tuple[str, ...] = ("pair",)) -> DataFrame:
     """(keys, lag, c, n): mean product of mean-removed series at each lag, over their true overlap. ref, clip: (keys, n, x)."""
     w = Window.partitionBy(*keys)
-    a = ref.withColumn("x", F.col("x") - F.avg("x").over(w)).withColumn("lag", F.explode(F.sequence(F.lit(-max_lag), F.lit(max_lag)))).select(*keys, "lag", (F.col("n") - F.col("lag")).alias("m"), F.col("x").alias("xa"))
-    b = clip.withColumn("x", F.col("x") - F.avg("x").over(w)).select(*keys, F.col("n").alias("m"), F.col("x").alias("xb"))
-    return a.join(b, [*keys, "m"]).groupBy(*keys, "lag").agg(F.round(F.sum(F.col("xa") * F.col("xb")) / F.count("*"), 9).alias("c"), F.count("*").alias("n"))
+    flat = lambda df: df.filter("x is not null").withColumn("x", F.col("x") - F.avg("x").over(w)).select(*keys, "n", "x")
+    a, b = flat(ref), flat(clip).withColumn("n", F.col("n") + max_lag)
+    rooms = ref.select(*keys).distinct().withColumn("room", F.lit(2 * max_lag))
+    one = lambda df: df.withColumn("x", F.lit(1.0))
+    both = correlate(a, b, rooms, list(keys)).join(correlate(one(a), one(b), rooms, list(keys)).withColumnRenamed("s", "n"), [*keys, "lag"])
+    n = F.round("n").cast("bigint")
+    return both.withColumn("n", n).filter("n > 0").select(*keys, (max_lag - F.col("lag")).cast("int").alias("lag"), F.round(F.col("s") / F.col("n"), 9).alias("c"), "n")
 
 
 def xcorr_offset(ref: DataFrame, clip: DataFrame, max_lag: int, least: int = 8, rate: float = 1.0) -> DataFrame:
@@ -27,13 +78,11 @@ def xcorr_offset(ref: DataFrame, clip: DataFrame, max_lag: int, least: int = 8,
     return g.select("pair", F.col("p.lag").alias("lag"), ((F.col("p.lag") + shift) / rate).alias("offset_s"), (F.abs("p.c") / F.coalesce(F.nullif("med", F.lit(0.0)), F.lit(1.0))).alias("confidence"))
 
 
-def band_offset(ref: DataFrame, clip: DataFrame) -> DataFrame:
-    """Per pair: the lag, of all at which the whole of ref lies inside clip, with the greatest sum over bands of absolute correlation, against the mean of all others. series: (pair, band, n, x)."""
-    room = clip.groupBy("pair").agg(F.max("n").alias("last")).join(ref.groupBy("pair").agg(F.max("n").alias("end")), "pair").select("pair", (F.col("last") - F.col("end")).alias("room"))
-    a = ref.join(room.filter("room >= 0"), "pair").withColumn("lag", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("room").cast("bigint")))).select("pair", "band", "lag", (F.col("n") + F.col("lag")).alias("m"), F.col("x").alias("xa"))
-    b = clip.select("pair", "band", F.col("n").alias("m"), F.col("x").alias("xb"))
-    per_band = a.join(b, ["pair", "band", "m"]).groupBy("pair", "lag", "band").agg(F.abs(F.sum(F.col("xa") * F.col("xb"))).alias("c"))
-    total = per_band.groupBy("pair", "lag").agg(F.round(F.sum("c"), 6).alias("s"))
+def band_offset(ref: DataFrame, clip: DataFrame, length: int = BLOCK) -> DataFrame:
+    """Per pair: the lag, of all at which the whole of ref lies inside clip, with the greatest sum over bands of absolute correlation, against the mean of all others. series: (pair, band, n, x), n from 0."""
+    rooms = clip.groupBy("pair").agg(F.max("n").alias("last")).join(ref.groupBy("pair").agg(F.max("n").alias("end")), "pair").select("pair", (F.col("last") - F.col("end")).alias("room"))
+    per_band = correlate(ref, clip, rooms, ["pair", "band"], length)
+    total = per_band.groupBy("pair", "lag").agg(F.round(F.sum(F.abs("s")), 6).alias("s"))
     g = total.groupBy("pair").agg(F.min_by("lag", F.struct(-F.col("s"), "lag")).alias("lag"), F.max("s").alias("best"), F.sum("s").alias("all"), F.count("*").alias("n"))
     return g.select("pair", "lag", "best", F.try_divide(F.col("all") - F.col("best"), F.col("n") - 1).alias("others"))
 
