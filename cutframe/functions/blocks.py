@@ -54,6 +54,18 @@ def overlap(a: DataFrame, b: DataFrame, key: str, a_span: tuple[str, str], b_spa
     return met.filter(lo <= hi if closed else lo < hi).drop("_a0", "_b0", "_cell", "_cell2", "_key")
 
 
+def apart(df: DataFrame, keys: Sequence[str], lo: Column, reach: Column, order: Sequence[str], *, closed: bool = False, name: str = "_part") -> DataFrame:
+    """Number the parts of each key that a rule can't cross: a row whose lo lies at or beyond (closed: beyond) the reach of all rows before it begins a new one.
+
+    One sweep over the sorted rows, which keeps the greatest reach so far and gathers nothing."""
+    w = Window.partitionBy(*keys).orderBy("_lo", *order)
+    rows = df.withColumns({"_lo": lo, "_reach": reach})
+    before = F.max("_reach").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_before", before)
+    new = F.coalesce(F.col("_lo") > F.col("_before") if closed else F.col("_lo") >= F.col("_before"), F.lit(True)).cast("int")
+    return rows.withColumn("_new", new).withColumn(name, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_lo", "_reach", "_before", "_new")
+
+
 def greedy(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]], fields: Sequence[str], accept: Callable[[Column, Column], Column], limit: int | None = None) -> DataFrame:
     """Walk each group in order (column, descending) and keep a row if accept(kept so far, row).
 

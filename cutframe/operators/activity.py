@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import greedy, islands, overlap
+from ..functions.blocks import apart, greedy, islands, overlap
 
 
 def local_peaks(series: DataFrame, half: int = 2, value: str = "sm") -> DataFrame:
@@ -36,10 +36,13 @@ def expand_runs(peaks: DataFrame, series: DataFrame, frac: float, cap: int, valu
 
 
 def nms_runs(runs: DataFrame, min_sep: float, min_len: float) -> DataFrame:
-    """Strongest first; a run goes if it overlaps an accepted one, begins nearer than min_sep to its onset, or is too short."""
+    """Strongest first; a run goes if it overlaps an accepted one, begins nearer than min_sep to its onset, or is too short.
+
+    Runs are folded by parts of a clip that no overlap and no distance joins."""
     long = runs.filter(F.col("hi") + 1 - F.col("lo") >= min_len)
     clear = lambda kept, x: ~F.exists(kept, lambda k: ((x["lo"] < k["hi"]) & (x["hi"] > k["lo"])) | (F.abs(x["lo"] - k["lo"]) < min_sep))
-    return greedy(long, ["clip_id"], [("pk", True), ("n", False)], ["n", "pk", "floor", "lo", "hi", "capped"], clear)
+    parts = apart(long, ["clip_id"], F.col("lo"), F.greatest("hi", F.col("lo") + min_sep), ["n"])
+    return greedy(parts, ["clip_id", "_part"], [("pk", True), ("n", False)], ["n", "pk", "floor", "lo", "hi", "capped"], clear).drop("_part")
 
 
 def describe_runs(runs: DataFrame, series: DataFrame, still: float = 0.35) -> DataFrame:

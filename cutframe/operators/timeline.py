@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import around, greedy, islands, overlap
+from ..functions.blocks import apart, around, greedy, islands, overlap
 
 JOB = ["job_id"]
 
@@ -199,11 +199,12 @@ def context_proof(picks: DataFrame, context: float) -> DataFrame:
 
 
 def match_cuts(proposed: DataFrame, approved: DataFrame, tolerance: float = 1.0) -> DataFrame:
-    """Each proposed B cut, in order, with the nearest approved start within tolerance that is not used yet (job_id, p_pos, a_pos)."""
+    """Each proposed B cut, in order, with the nearest approved start within tolerance that is not used yet (job_id, p_pos, a_pos). Pairs are folded by parts of a job that no tolerance joins."""
     a = approved.select("job_id", F.col("pos").alias("a_pos"), F.col("source_in").alias("a_in")).withColumn("a_end", F.col("a_in"))
     p = proposed.select("job_id", F.col("pos").alias("p_pos"), (F.col("source_in") - tolerance).alias("lo"), (F.col("source_in") + tolerance).alias("hi"), F.col("source_in").alias("p_in"))
     pairs = overlap(p, a, "job_id", ("lo", "hi"), ("a_in", "a_end"), 16.0, closed=True).withColumn("dist", F.abs(F.col("a_in") - F.col("p_in")))
-    return greedy(pairs, JOB, [("p_pos", False), ("dist", False), ("a_pos", False)], ["p_pos", "a_pos", "dist"], lambda kept, x: ~F.exists(kept, lambda k: (k["p_pos"] == x["p_pos"]) | (k["a_pos"] == x["a_pos"])))
+    pairs = apart(pairs, JOB, F.col("p_in") - tolerance, F.col("p_in") + tolerance, ["p_pos", "a_pos"], closed=True)
+    return greedy(pairs, [*JOB, "_part"], [("p_pos", False), ("dist", False), ("a_pos", False)], ["p_pos", "a_pos", "dist"], lambda kept, x: ~F.exists(kept, lambda k: (k["p_pos"] == x["p_pos"]) | (k["a_pos"] == x["a_pos"]))).drop("_part")
 
 
 def classify_deltas(proposed: DataFrame, approved: DataFrame, pairs: DataFrame, enter: float = 0.25, hold: float = 0.25) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import greedy, nearest, overlap
+from ..functions.blocks import apart, greedy, nearest, overlap
 
 def best_windows(slots: DataFrame, segs: DataFrame, *, least: float, most: float, step: float = 1.0) -> DataFrame:
     """One window per slot (job_id, slot, lo, hi), in slot order, by the mean score (0 or more) of the segments (job_id, s0, s1, score) under it.
@@ -100,7 +100,8 @@ def propose_onsets(runs: DataFrame, beats: DataFrame, taken: DataFrame, reels: D
     )
     rows = rows.withColumn("reason", reason)
     pool = rows.filter("reason is null")
-    kept = greedy(pool, ["job_id"], [("strength", True), ("run_id", False)], ["run_id", "at"], lambda k, x: F.forall(k, lambda u: F.abs(u["at"] - x["at"]) >= gap))
+    pool = apart(pool, ["job_id"], F.col("at"), F.col("at") + gap, ["run_id"])
+    kept = greedy(pool, ["job_id", "_part"], [("strength", True), ("run_id", False)], ["run_id", "at"], lambda k, x: F.forall(k, lambda u: F.abs(u["at"] - x["at"]) >= gap))
     kept = kept.select("job_id", "run_id").withColumn("_kept", F.lit(True))
     out = rows.join(kept, ["job_id", "run_id"], "left")
     return out.select("job_id", "run_id", F.when(F.col("reason").isNotNull(), F.col("reason")).when(F.col("_kept"), "proposed").otherwise("min_gap").alias("decision"), F.when(F.col("_kept"), F.col("at")).alias("at"))
