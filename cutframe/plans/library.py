@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import search as se
 from ..operators import timeline as tl
 from ..operators.textindex import TextIndex
-from ..sources import files
+from ..sources import artifacts, files
 from ..sources import catalog as ct
 from ..sources import views as v
 from . import query
@@ -118,6 +118,42 @@ def inventory(spark: SparkSession, sf: str) -> DataFrame:
     return v.v_clips(spark, sf).select("clip_id", "path", "size", (F.col("clip_id") * 1.5).alias("mtime"), "text", "lang")
 
 
+@query("src01_media_inventory", "", "SELECT source AS dir, sum(strlen(text) + 1)::BIGINT AS size FROM documents WHERE text IS NOT NULL GROUP BY 1")
+def src01(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts written as files under a folder for each source, and found again; Spark's own markers are hidden files."""
+    path = files.scratch(spark, "inventory")
+    v.table(spark, sf, "documents").filter("text is not null").select("text", F.col("source").alias("dir")).write.partitionBy("dir").text(path)
+    found = ct.scan_inventory(spark, path, ["txt"])
+    return found.groupBy(F.regexp_extract("path", "/dir=([^/]+)/", 1).alias("dir")).agg(F.sum("size").alias("size"))
+
+
+@query("src18_artifacts", "v_cand v_samples v_cards", """, d AS (SELECT 'candidates' AS kind, job_id AS id, count(*) AS items, round(sum(start), 3) AS total FROM v_cand GROUP BY 2
+ UNION ALL SELECT 'signals', clip_id, count(*), round(sum(t), 3) FROM v_samples GROUP BY 2
+ UNION ALL SELECT 'evidence', job_id, count(*), round(sum(anchor), 3) FROM (SELECT job_id, event, min(anchor) AS anchor FROM v_cand GROUP BY 1, 2) GROUP BY 2
+ UNION ALL SELECT 'provenance', reel, count(*), round(sum(idx), 3) FROM v_cards WHERE reel % 10 = 0 GROUP BY 2)
+SELECT kind, id::VARCHAR AS id, 'ok' AS state, items, total FROM d""")
+def src18(spark: SparkSession, sf: str) -> DataFrame:
+    """Four kinds of documents through the sink and back, each verified against its manifest."""
+    c, s = v.v_cand(spark, sf), v.v_samples(spark, sf)
+    scored = c.select("job_id", "event", "candidate_id", F.lit("B").alias("angle"), F.lit("SWITCH").alias("action"), "start", "end", "timeline_start", (F.col("timeline_start") + F.col("duration_s")).alias("timeline_end"), F.struct(*(F.round("score", 3).alias(n) for n in artifacts.NAMES)).alias("scores"))
+    seen = s.select("clip_id", "t", F.col("sig").alias("motion"), F.col("k").alias("brightness"), F.col("sig").alias("sharpness"), (F.col("k") / 100.0).alias("obstruction"), (F.col("k") % 7 == 0).alias("frozen"))
+    events = c.groupBy("job_id", "event").agg(F.min("anchor").alias("anchor"))
+    cards = v.v_cards(spark, sf).filter("reel % 10 = 0").select(F.col("reel").alias("job_id"), F.col("idx").alias("pos"), F.lit("card").alias("role"), F.concat(F.col("idx").cast("string"), F.lit("/"), "name").alias("path"), F.sha2("name", 256).alias("sha256"))
+    made = {
+        "candidates": (artifacts.candidate_documents(scored, {"minimum_b_shot": 4.0, "minimum_a_recovery": 8.0}), "struct<events:array<struct<event_id:string,candidates:array<struct<id:string,start:double>>>>>", "flatten(transform(doc.events, e -> e.candidates))", "x.start"),
+        "signals": (artifacts.signal_documents(seen, 1.0), "struct<samples:array<struct<t:double>>>", "doc.samples", "x.t"),
+        "evidence": (artifacts.evidence_documents(events, scored, ["total"]), "struct<events:array<struct<event_id:string,anchor:double>>>", "doc.events", "x.anchor"),
+        "provenance": (artifacts.provenance_documents(cards), "struct<inputs:array<struct<path:string>>>", "doc.inputs", "cast(split(x.path, '/')[0] as double)"),
+    }
+    out = None
+    for kind, (docs_, schema, items, value) in made.items():
+        path = files.scratch(spark, kind)
+        artifacts.write_documents(docs_, path, slots=8)
+        told = artifacts.read_documents(spark, path, schema).select(F.lit(kind).alias("kind"), "id", "state", F.expr(f"cast(size({items}) as bigint)").alias("items"), F.expr(f"round(aggregate({items}, 0D, (a, x) -> a + {value}), 3)").alias("total"))
+        out = told if out is None else out.unionAll(told)
+    return out
+
+
 @query("src02_changed_files", "v_clips", "SELECT path FROM v_clips c WHERE NOT (clip_id % 2 = 0 AND clip_id % 10 <> 4 AND clip_id % 6 <> 2)")
 def src02(spark: SparkSession, sf: str) -> DataFrame:
     i = inventory(spark, sf)

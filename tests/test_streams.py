@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cutframe.plans.jobs import stream_rows
-from cutframe.sources import catalog
+from cutframe.sources import artifacts, catalog
 from cutframe.sources import store as store_module
 from cutframe.sources import views as v
 from cutframe.sources.store import Catalogue
@@ -162,3 +162,19 @@ def test_artifact_round_trip(spark, sf_dir, tmp_path):
     back = [json.loads(line) for p in (tmp_path / "out").glob("*.json") for line in p.read_text().splitlines()]
     assert sum(len(d["rows"]) for d in back) == cuts.count()
     assert all([x["pos"] for x in d["rows"]] == list(range(len(d["rows"]))) for d in back)
+
+
+def test_documents_are_verified(spark, tmp_path):
+    inputs = spark.createDataFrame([(j, k, "a", f"p{k}", "h") for j in range(6) for k in range(3)], "job_id int, pos int, role string, path string, sha256 string")
+    path, kind = str(tmp_path / "docs"), "struct<inputs:array<struct<role:string,path:string,sha256:string>>,n_inputs:int>"
+    artifacts.write_documents(artifacts.provenance_documents(inputs), path, slots=3)
+    back = artifacts.read_documents(spark, path, kind).collect()
+    assert {(r.id, r.state, r.doc.n_inputs, tuple(x.path for x in r.doc.inputs)) for r in back} == {(str(j), "ok", 3, ("p0", "p1", "p2")) for j in range(6)}
+    lines = {p: p.read_text() for p in (tmp_path / "docs" / "documents").rglob("part-*.txt")}
+    for p, text in lines.items():
+        p.write_text("".join(line.replace("p0", "p9") if '"id":"0"' in line else "" if '"id":"1"' in line else line for line in text.splitlines(True)) + '{"id":"77","doc":{"n_inputs":1}}\n' * (p == min(lines)))
+        (p.parent / f".{p.name}.crc").unlink(missing_ok=True)
+    states = {r.id: r.state for r in artifacts.read_documents(spark, path, kind).collect()}
+    assert states == {"0": "changed", "1": "missing", "77": "unlisted"} | {str(j): "ok" for j in range(2, 6)}
+    artifacts.write_documents(artifacts.provenance_documents(inputs.filter("job_id < 2")), path, slots=3)  # the others' slots stay, or go with theirs
+    assert all(r.state in ("ok", "unlisted") for r in artifacts.read_documents(spark, path, kind).filter("id in ('0', '1')").collect())
