@@ -90,7 +90,15 @@ def col07(spark: SparkSession, sf: str) -> DataFrame:
     return co.invert_lut(*lut_and_gains(spark, sf))
 
 
-@query("col08_fit_gains")
+def _fit(rounds: int) -> str:
+    """SQL for the states st0 ... after each round of the gain fit."""
+    measure = "SELECT s.window_id, s.ch, sum(lt.out * h.n) / sum(h.n) AS m FROM {st} s JOIN hg h USING (window_id, ch) JOIN lt ON lt.ch = s.ch AND lt.v = least(255, floor(h.v * s.gain + 0.5::DOUBLE)) GROUP BY 1, 2"
+    step = "st{k} AS (SELECT window_id, ch, target, CASE WHEN m IS NULL OR m = 0 OR abs(round(target / m, 9) - 1) <= 0.01::DOUBLE THEN gain ELSE gain * round(target / m, 9) END AS gain FROM {st} JOIN ({measure}) USING (window_id, ch))"
+    return ", ".join(step.format(k=k + 1, st=f"st{k}", measure=measure.format(st=f"st{k}")) for k in range(rounds))
+
+
+@query("col08_fit_gains", "v_pixels", f""", {LUT}, hg AS (SELECT clip_id AS window_id, (clip_id % 3)::INTEGER AS ch, v, count(*) AS n FROM v_pixels GROUP BY 1, 2, 3),
+st0 AS (SELECT DISTINCT window_id, ch, 60 + window_id * 3e0 AS target, 1e0 AS gain FROM hg), {_fit(4)} SELECT window_id, ch, target, round(gain, 6) AS gain FROM st4""")
 def col08(spark: SparkSession, sf: str) -> DataFrame:
     lut, _ = lut_and_gains(spark, sf)
     px = v.v_pixels(spark, sf).withColumn("ch", (F.col("clip_id") % 3).cast("int"))

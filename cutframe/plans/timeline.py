@@ -78,7 +78,45 @@ def tml06(spark: SparkSession, sf: str) -> DataFrame:
     return tl.density_sections(_spine(spark, sf), o).withColumnsRenamed({"start": "start_s", "end": "end_s"})
 
 
-@query("tml07_propose_timeline")
+def _beat(t: str, beats: str) -> str:
+    """SQL for the nearest of a list of beats within half a second, else t."""
+    return f"coalesce(list_min(list_transform(list_filter({beats}, lambda x: abs(x - {t}) <= 0.5), lambda x: {{'far': abs(x - {t}), 'at_s': x}})).at_s, {t})"
+
+
+#: One step of the recursion enters a section, or places its next shot. The layers name what a step works out in turn.
+PROPOSED = f""", sp AS (SELECT job_id, min(source_in) + 7 AS s0, max(source_out) - 7 AS s1, CASE WHEN job_id % 10 > 0 THEN max(source_out) ELSE 0 END AS reel, least(job_id % 4 / 10e0, 0.5) AS base FROM v_cuts GROUP BY 1 HAVING max(source_out) - min(source_in) - 14 > 1),
+o AS (SELECT job_id, start, "end" + 60 AS "end", score, max("end" + 60) OVER (PARTITION BY job_id ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM v_cand WHERE event % 5 = 0),
+c AS (SELECT job_id, greatest(start, coalesce(before, '-infinity'::DOUBLE)) AS start, "end", score FROM o WHERE "end" > greatest(start, coalesce(before, '-infinity'::DOUBLE))),
+e AS (SELECT job_id, greatest(start, s0) AS start, least("end", s1) AS "end", score, s0, s1 FROM c JOIN sp USING (job_id) WHERE least("end", s1) > greatest(start, s0)),
+x AS (SELECT job_id, coalesce(lag("end") OVER (PARTITION BY job_id ORDER BY start, "end"), s0) AS a, start AS b, NULL::DOUBLE AS density FROM e
+ UNION ALL SELECT job_id, max("end"), any_value(s1), NULL FROM e GROUP BY 1 UNION ALL SELECT job_id, s0, s1, NULL FROM sp WHERE job_id NOT IN (SELECT job_id FROM e) UNION ALL SELECT job_id, start, "end", score FROM e),
+jt AS (SELECT job_id, s0, s1, reel, CASE WHEN reel > 0 THEN (SELECT list_sort(list({{'u': a, 'v': b, 'share': coalesce(density, base)}})) FROM x WHERE x.job_id = sp.job_id AND b - a > 0.5) ELSE [] END AS secs,
+ (SELECT list(t) FROM v_beats b WHERE b.clip_id = sp.job_id) AS beats, (SELECT list(t) FROM v_beats b WHERE b.clip_id = sp.job_id AND i % 2 = 0) AS b_beats, (SELECT list({{'a': source_in, 'b': source_out, 'v': pos % 10 / 10e0}}) FROM v_cuts q WHERE q.job_id = sp.job_id AND source_out > source_in) AS acts FROM sp),
+wk AS (SELECT job_id, 0 AS s, 0::BIGINT AS k, 0::BIGINT AS n, 0e0 AS anchor, 0e0 AS whole, true AS room, s0 AS at_s, '-infinity'::DOUBLE AS shown, 0e0 AS used, []::STRUCT(a DOUBLE, b DOUBLE)[] AS taken, []::STRUCT(angle VARCHAR, a DOUBLE, b DOUBLE)[] AS cuts FROM jt
+ UNION ALL SELECT job_id, CASE WHEN fresh THEN s + 1 ELSE s END, CASE WHEN fresh THEN 0 ELSE k + 1 END,
+  CASE WHEN NOT fresh THEN n WHEN moved < sec.v - 0.5 THEN greatest(0, round_even((sec.v - moved) * sec.share / 8, 0))::BIGINT ELSE 0 END, CASE WHEN fresh THEN moved ELSE anchor END, CASE WHEN fresh THEN sec.v - moved ELSE whole END, fresh OR NOT brief,
+  CASE WHEN fresh THEN moved WHEN placed THEN stop ELSE at_s END, CASE WHEN placed THEN stop ELSE shown END, CASE WHEN placed THEN ob ELSE used END, CASE WHEN placed THEN list_append(taken, {{'a': wa, 'b': wb}}) ELSE taken END,
+  CASE WHEN fresh AND moved - at_s >= 0.5 THEN list_append(cuts, {{'angle': 'A', 'a': at_s, 'b': moved}}) WHEN placed AND start > at_s + 0.5 THEN list_append(list_append(cuts, {{'angle': 'A', 'a': at_s, 'b': start}}), {{'angle': 'B', 'a': oa, 'b': ob}}) WHEN placed THEN list_append(cuts, {{'angle': 'B', 'a': oa, 'b': ob}}) ELSE cuts END
+ FROM (SELECT *, CASE WHEN b2 - a2 >= 0.5 THEN a2 ELSE wa END AS oa, CASE WHEN b2 - a2 >= 0.5 THEN b2 ELSE wb END AS ob
+ FROM (SELECT *, CASE WHEN ba >= used - 1e-6 THEN ba ELSE wa END AS a2, CASE WHEN bb <= stop - 8 - 1e-6 THEN bb ELSE wb END AS b2
+ FROM (SELECT *, {_beat("wa", "b_beats")} AS ba, {_beat("wb", "b_beats")} AS bb
+ FROM (SELECT *, coalesce(best.a, place) AS wa, CASE WHEN best IS NOT NULL THEN best.a + span ELSE least(place + span, reel) END AS wb
+ FROM (SELECT *, CASE WHEN placed THEN list_min(list_filter(list_transform(list_filter(list_transform(range(0, floor((hi - used + 1e-6) / 0.5)::BIGINT + 1), lambda j: used + j * 0.5),
+   lambda a: a + span <= reel + 1e-6 AND len(list_filter(taken, lambda u: least(a + span, u.b) - greatest(a, u.a) > 0.01)) = 0),
+   lambda a: {{'loss': -round(list_sum(list_transform(acts, lambda g: g.v * greatest(0, least(a + span, g.b) - greatest(a, g.a)))) / span - 0.25::DOUBLE * abs(a - place) / greatest(hi - used, 1), 9), 'a': a}}), lambda y: y.loss < 1)) END AS best
+ FROM (SELECT *, span < 0.5 AS brief, NOT fresh AND span >= 0.5 AND hi - used >= 0.5 AS placed, least(greatest(start - span, used), hi) AS place
+ FROM (SELECT *, least(start - 8, reel - span) AS hi FROM (SELECT *, stop - start AS span
+ FROM (SELECT *, CASE WHEN e1 > start THEN e1 ELSE e0 END AS stop FROM (SELECT *, CASE WHEN b1 >= shown + 8 - 1e-6 THEN b1 ELSE b0 END AS start
+ FROM (SELECT *, {_beat("b0", "beats")} AS b1, {_beat("e0", "beats")} AS e1
+ FROM (SELECT *, CASE WHEN at_s < sec.u - 0.5 THEN sec.u ELSE at_s END AS moved, least(b0 + 8, sec.v) AS e0
+ FROM (SELECT *, secs[CASE WHEN fresh THEN s + 1 ELSE s END] AS sec, greatest(CASE WHEN n > 0 THEN anchor + (k + 0.5::DOUBLE) * whole / n ELSE 0 END, shown + 8) AS b0
+ FROM (SELECT w.*, NOT (k < n AND room) AS fresh, secs, beats, b_beats, acts, reel FROM wk w JOIN jt ON jt.job_id = w.job_id)))))))))))))) WHERE NOT (fresh AND s >= len(secs))),
+dn AS (SELECT job_id, max_by({{'at_s': at_s, 'cuts': cuts}}, s * 100000 + k) AS z FROM wk GROUP BY 1),
+fi AS (SELECT job_id, CASE WHEN s1 - z.at_s >= 0.5 THEN list_append(z.cuts, {{'angle': 'A', 'a': z.at_s, 'b': s1}}) WHEN len(z.cuts) = 0 THEN [{{'angle': 'A', 'a': s0, 'b': s1}}] ELSE z.cuts END AS cuts FROM dn JOIN jt USING (job_id))
+SELECT job_id, i AS pos, cuts[i + 1].angle AS angle, round(cuts[i + 1].a, 3) AS source_in, round(cuts[i + 1].b, 3) AS source_out, printf('cut_%03d', i + 1) AS cut_id FROM fi, LATERAL (SELECT unnest(range(0, len(cuts))) AS i)"""
+
+
+@query("tml07_propose_timeline", "v_cuts v_beats v_cand", PROPOSED)
 def tml07(spark: SparkSession, sf: str) -> DataFrame:
     cuts, beats = v.v_cuts(spark, sf), v.v_beats(spark, sf).withColumnRenamed("clip_id", "job_id")
     ends = _spine(spark, sf).select("job_id", (F.col("start") + 7).alias("start"), (F.col("end") - 7).alias("end"), F.when(F.col("job_id") % 10 > 0, F.col("end")).alias("reel"), (F.col("job_id") % 4 / 10.0).alias("density"))
