@@ -399,6 +399,6 @@ def collocations(docs: DataFrame, *, text: str = "text", group: str = "lang", le
     for salts in SALTS:  # a group's best are the best of its parts' best
         part = Window.partitionBy("grp", F.pmod(F.xxhash64("phrase"), F.lit(salts)))
         best = best.withColumn("rank", F.row_number().over(part.orderBy(F.desc("score"), F.desc("a"), "phrase"))).filter(F.col("rank") <= top)
-    out = written(best.join(totals, "grp").select(F.col("grp").alias(group), "rank", "phrase", "a", "l", "r", "n", "score"), "collocations")
+    out = written(best.join(totals, "grp").select(F.col("grp").alias(group), F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"), "collocations")
     discard(*tables, pairs)
     return out

@@ -123,3 +123,12 @@ def test_scores_are_exact(spark):
     rows = [(10**15 - 1, 10**15, 10**15 + 7), (10, 10, 10), (333, 1000, 999), (9_999_999_999, 10**10, 10**12)]
     got = spark.createDataFrame(rows, "a long, l long, r long").select("a", "l", "r", c._score("a", "l", "r").alias("s")).collect()
     assert all(r.s == 10**6 * r.a * r.a // (r.l * r.r) for r in got)
+
+
+def test_sql_twin(spark, sf_dir):
+    import duckdb
+
+    with duckdb.connect(config={"threads": 4, "memory_limit": "4GB"}) as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+        assert sorted(db.sql(q.oracle_sql()["op13_collocations"]).fetchall()) == told(q.op13_collocations(spark, sf_dir))
+    assert {k for n, k in q.op13_collocations(spark, sf_dir).dtypes if n not in ("lang", "phrase")} == {"bigint"}

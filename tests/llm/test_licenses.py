@@ -90,3 +90,12 @@ def test_templates_too_many_to_send(spark, monkeypatch):
     texts = ["the mit license", "nothing", None]
     rows = li.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert sorted((r.doc_id, *told(r)) for r in rows) == [(i, *plain(t)) for i, t in enumerate(texts)]
+
+
+def test_sql_twin(spark, sf_dir):
+    import duckdb
+
+    with duckdb.connect(config={"threads": 4, "memory_limit": "4GB"}) as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+        want = sorted(db.sql(q.oracle_sql()["op11_license_scan"]).fetchall())
+    assert sorted(map(tuple, q.op11_license_scan(spark, sf_dir).collect())) == want
