@@ -145,6 +145,7 @@ def scan(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None,
         F.max("share").alias("score"),
         F.array_sort(F.collect_list(F.struct(F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"), "label", "share"))).alias("spans"),
     )
+    told = written(told, "license-labels")  # so that a text's many copies can be split in the join
     none = {"n_base": F.lit(0).cast("bigint"), "base_labels": F.lit(""), "labels": F.lit(""), "score": F.lit(0.0), "spans": F.array().cast("array<struct<start:bigint,end:bigint,label:string,share:double>>")}
     out = met.filter("template is null").select("key", "kept", "n_words").join(told, "key", "left")
     value = lambda c: F.coalesce(F.col(c), none[c]) if c in none else F.col(c)
