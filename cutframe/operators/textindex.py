@@ -67,7 +67,7 @@ class TextIndex:
 
     def _blocks_of(self, postings: DataFrame) -> DataFrame:
         rows = postings.groupBy("term", self._of("doc_id", self.span).alias("span")).agg(
-            F.array_sort(F.collect_list(F.struct("doc_id", "tf", "n"))).alias("posts"), F.count("*").alias("docs"), F.max("tf").alias("most_tf"), F.min("n").alias("least_n")
+            F.sort_array(F.collect_list(F.struct("doc_id", "tf", "n"))).alias("posts"), F.count("*").alias("docs"), F.max("tf").alias("most_tf"), F.min("n").alias("least_n")
         )
         return rows.withColumns({"shelf": self._of("span", self.shelf // self.span), "bucket": self._bucket()})
 
