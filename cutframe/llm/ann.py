@@ -5,16 +5,19 @@ neither crowd the graph nor lose the tie order. The graph starts from leaves of
 in each leaf every vector meets every other. Then each round joins neighbours of neighbours: a node's
 own and reverse neighbours meet at the node, and pairs nearer than a member's worst neighbour are
 offered to that member. Rounds work on rows (node, member, vector) dealt by node; no graph reaches the driver.
-Vectors travel as bytes with a scale; answers are scored in double precision on the original vectors.
+Vectors travel centred, as 16-bit numbers with a scale; answers are scored in double precision on the original vectors.
 
-A query starts from its own node's neighbours and expands the nearest unexpanded nodes for some hops. Rows whose vector is null, zero, of another length than most, or holds
-a null or non-finite component take no part. Rows that repeat an id keep the first vector in order. With `k` candidates
-or fewer all are returned.
+A query starts from its own node's neighbours and expands the `hold` nearest nodes seen, until hardly anything nearer turns up. How wide that must be
+depends on the rows: some sampled queries are answered by brute force as well, and while the search holds fewer than `least` of their true neighbours, it
+goes on twice as wide, from further entry nodes too. The sample is a yardstick only, its answers come from the search like all others.
+Rows whose vector is null, zero, of another length than most, or holds a null or non-finite component take no part. Rows that repeat an id keep the first
+vector in order. With `k` candidates or fewer all are returned.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,21 @@ from pyspark.sql import functions as F
 from .common import discard, written
 
 LEAF, DEGREE = 256, 24
+#: Vectors of the sample that places centre, unit and tree cuts; queries of the yardstick.
+PROBE, YARDSTICK = 4000, 48
+
+
+@dataclass
+class Frame:
+    """Packed vectors are (v - centre) / unit. Inner products with a fixed row are, but for a term of that row alone, those of
+    the centred rows plus the other row's with the centre: a far centre costs no digits, and no size of numbers overflows."""
+
+    centre: np.ndarray
+    unit: float
+
+    def lift(self, x: np.ndarray) -> np.ndarray:
+        """What each centred row adds to its inner product with any row."""
+        return x @ (self.centre / self.unit).astype(np.float32)
 
 
 def usable(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
@@ -36,26 +54,30 @@ def usable(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
     return rows.filter(F.size("v") == (size.n if size else 0)).groupBy("id").agg(F.min("v").alias("v"))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as signed bytes with a scale, so that a member of a join costs little."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        v = np.array(batch.column("v").to_pylist())
-        scale = np.abs(v).max(axis=1)
-        q = np.rint(v / scale[:, None] * 127).astype(np.int8)
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array((scale / 127).astype(np.float32)), pa.array([x.tobytes() for x in q], pa.binary())], names=["node", "scale", "q"])
+def _packed(frame: Frame):
+    """Centred vectors as 16-bit numbers with a scale, so that a member of a join costs little."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v = (np.array(batch.column("v").to_pylist()) - frame.centre) / frame.unit
+            scale = np.maximum(np.abs(v).max(axis=1), 1e-30) / 32767
+            q = np.rint(v / scale[:, None]).astype("<i2")
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(scale.astype(np.float32)), pa.array([x.tobytes() for x in q], pa.binary())], names=["node", "scale", "q"])
+
+    return work
 
 
 def _matrix(q: list[bytes], scale: list[float]) -> np.ndarray:
-    return np.frombuffer(b"".join(q), np.int8).reshape(len(q), -1).astype(np.float32) * np.array(scale, np.float32)[:, None]
+    return np.frombuffer(b"".join(q), "<i2").reshape(len(q), -1).astype(np.float32) * np.array(scale, np.float32)[:, None]
 
 
-def _meet(keep: int):
+def _meet(keep: int, frame: Frame):
     """Rows of one group meet: each member is offered its `keep` nearest others that beat its worst neighbour."""
 
     def one(node: np.ndarray, worst: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        s = x @ x.T
+        s = x @ x.T + frame.lift(x)[None, :]
         s[node[:, None] == node[None, :]] = -np.inf
         k = min(keep, len(node) - 1)
         top = np.argpartition(-s, k - 1, axis=1)[:, :k] if k < len(node) - 1 else np.argsort(-s, axis=1)[:, :k]
@@ -89,9 +111,9 @@ def _meet(keep: int):
     return work
 
 
-def _met(rows: DataFrame, keep: int) -> DataFrame:
+def _met(rows: DataFrame, keep: int, frame: Frame) -> DataFrame:
     """Groups lie together in a partition, in order, so a task handles many groups in one pass."""
-    return rows.repartition("grp").sortWithinPartitions("grp").mapInArrow(_meet(keep), "a bigint, b bigint, s float")
+    return rows.repartition("grp").sortWithinPartitions("grp").mapInArrow(_meet(keep, frame), "a bigint, b bigint, s float")
 
 
 def _best(offers: DataFrame, k: int) -> DataFrame:
@@ -101,19 +123,20 @@ def _best(offers: DataFrame, k: int) -> DataFrame:
     return distinct.withColumn("r", rank).filter(F.col("r") <= k).select("a", "b", "s", "r")
 
 
-def neighbour_graph(nodes: DataFrame, *, degree: int = DEGREE, trees: int = 10, leaf: int = LEAF, rounds: int = 4, sample: int = 16, settled: float = 0.02, seed: int = 11) -> tuple[DataFrame, DataFrame]:
-    """NN-descent over nodes(node, v): the graph (a, b, s, r) and the packed vectors (node, scale, q).
+def neighbour_graph(nodes: DataFrame, *, degree: int = DEGREE, trees: int = 10, leaf: int = LEAF, rounds: int = 8, sample: int = 16, settled: float = 0.02, seed: int = 11) -> tuple[DataFrame, DataFrame, Frame]:
+    """NN-descent over nodes(node, v): the graph (a, b, s, r), the packed vectors (node, scale, q) and their frame.
 
     sample bounds how many reverse neighbours of a node join in a round, as is usual for this method: hubs
     are reached through their own lists in any case. Rounds end early when fewer than `settled` of the entries change.
     """
-    width = nodes.selectExpr("size(v) d").first().d
-    packed = written(nodes.mapInArrow(_packed, "node bigint, scale float, q binary"), "vectors")
+    probe = np.array([r.v for r in nodes.orderBy(F.xxhash64("node")).limit(PROBE).select("v").collect()])  # places centre and cuts, nothing else
+    width, centre = probe.shape[1], (probe / len(probe)).sum(axis=0)
+    frame = Frame(centre, float(np.abs(probe - centre).max()) or 1.0)
+    packed = written(nodes.mapInArrow(_packed(frame), "node bigint, scale float, q binary"), "vectors")
     n = packed.count()
     bits = max(0, int(np.ceil(np.log2(max(1, n / (leaf / 2))))))
     planes = np.random.default_rng(seed).standard_normal((width, trees * max(1, bits))).astype(np.float32)
-    probe = packed.orderBy(F.xxhash64("node")).limit(4000).toPandas()  # medians of projections, from a bounded sample
-    cuts = np.median(_matrix(list(probe.q), list(probe.scale)) @ planes, axis=0)
+    cuts = np.median(((probe - frame.centre) / frame.unit).astype(np.float32) @ planes, axis=0)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,7 +152,7 @@ def neighbour_graph(nodes: DataFrame, *, degree: int = DEGREE, trees: int = 10,
     full = leaves.groupBy("grp").count().filter(F.col("count") > 2 * leaf).withColumn("parts", F.ceil(F.col("count") / leaf))
     part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("parts")))
     leaves_cut = leaves.join(full, "grp", "left").select(F.xxhash64("grp", part).alias("grp"), "node", F.lit(float("-inf")).cast("float").alias("worst"), "scale", "q")
-    graph = written(_best(_met(leaves_cut, degree), degree), "graph")
+    graph = written(_best(_met(leaves_cut, degree, frame), degree), "graph")
     discard(leaves)
     for _ in range(rounds):
         worst = graph.groupBy("a").agg(F.when(F.count("*") < degree, float("-inf")).otherwise(F.min("s")).cast("float").alias("worst"))
@@ -138,39 +161,81 @@ def neighbour_graph(nodes: DataFrame, *, degree: int = DEGREE, trees: int = 10,
         near = graph.filter(F.col("r") <= sample)
         pairs = near.select(F.col("a").alias("grp"), F.col("b").alias("node")).unionByName(turned.select("grp", "node")).unionByName(packed.select(F.col("node").alias("grp"), "node")).distinct()
         rows = pairs.join(packed.join(worst.withColumnRenamed("a", "node"), "node", "left").withColumn("worst", F.coalesce("worst", F.lit(float("-inf")).cast("float"))), "node").select("grp", "node", "worst", "scale", "q")
-        offers = _met(rows, 8)
+        offers = _met(rows, 8, frame)
         step = written(_best(graph.select("a", "b", "s").unionByName(offers), degree), "graph")
         moved = step.join(graph.select("a", "b"), ["a", "b"], "left_anti").count()
         discard(graph)
         graph = step
         if moved < settled * degree * n:
             break
-    return graph, packed
+    return graph, packed, frame
 
 
-def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            x = _matrix(batch.column("q").to_pylist(), batch.column("scale").to_pylist())
-            y = _matrix(batch.column("qq").to_pylist(), batch.column("qscale").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array(np.einsum("ij,ij->i", x, y))], names=["query", "node", "s"])
+def _score(frame: Frame):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _matrix(batch.column("q").to_pylist(), batch.column("scale").to_pylist())
+                y = _matrix(batch.column("qq").to_pylist(), batch.column("qscale").to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array(np.einsum("ij,ij->i", x, y) + frame.lift(x))], names=["query", "node", "s"])
 
+    return work
 
-def greedy_search(graph: DataFrame, packed: DataFrame, queries: DataFrame, *, hold: int = 64, expand: int = 16, hops: int = 3) -> DataFrame:
-    """(query, node) candidates: for each query node the `hold` nearest seen; each hop expands the `expand` nearest not yet expanded."""
+
+def yardstick(nodes: DataFrame, queries: DataFrame, k: int, size: int = YARDSTICK) -> DataFrame:
+    """(query, node): the k truly nearest other nodes of some query nodes, by brute force over every node."""
+    asked = queries.orderBy(F.xxhash64("query")).limit(size).join(nodes.withColumnRenamed("node", "query"), "query").select("query", "v").collect()
+    number, q = np.array([r.query for r in asked], np.int64), np.array([r.v for r in asked])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                node = np.array(batch.column("node"))
+                s = np.array(batch.column("v").to_pylist()) @ q.T
+                s[node[:, None] == number[None, :]] = -np.inf
+                top = np.argsort(-s, axis=0, kind="stable")[:k]
+                at = np.repeat(np.arange(len(number))[None, :], len(top), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(number[at.ravel()]), pa.array(node[top.ravel()]), pa.array(s[top, at].ravel())], names=["query", "node", "s"])
+
+    top = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("s"), "node"))
+    found = nodes.mapInArrow(work, "query bigint, node bigint, s double").filter("query <> node").withColumn("r", top)
+    return written(found.filter(F.col("r") <= k).select("query", "node"), "yardstick")
+
+
+def greedy_search(graph: DataFrame, packed: DataFrame, frame: Frame, queries: DataFrame, truth: DataFrame, *, hold: int = 64, keep: int = 64, least: float = 0.96, rest: float = 0.02) -> DataFrame:
+    """(query, node) candidates, the `keep` nearest found of each query node. Every hop expands those of the `hold` nearest
+    that are not expanded yet, until few are left (`rest` of the hold); this goes on with twice the `hold`, until `least` of truth(query, node) are held, or every node.
+    Twice as many rows as are expanded stay in the state, so that widening goes on from them and expands no node again."""
+    n, wanted, asked = packed.count(), truth.count(), queries.count()
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc_nulls_first("s"), "node"))
+    own = written(packed.join(queries.withColumnRenamed("query", "node"), "node", "left_semi").select(F.col("node").alias("query"), F.col("scale").alias("qscale"), F.col("q").alias("qq")), "asked-vectors")
+    scored = lambda pairs: pairs.join(packed, "node").join(own, "query").select("query", "node", "scale", "q", "qscale", "qq").mapInArrow(_score(frame), "query bigint, node bigint, s float").withColumn("done", F.lit(False))
     state = graph.join(queries.select(F.col("query").alias("a")), "a").select(F.col("a").alias("query"), F.col("b").alias("node"), "s").withColumn("done", F.lit(False))
     state = written(state.unionByName(queries.select("query", F.col("query").alias("node"), F.lit(None).cast("float").alias("s"), F.lit(True).alias("done"))), "search")
-    own = packed.select(F.col("node").alias("query"), F.col("scale").alias("qscale"), F.col("q").alias("qq"))
-    for _ in range(hops):
-        rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("s"), "node"))
-        front = state.filter("not done").withColumn("k", rank).filter(F.col("k") <= expand).select("query", "node")
-        new = front.join(graph.select(F.col("a").alias("node"), F.col("b").alias("to")), "node").select("query", F.col("to").alias("node")).distinct().join(state.select("query", "node"), ["query", "node"], "left_anti")
-        scored = new.join(packed, "node").join(own, "query").mapInArrow(_score, "query bigint, node bigint, s float").withColumn("done", F.lit(False))
-        marked = state.join(front.withColumn("now", F.lit(True)), ["query", "node"], "left").select("query", "node", "s", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-        step = written(marked.unionByName(scored).withColumn("k", F.row_number().over(Window.partitionBy("query").orderBy(F.desc_nulls_first("s"), "node"))).filter(F.col("k") <= hold).drop("k"), "search")
+    while True:
+        while True:
+            front = state.withColumn("k", rank).filter(F.col("k") <= hold).filter("not done").select("query", "node", F.lit(True).alias("now"))
+            front = written(front, "front")
+            if not (left := front.count()):
+                discard(front)
+                break
+            new = front.join(graph.select(F.col("a").alias("node"), F.col("b").alias("to")), "node").select("query", F.col("to").alias("node")).distinct().join(state.select("query", "node"), ["query", "node"], "left_anti")
+            step = state.join(front, ["query", "node"], "left").select("query", "node", "s", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")).unionByName(scored(new))
+            step = written(step.withColumn("k", rank).filter(F.col("k") <= 2 * hold).drop("k"), "search")
+            discard(state, front)
+            state = step
+            if left <= rest * hold * asked:
+                break
+        if state.join(truth, ["query", "node"], "left_semi").count() >= least * wanted or hold >= n:
+            break
+        hold = 2 * hold
+        entries = packed.select("node").orderBy(F.xxhash64("node", F.lit(hold))).limit(hold)
+        further = queries.crossJoin(F.broadcast(entries)).join(state.select("query", "node"), ["query", "node"], "left_anti")
+        step = written(state.unionByName(scored(further)), "search")
         discard(state)
         state = step
-    return state.select("query", "node")
+    discard(own)
+    return state.withColumn("k", rank).filter(F.col("k") <= keep).select("query", "node")
 
 
 def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,8 +262,10 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, id_column: str
     if nodes.limit(2).count() < 2:
         found = asked.select("query", F.col("query").alias("node")).distinct()
     else:
-        graph, packed = neighbour_graph(nodes.select("node", "v"), **how)
-        found = greedy_search(graph, packed, asked.select("query").distinct())
+        graph, packed, frame = neighbour_graph(nodes.select("node", "v"), **how)
+        queries = written(asked.select("query").distinct(), "queries")
+        truth = yardstick(nodes.select("node", "v"), queries, k)
+        found = written(greedy_search(graph, packed, frame, queries, truth, keep=max(64, 2 * k + 2)), "found")
     exact = found.join(nodes.select("node", "v"), "node").join(nodes.select(F.col("node").alias("query"), F.col("v").alias("w")), "query").select("query", "node", "v", "w")
     scored = exact.mapInArrow(_inner, "query bigint, node bigint, score double")
     top = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node"))
