@@ -13,8 +13,10 @@
 4. A candidate is checked on ids, then on words: longest common subsequence of item and window, over the item's length, and
    whether the item's answer (its last sentence, or last quarter where it is one sentence) stands there in order. A document leaks an
    item if the ratio is at least `strong`, or at least `weak` with the answer there.
-5. Cosine in the latent space, the greatest of the window's stretches of `size` words, ranks windows of equal ratio and is reported. It doesn't prune:
-   at the rules' edges it is lost in the noise of the space.
+5. Retrieval in the latent space makes candidates of its own beside these: stretches of `size` words, half a `size` apart, whose cosine with an item of
+   that size is at least `near`. Such a window leaks the item from the ratio `faint` on, with the answer there: a passage in another order shares
+   its words but no long subsequence. The cosine doesn't prune the others: at their edges it is lost in the noise of the space. It ranks windows of
+   equal ratio and is reported, as the greatest of the window's stretches.
 
 Words are lower-cased, stripped of punctuation at their ends. Null and empty texts leak nothing; items without
 a word are left out; items repeated by id and text count once. Items shorter than `least_words` words must occur whole, word after word.
@@ -226,12 +228,14 @@ class Rules:
     strong: float = 0.7
     weak: float = 0.5
     least_words: int = 8
+    near: float = 0.8
+    faint: float = 0.3
 
 
 class _Search:
     """Searches documents for a block of items. Window sizes are powers of two, each item has the nearest."""
 
-    slab_words, clustered, check_cost = 1 << 17, 2, 40
+    slab_words, clustered, check_cost, tile_words = 1 << 17, 2, 40, 1 << 14
 
     def __init__(self, space: LatentSpace, items: list[Item], rules: Rules) -> None:
         self.items, self.rules, self.space = items, rules, space
@@ -242,6 +246,13 @@ class _Search:
         self.vectors = [space.of(x).sum(axis=0) for x in own]
         self.size = np.array([max(4, 2 ** round(np.log2(len(x)))) for x in own], np.int64)
         self.longest = int(self.size.max(initial=4))
+        long = np.array([len(x) >= rules.least_words for x in own], bool)
+        self.by_size = {}
+        for s in np.unique(self.size[long]).tolist():
+            at = np.flatnonzero(long & (self.size == s))
+            v = np.stack([self.vectors[j] for j in at]).astype(np.float32)
+            self.by_size[s] = at, (v / np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]).T
+        self.padded = np.vstack([space.words, np.zeros((1, space.words.shape[1]), np.float32)])
         share = space.share if space.share is not None else np.full(DIMENSIONS, 1 / DIMENSIONS)
         marks, self.item, self.hits = [], [], []  # a mark: an item, ids, and how many of them a candidate holds
         self.least, self.answer_ids = [], []
@@ -330,6 +341,11 @@ class _Search:
             wide = chunk[a] - low + 1
             window = np.repeat(low - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())
             found.append(np.stack([np.repeat(part[a], wide), np.repeat(item[a], wide), window]))
+        for p, k, start in self._retrieved(words, n, begin):
+            i, offset, x = parts[p]
+            size = int(self.size[k])
+            start = max(0, start - size // 2)
+            self._check(k, i, x[start : start + 2 * size], offset + start, size, lambda i=i: read(i), out, close=True)
         if not found:
             return
         p, k, window = np.concatenate(found, axis=1)
@@ -340,18 +356,42 @@ class _Search:
             start = window * (size // 4)
             self._check(k, i, x[start : start + 2 * size], offset + start, size, lambda i=i: read(i), out)
 
-    def _check(self, k: int, i: int, ids: np.ndarray, start: int, size: int, text, out: dict) -> None:
+    def _retrieved(self, words: np.ndarray, n: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(part, item, first word) of each stretch that lies near an item in the latent space."""
+        part = np.repeat(np.arange(len(n)), n)
+        within = np.arange(len(words)) - begin[part]
+        for size, (items, vectors) in self.by_size.items():
+            half = size // 2
+            chunks = -(-n // half)
+            first = np.cumsum(chunks) - chunks
+            cells = np.full(int(chunks.sum()) * half, len(self.padded) - 1)
+            cells[first[part] * half + within] = words % (len(self.padded) - 1)
+            tile = max(1, self.tile_words // half) * half
+            sums = [self.padded[cells[at : at + tile]].reshape(-1, half, self.padded.shape[1]).sum(axis=1) for at in range(0, len(cells), tile)]
+            if not sums:
+                continue
+            v = np.concatenate(sums)
+            owner = np.repeat(np.arange(len(n)), chunks)
+            v[:-1] += v[1:] * (owner[1:] == owner[:-1])[:, None]
+            v /= np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]
+            for at in range(0, len(v), self.tile_words):
+                for c, k in np.argwhere(v[at : at + self.tile_words] @ vectors >= self.rules.near).tolist():
+                    p = int(owner[at + c])
+                    yield p, int(items[k]), (at + c - int(first[p])) * half
+
+    def _check(self, k: int, i: int, ids: np.ndarray, start: int, size: int, text, out: dict, close: bool = False) -> None:
         rules, n, listed = self.rules, self.own[k][1], ids.tolist()
+        weak = min(rules.faint, rules.weak) if close else rules.weak
 
         def leaked(ratio: float, answer) -> bool:
-            return ratio >= rules.strong or ratio >= rules.weak and answer()
+            return ratio >= rules.strong or ratio >= weak and answer()
 
         if n < rules.least_words:
             self._whole(k, i, ids, start, size, text, out)
             return
         # equal words have equal ids, so what fails on ids fails on words
         shared = sum(map(self.own[k][0].__contains__, listed))
-        if shared < self.least[k] or shared < rules.strong * n - 1e-9 and not self.answer_ids[k].issubset(listed):
+        if shared < (min(weak, rules.strong) * n - 1e-9 if close else self.least[k]) or shared < rules.strong * n - 1e-9 and not self.answer_ids[k].issubset(listed):
             return
         if not leaked(_common(*self.own[k], listed) / n, lambda: _common(*self.answers[k], listed) == self.answers[k][1]):
             return
