@@ -171,13 +171,97 @@ def neighbour_graph(nodes: DataFrame, *, degree: int = DEGREE, trees: int = 10,
     return graph, packed, frame
 
 
-def _score(frame: Frame):
+def _pieces(column: pa.ListArray) -> tuple[np.ndarray, pa.StructArray]:
+    """Where each row's list begins and ends among all its batch's entries; null lists are empty."""
+    return np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64), column.flatten()
+
+
+def _lists(sizes: list[int], **columns: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.StructArray.from_arrays(list(columns.values()), list(columns)))
+
+
+def _expand(frame: Frame):
+    """A row with `edges` (node, scale, q) opens a group; its queries are offered those of the edges that beat their bar."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, edges, near = None, None, None  # near: the group's edges as numbers, once a query asks for them
         for batch in batches:
-            if batch.num_rows:
-                x = _matrix(batch.column("q").to_pylist(), batch.column("scale").to_pylist())
-                y = _matrix(batch.column("qq").to_pylist(), batch.column("qscale").to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array(np.einsum("ij,ij->i", x, y) + frame.lift(x))], names=["query", "node", "s"])
+            if not batch.num_rows:
+                continue
+            grp, query, bar, q = (batch.column(c).to_pylist() for c in ("grp", "query", "bar", "q"))
+            opens = batch.column("edges").is_valid().to_pylist()
+            asks = np.array([x is not None for x in q])
+            place = np.cumsum(asks) - 1
+            y = _matrix([x for x in q if x is not None], batch.column("scale").drop_null().to_pylist()) if asks.any() else None
+            begin = [i for i in range(len(grp)) if opens[i] or i == 0 or grp[i] != grp[i - 1]]
+            who, sizes, nodes, scores = [], [], [], []
+            for i, j in zip(begin, [*begin[1:], len(grp)], strict=True):
+                if opens[i] or grp[i] != now:
+                    now, edges, near = grp[i], batch.column("edges")[i].values if opens[i] else None, None
+                first = i if asks[i] else i + 1
+                if first == j or edges is None or not len(edges):
+                    continue
+                if near is None:
+                    x = _matrix(edges.field("q").to_pylist(), edges.field("scale").to_pylist())
+                    near = edges.field("node").to_numpy(), x, frame.lift(x)
+                s = y[place[first] : place[first] + j - first] @ near[1].T + near[2][None, :]
+                asking = np.array(query[first:j])
+                row, at = np.nonzero((s > np.array(bar[first:j], np.float32)[:, None]) & (near[0][None, :] != asking[:, None]))
+                count = np.bincount(row, minlength=j - first)
+                who.append(asking[count > 0])
+                sizes.append(count[count > 0])
+                nodes.append(near[0][at])
+                scores.append(s[row, at])
+            if who and sum(map(len, who)):
+                offers = _lists(np.concatenate(sizes), node=pa.array(np.concatenate(nodes)), s=pa.array(np.concatenate(scores), pa.float32()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(who)), offers], names=["query", "offers"])
+
+    return work
+
+
+def _merge(hold: int, hop: bool, most: int = 64):
+    """A query's state row, then its offers: the 2 * hold nearest of both. After a hop, what it expanded is done."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        now: tuple | None = None
+        parts: list[tuple] = []
+
+        def close() -> None:
+            node, s, done = (np.concatenate(c) for c in zip(*parts, strict=True))
+            node, first = np.unique(node, return_index=True)  # the state comes first, and with it what is done
+            s, done = s[first], done[first]
+            best = np.lexsort((node, -s))[: 2 * hold]
+            out.append((*now, node[best], s[best], done[best]))
+
+        def told() -> pa.RecordBatch:
+            query, scale, q, node, s, done = zip(*out, strict=True)
+            out.clear()
+            seen = _lists([len(x) for x in node], node=pa.array(np.concatenate(node)), s=pa.array(np.concatenate(s), pa.float32()), done=pa.array(np.concatenate(done)))
+            return pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(scale, pa.float32()), pa.array(q, pa.binary()), seen], names=["query", "scale", "q", "seen"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            query, scale, q = (batch.column(c).to_pylist() for c in ("query", "scale", "q"))
+            (held, seen), (upto, offers) = _pieces(batch.column("seen")), _pieces(batch.column("offers"))
+            begin = [i for i in range(len(query)) if i == 0 or query[i] != query[i - 1]]
+            for i, j in zip(begin, [*begin[1:], len(query)], strict=True):
+                if now is None or query[i] != now[0]:
+                    if now is not None:
+                        close()
+                        if len(out) == most:
+                            yield told()
+                    now = query[i], scale[i], q[i]
+                    mine = seen.slice(held[i], held[i + 1] - held[i])
+                    done = mine.field("done").to_numpy(zero_copy_only=False).astype(bool)
+                    parts = [(mine.field("node").to_numpy(), mine.field("s").to_numpy(), done | (np.arange(len(done)) < hold) if hop else done)]
+                if more := upto[j] - upto[i]:
+                    some = offers.slice(upto[i], more)
+                    parts.append((some.field("node").to_numpy(), some.field("s").to_numpy(), np.zeros(more, bool)))
+        if now is not None:
+            close()
+            yield told()
 
     return work
 
@@ -203,39 +287,50 @@ def yardstick(nodes: DataFrame, queries: DataFrame, k: int, size: int = YARDSTIC
 
 
 def greedy_search(graph: DataFrame, packed: DataFrame, frame: Frame, queries: DataFrame, truth: DataFrame, *, hold: int = 64, keep: int = 64, least: float = 0.96, rest: float = 0.02) -> DataFrame:
-    """(query, node) candidates, the `keep` nearest found of each query node. Every hop expands those of the `hold` nearest
+    """(query, node) candidates, each query node itself, for its copies, and the `keep` nearest found of it. Every hop expands those of the `hold` nearest
     that are not expanded yet, until few are left (`rest` of the hold); this goes on with twice the `hold`, until `least` of truth(query, node) are held, or every node.
-    Twice as many rows as are expanded stay in the state, so that widening goes on from them and expands no node again."""
+    Twice as many nodes as are expanded stay in a query's state, so that widening goes on from them. A query's vector travels to the nodes it expands,
+    whose edges lie there in one row; only what beats the last of its state comes back. `hold` entry nodes are offered to every query at first and at each widening."""
+    edge, none = "array<struct<node:bigint,scale:float,q:binary>>", F.lit(float("-inf")).cast("float")
     n, wanted, asked = packed.count(), truth.count(), queries.count()
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc_nulls_first("s"), "node"))
-    own = written(packed.join(queries.withColumnRenamed("query", "node"), "node", "left_semi").select(F.col("node").alias("query"), F.col("scale").alias("qscale"), F.col("q").alias("qq")), "asked-vectors")
-    scored = lambda pairs: pairs.join(packed, "node").join(own, "query").select("query", "node", "scale", "q", "qscale", "qq").mapInArrow(_score(frame), "query bigint, node bigint, s float").withColumn("done", F.lit(False))
-    state = graph.join(queries.select(F.col("query").alias("a")), "a").select(F.col("a").alias("query"), F.col("b").alias("node"), "s").withColumn("done", F.lit(False))
-    state = written(state.unionByName(queries.select("query", F.col("query").alias("node"), F.lit(None).cast("float").alias("s"), F.lit(True).alias("done"))), "search")
+    own = packed.join(queries.withColumnRenamed("query", "node"), "node", "left_semi").withColumnRenamed("node", "query")
+    near = graph.join(packed.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("grp")).agg(F.collect_list(F.struct(F.col("b").alias("node"), "scale", "q")).alias("edges"))
+    near = written(near.select("grp", F.lit(None).cast("bigint").alias("query"), none.alias("bar"), F.lit(None).cast("float").alias("scale"), F.lit(None).cast("binary").alias("q"), "edges"), "edges")
+    start = graph.groupBy(F.col("a").alias("query")).agg(F.sort_array(F.collect_list(F.struct("s", F.col("b").alias("node"))), asc=False).alias("own"))
+    seen = F.transform(F.coalesce("own", F.array().cast("array<struct<s:float,node:bigint>>")), lambda e: F.struct(e["node"].alias("node"), e["s"].alias("s"), F.lit(False).alias("done")))
+    state = written(own.join(start, "query", "left").select("query", "scale", "q", seen.alias("seen")), "search")
+
+    def merged(state: DataFrame, offers: DataFrame, hold: int, hop: bool) -> DataFrame:
+        rows = state.withColumn("offers", F.lit(None).cast("array<struct<node:bigint,s:float>>")).unionByName(offers, allowMissingColumns=True).withColumn("turn", F.col("seen").isNull())
+        rows = rows.repartition("query").sortWithinPartitions("query", "turn").mapInArrow(_merge(hold, hop), "query bigint, scale float, q binary, seen array<struct<node:bigint,s:float,done:boolean>>")
+        step = written(rows, "search")
+        discard(state)
+        return step
+
+    def entered(state: DataFrame, hold: int) -> DataFrame:
+        part = F.pmod(F.xxhash64("node"), F.lit(-(-hold // 64))).alias("grp")
+        entries = packed.orderBy(F.xxhash64("node", F.lit(hold))).limit(hold).groupBy(part).agg(F.collect_list(F.struct("node", "scale", "q")).cast(edge).alias("edges"))
+        met = state.select("query", none.alias("bar"), "scale", "q").crossJoin(entries).select("grp", "query", "bar", "scale", "q", "edges")
+        return merged(state, met.mapInArrow(_expand(frame), "query bigint, offers array<struct<node:bigint,s:float>>"), hold, False)
+
     while True:
-        while True:
-            front = state.withColumn("k", rank).filter(F.col("k") <= hold).filter("not done").select("query", "node", F.lit(True).alias("now"))
-            front = written(front, "front")
-            if not (left := front.count()):
-                discard(front)
-                break
-            new = front.join(graph.select(F.col("a").alias("node"), F.col("b").alias("to")), "node").select("query", F.col("to").alias("node")).distinct().join(state.select("query", "node"), ["query", "node"], "left_anti")
-            step = state.join(front, ["query", "node"], "left").select("query", "node", "s", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")).unionByName(scored(new))
-            step = written(step.withColumn("k", rank).filter(F.col("k") <= 2 * hold).drop("k"), "search")
-            discard(state, front)
-            state = step
+        state = entered(state, hold)
+        fresh = F.filter(F.slice("seen", 1, hold), lambda e: ~e["done"])
+        bar = F.when(F.size("seen") == 2 * hold, F.element_at("seen", -1)["s"]).otherwise(none)
+        left = state.agg(F.sum(F.size(fresh))).first()[0]
+        while left:
+            front = state.select("query", bar.alias("bar"), "scale", "q", F.explode(fresh).alias("e")).select(F.col("e.node").alias("grp"), "query", "bar", "scale", "q", F.lit(None).cast(edge).alias("edges"))
+            met = near.unionByName(front).withColumn("turn", F.col("edges").isNull()).repartition("grp").sortWithinPartitions("grp", "turn").drop("turn")
+            state = merged(state, met.mapInArrow(_expand(frame), "query bigint, offers array<struct<node:bigint,s:float>>"), hold, True)
             if left <= rest * hold * asked:
                 break
-        if state.join(truth, ["query", "node"], "left_semi").count() >= least * wanted or hold >= n:
+            left = state.agg(F.sum(F.size(fresh))).first()[0]
+        sampled = state.join(truth.select("query").distinct(), "query", "left_semi").select("query", F.explode("seen.node").alias("node"))
+        if sampled.join(truth, ["query", "node"], "left_semi").count() >= least * wanted or hold >= n:
             break
         hold = 2 * hold
-        entries = packed.select("node").orderBy(F.xxhash64("node", F.lit(hold))).limit(hold)
-        further = queries.crossJoin(F.broadcast(entries)).join(state.select("query", "node"), ["query", "node"], "left_anti")
-        step = written(state.unionByName(scored(further)), "search")
-        discard(state)
-        state = step
-    discard(own)
-    return state.withColumn("k", rank).filter(F.col("k") <= keep).select("query", "node")
+    discard(near)
+    return state.select("query", F.explode(F.slice("seen.node", 1, keep)).alias("node")).unionByName(queries.select("query", F.col("query").alias("node")))
 
 
 def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,6 +361,7 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, id_column: str
         queries = written(asked.select("query").distinct(), "queries")
         truth = yardstick(nodes.select("node", "v"), queries, k)
         found = written(greedy_search(graph, packed, frame, queries, truth, keep=max(64, 2 * k + 2)), "found")
+        discard(graph, packed, queries, truth)
     exact = found.join(nodes.select("node", "v"), "node").join(nodes.select(F.col("node").alias("query"), F.col("v").alias("w")), "query").select("query", "node", "v", "w")
     scored = exact.mapInArrow(_inner, "query bigint, node bigint, score double")
     top = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node"))
