@@ -104,7 +104,7 @@ def cnd09(spark: SparkSession, sf: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf: str) -> DataFrame:
     """Eight scores of each candidate, spread by its number; some are missing."""
-    c = v.v_cand(spark, sf).withColumn("n", F.substring("candidate_id", 2, 6).cast("int"))
+    c = v.v_cand(spark, sf).withColumn("n", v.cand_number())
     parts = {name: F.when((F.col("n") + i) % 13 != 0, (F.col("n") * (i + 3) % 97) / 97.0) for i, name in enumerate(ca.WEIGHTS)}
     return c.withColumns(parts).select("job_id", "event", "candidate_id", *ca.WEIGHTS)
 

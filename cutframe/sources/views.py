@@ -5,7 +5,7 @@ The given tables hold no video; events stand for samples, beats and cuts, embedd
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -39,6 +39,11 @@ def v_cand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(F.col("clip_id").alias("job_id"), F.floor(F.col("k") / 10).cast("int").alias("event"), F.format_string("c%06d", "event_id").alias("candidate_id"), F.col("t").alias("anchor"), F.col("t").alias("start"), (F.col("t") + length).alias("end"), (F.col("t") + F.col("k") / 100.0).alias("timeline_start"), length.alias("duration_s"), (F.col("sig") / 500.0).alias("score"))
 
 
+def cand_number() -> Column:
+    """The number in a candidate's id: six digits or more."""
+    return F.substr("candidate_id", F.lit(2)).cast("bigint")
+
+
 def v_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """reel, idx from 0, name, duration_s: the files of a virtual reel in order."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
