@@ -95,7 +95,7 @@ DECISIONS = "de AS (SELECT job_id, event, CASE WHEN rn % 5 = 0 THEN 'HOLD_A' WHE
 
 
 def decisions(spark: SparkSession, sf: str) -> DataFrame:
-    c = v.v_cand(spark, sf).withColumn("rn", F.substring("candidate_id", 2, 6).cast("bigint")).filter("rn % 3 <> 0")
+    c = v.v_cand(spark, sf).withColumn("rn", v.cand_number()).filter("rn % 3 <> 0")
     return c.select("job_id", F.when(F.col("event") == 3, 77).otherwise(F.col("event")).alias("event"), F.when(F.col("rn") % 5 == 0, "HOLD_A").when(F.col("rn") % 7 == 0, "nope").otherwise(F.col("candidate_id")).alias("selection"), F.when(F.col("rn") % 11 == 0, 1.5).otherwise(F.col("score")).alias("confidence"), F.expr("repeat('x', cast(rn * 7 % 260 as int))").alias("rationale"))
 
 

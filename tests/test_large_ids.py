@@ -10,6 +10,7 @@ from cutframe import registry
 
 QUERIES = [
     "cnd11_recommend",
+    "evd12_validate_decisions",
 ]
 
 
