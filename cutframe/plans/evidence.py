@@ -123,7 +123,7 @@ wk AS (SELECT job_id, 0::BIGINT AS o, 20e0 AS last, NULL::BIGINT AS event, false
 
 @query("evd14_materialize_chain", "v_cand", f", {CHAIN} SELECT c.job_id, c.event, c.a, c.b, CASE WHEN w.kept THEN 'kept' ELSE 'forced_hold' END AS state FROM co c JOIN wk w ON w.job_id = c.job_id AND w.o = c.o")
 def evd14(spark: SparkSession, sf: str) -> DataFrame:
-    c = v.v_cand(spark, sf).select("job_id", F.substring("candidate_id", 2, 6).cast("bigint").alias("event"), F.col("start").alias("a"), F.col("end").alias("b"))
+    c = v.v_cand(spark, sf).select("job_id", v.cand_number().alias("event"), F.col("start").alias("a"), F.col("end").alias("b"))
     return ev.materialize_chain(c, 20.0, 12.0)
 
 

@@ -11,6 +11,7 @@ from cutframe import registry
 QUERIES = [
     "cnd11_recommend",
     "evd12_validate_decisions",
+    "evd14_materialize_chain",
 ]
 
 
