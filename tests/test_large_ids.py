@@ -12,6 +12,7 @@ QUERIES = [
     "cnd11_recommend",
     "evd12_validate_decisions",
     "evd14_materialize_chain",
+    "evd20_artifact_diff",
 ]
 
 
