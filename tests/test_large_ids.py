@@ -13,6 +13,7 @@ QUERIES = [
     "evd12_validate_decisions",
     "evd14_materialize_chain",
     "evd20_artifact_diff",
+    "tml12_validate_promotions",
 ]
 
 
