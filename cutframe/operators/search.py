@@ -63,23 +63,48 @@ def _query_blocks(queries: DataFrame) -> Iterator[tuple[list, np.ndarray]]:
             yield [r.query_id for r in own], np.array([r.qv for r in own], dtype=np.float64)
 
 
+#: Scores that a task holds at a time: so many queries meet one batch of vectors.
+CELLS = 1 << 20
+
+
+def _best(place: np.ndarray, own: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k greatest of each place's scores, ties by id; a score that is no number is the greatest, as in SQL."""
+    order = np.lexsort((own, -np.where(np.isnan(score), np.inf, score), place))
+    place = place[order]
+    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if place.size else place
+    keep = np.arange(place.size) - np.repeat(first, np.diff(np.r_[first, place.size])) < k
+    return place[keep], own[order][keep], score[order][keep]
+
+
 def _nearest(ids: list, vectors: np.ndarray, k: int):
-    """Each task's k best vectors of every query: blocks of vectors against the block of queries, with the best so far kept."""
+    """Each task's k best vectors of every query: batches of vectors against some queries at a time, with the best so far kept."""
     width = vectors.shape[1]
     unit = vectors / (np.sqrt((vectors * vectors).sum(axis=1)) + 1e-9)[:, None]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best_id, best = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0))
+        best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        least = np.full(len(ids), -np.inf)  # a query's k-th score so far
         for batch in batches:
             x = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             own = batch.column("vec_id").to_numpy()
-            score = np.round((unit @ x.T) / (np.sqrt((x * x).sum(axis=1)) + 1e-9), 6)
-            score, every = np.concatenate([best, score], axis=1), np.concatenate([best_id, np.broadcast_to(own, score.shape)], axis=1)
-            top = np.lexsort((every, -score), axis=1)[:, :k]
-            best, best_id = np.take_along_axis(score, top, axis=1), np.take_along_axis(every, top, axis=1)
-        if best.size:
-            n = best.shape[1]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(ids)), n)), pa.array(best_id.ravel()), pa.array(best.ravel())], names=["place", "vec_id", "score"])
+            norm = np.sqrt((x * x).sum(axis=1)) + 1e-9
+            found = [best]
+            some = max(1, CELLS // max(1, own.size))
+            for at in range(0, len(ids), some):
+                score = np.round((unit[at : at + some] @ x.T) / norm, 6)
+                key = np.where(np.isnan(score), np.inf, score)
+                floor = least[at : at + some]
+                if own.size > k:  # all that tie with the k-th stay, the ids decide
+                    floor = np.maximum(floor, np.partition(key, own.size - k, axis=1)[:, own.size - k])
+                q, c = np.nonzero(key >= floor[:, None])
+                found.append(_best(q + at, own[c], score[q, c], k))
+            best = _best(*(np.concatenate(part) for part in zip(*found, strict=True)), k)
+            count = np.bincount(best[0], minlength=len(ids))
+            last = np.cumsum(count) - 1
+            full = count == k
+            least[full] = np.where(np.isnan(best[2]), np.inf, best[2])[last[full]]
+        if best[0].size:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=["place", "vec_id", "score"])
 
     return work
 

@@ -29,3 +29,26 @@ def test_search_by_blocks(spark, monkeypatch, limit):
     assert se.semantic_search(vectors.filter("false"), queries, 7).count() == 0
     plan = se.semantic_search(vectors, queries, 7)._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_a_task_holds_few_scores_at_a_time():
+    """Queries by the thousand against a batch of 10,000 vectors: every pair of them at once would take hundreds of MB."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    x, q = rng.integers(-3, 4, (10_000, 4)).astype(float), rng.integers(-3, 4, (2000, 4)).astype(float)
+    ids = rng.permutation(10_000)
+    batch = lambda a, b: pa.RecordBatch.from_arrays([pa.array(ids[a:b]), pa.array(x[a:b].tolist(), pa.list_(pa.float64()))], names=["vec_id", "embedding"])
+    batches = [batch(0, 9000), batch(9000, 9003), batch(9003, 10_000)]
+    work = se._nearest(list(range(2000)), q, 5)
+    tracemalloc.start()
+    (got,) = work(iter(batches))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 << 20
+    place, vec = got.column("place").to_numpy(), got.column("vec_id").to_numpy()
+    for i in range(0, 2000, 97):
+        score = np.round(x @ (q[i] / (np.sqrt(q[i] @ q[i]) + 1e-9)) / (np.sqrt((x * x).sum(axis=1)) + 1e-9), 6)
+        assert vec[place == i].tolist() == ids[np.lexsort((ids, -score))[:5]].tolist()
