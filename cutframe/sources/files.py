@@ -60,6 +60,6 @@ def fingerprint(spark: SparkSession, path: str) -> str:
     return f"{r.n}-{(r.h or 0) & 0xFFFFFFFFFFFFFFFF:016x}"
 
 
-def overwrite_partitions(rows: DataFrame, path: str, *by: str) -> None:
+def overwrite_partitions(rows: DataFrame, path: str, *by: str, compression: str | None = None) -> None:
     """Only partitions that rows touch are replaced; rows may come from the same path."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path, compression=compression)

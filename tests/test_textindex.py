@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from cutframe.operators import search as se
+from cutframe.operators import textindex
 from cutframe.operators.textindex import TextIndex
 
 QUERIES = [(1, "alpha beta"), (2, "rare"), (3, "alpha"), (4, "beta gamma alpha"), (5, "nowhere alpha"), (6, "!!"), (7, "Alpha ALPHA")]
@@ -63,3 +65,30 @@ def test_only_the_terms_blocks_are_read_and_weak_ones_skipped(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(bucket" in plan or "bucket" in plan.split("PartitionFilters")[1][:60]
     files = index.blocks().filter(F.col("bucket") == 0).inputFiles()
     assert 0 < len(index._asked(spark.createDataFrame([(1, "alpha")], "query_id int, query string"))[1].select(F.input_file_name()).distinct().collect()) <= len(files)
+
+
+def block_plans(monkeypatch, work):
+    """The plans by which `work` writes blocks."""
+    seen = []
+    plain = textindex.overwrite_partitions
+
+    def told(rows, path, *by, **options):
+        if path.endswith("/blocks"):
+            seen.append(rows._jdf.queryExecution().executedPlan().toString())
+        plain(rows, path, *by, **options)
+
+    monkeypatch.setattr(textindex, "overwrite_partitions", told)
+    work()
+    return seen
+
+
+def shuffled(plan):
+    """By what a plan's shuffles deal rows, without the columns' numbers."""
+    return [re.sub(r"#\d+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\(([^()]*)", plan)]
+
+
+def test_building_shuffles_texts_and_no_postings(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame(texts(4, 200), "doc_id long, text string")
+    (plan,) = block_plans(monkeypatch, lambda: TextIndex(spark, str(tmp_path / "index"), buckets=3, span=16, shelf=64).build(docs))
+    assert "Exchange hashpartitioning(span" in plan
+    assert not any(c in x for x in shuffled(plan) for c in ("term", "bucket", "doc_id"))
