@@ -92,3 +92,18 @@ def test_building_shuffles_texts_and_no_postings(spark, tmp_path, monkeypatch):
     (plan,) = block_plans(monkeypatch, lambda: TextIndex(spark, str(tmp_path / "index"), buckets=3, span=16, shelf=64).build(docs))
     assert "Exchange hashpartitioning(span" in plan
     assert not any(c in x for x in shuffled(plan) for c in ("term", "bucket", "doc_id"))
+
+
+def test_a_change_shuffles_no_postings_and_search_adds_up_blocks(spark, tmp_path, monkeypatch):
+    old = dict(texts(5, 200))
+    index = TextIndex(spark, str(tmp_path / "index"), buckets=3, span=16, shelf=64).build(spark.createDataFrame(list(old.items()), "doc_id long, text string"))
+    changed = [(i, f"alpha {t} rare") for i, t in texts(6, 200) if i % 5 == 2]
+    monkeypatch.setattr(textindex, "SHELVES", 2, raising=False)  # more than one round
+    plans = block_plans(monkeypatch, lambda: index.apply(spark.createDataFrame([(i,) for i in range(1, 200, 5)], "doc_id long"), spark.createDataFrame(changed, "doc_id long, text string")))
+    assert plans and not any(c in x for plan in plans for x in shuffled(plan) for c in ("term", "bucket", "doc_id"))
+    docs = spark.createDataFrame(list(({i: t for i, t in old.items() if i % 5 != 1} | dict(changed)).items()), "doc_id long, text string")
+    queries = spark.createDataFrame(QUERIES, "query_id int, query string")
+    assert index.blocks().filter("term = 'alpha'").groupBy("span").count().filter("count > 1").count() > 0
+    for k in (3, 500):
+        assert sorted(map(tuple, index.search(queries, k).collect())) == whole(spark, docs, queries, k)
+    assert sorted(map(tuple, index.lengths().select("doc_id", "n").collect())) == sorted((i, len(t.split())) for i, t in docs.collect() if t)
